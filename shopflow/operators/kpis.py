@@ -17,7 +17,7 @@ def with_share(agg: DataFrame, measure: str, out: str, digits: int = 1) -> DataF
     Runs on already aggregated rows (one per group of a bounded domain:
     categories, platforms), so the unpartitioned window sees few rows.
     """
-    total = F.sum(F.col(measure)).over(Window.partitionBy())
+    total = F.sum(F.col(measure).cast("decimal(22,2)")).over(Window.partitionBy())
     return agg.withColumn(out, pct_of(F.col(measure), total, digits))
 
 

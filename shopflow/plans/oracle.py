@@ -268,3 +268,224 @@ SELECT COUNT(venta_id) AS total_ventas, CAST(SUM(cantidad) AS BIGINT) AS total_u
        {money_sum('total')} AS ingresos_totales_soles, {avg2('total')} AS ticket_promedio,
        COUNT(DISTINCT cliente_id) AS clientes_activos, COUNT(DISTINCT juego_id) AS juegos_vendidos
 FROM wide""")
+
+
+# --- shared pieces for the second group of queries --------------------------
+GAME_COLS = ["juego_id", "titulo", "categoria", "plataformas", "precio_base", "desarrollador",
+             "publicador", "anio_lanzamiento", "pegi", "descripcion", "tags"]
+MONTHS = "anio IS NOT NULL AND mes IS NOT NULL"
+
+
+def half_up_signed(num: str, den: str, scale: int) -> str:
+    """round(num * scale / den) half away from zero, den > 0, as integer."""
+    return (f"(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
+            f"((abs({num}) * {2 * scale} + ({den})) // (2 * ({den})))")
+
+
+def best_of_month(key: str, label: str, out: str) -> str:
+    lab = f", {label}" if label != key else ""
+    return f"""
+SELECT anio, mes, {label} AS {out} FROM (
+  SELECT anio, mes, {key}{lab},
+         ROW_NUMBER() OVER (PARTITION BY anio, mes ORDER BY SUM(cantidad) DESC, {key} ASC, {label} ASC) AS rn_
+  FROM wide WHERE {MONTHS} AND {key} IS NOT NULL AND {label} IS NOT NULL
+  GROUP BY anio, mes, {key}{lab}) WHERE rn_ = 1"""
+
+
+MORE = {
+    "games": f"""
+SELECT {', '.join(GAME_COLS)} FROM (
+  SELECT *, {rn('juego_id', GAME_COLS[1:])} AS rn_ FROM (
+    SELECT upper(trim(juego_id)) AS juego_id, {', '.join(GAME_COLS[1:])} FROM raw_catalog))
+WHERE rn_ = 1""",
+    "kpi1": f"""
+SELECT juego_id, titulo, categoria, CAST(SUM(cantidad) AS BIGINT) AS total_unidades,
+       COUNT(venta_id) AS num_transacciones, {money_sum('total')} AS ingresos_total
+FROM wide WHERE titulo IS NOT NULL GROUP BY juego_id, titulo, categoria
+ORDER BY total_unidades DESC, juego_id ASC LIMIT 10""",
+    "kpi3": f"""
+SELECT plataforma, COUNT(venta_id) AS num_ventas, {money_sum('total')} AS ingresos_total
+FROM wide GROUP BY plataforma""",
+    "kpi4": f"""
+SELECT anio, mes, COUNT(venta_id) AS num_transacciones, CAST(SUM(cantidad) AS BIGINT) AS total_unidades,
+       {money_sum('total')} AS ingresos_mes, {avg2('total')} AS ticket_promedio,
+       COUNT(DISTINCT cliente_id) AS clientes_unicos
+FROM wide GROUP BY anio, mes""",
+    "kpi5": f"""
+SELECT cliente_id, nombre, {money_sum('total')} AS gasto_total
+FROM wide WHERE nombre IS NOT NULL GROUP BY cliente_id, nombre, nivel_membresia, distrito
+ORDER BY gasto_total DESC, cliente_id ASC LIMIT 10""",
+    "kpi7": "SELECT juego_id, titulo_inv AS titulo, plataforma, stock FROM inventory WHERE stock <= umbral",
+    "mbest": f"""
+SELECT m.anio, m.mes, g.juego_top, c.categoria_top, p.plataforma_top
+FROM (SELECT DISTINCT anio, mes FROM wide WHERE {MONTHS}) m
+LEFT JOIN ({best_of_month('juego_id', 'titulo', 'juego_top')}) g ON m.anio = g.anio AND m.mes = g.mes
+LEFT JOIN ({best_of_month('categoria', 'categoria', 'categoria_top')}) c ON m.anio = c.anio AND m.mes = c.mes
+LEFT JOIN ({best_of_month('plataforma', 'plataforma', 'plataforma_top')}) p ON m.anio = p.anio AND m.mes = p.mes""",
+    "mmean": f"""
+SELECT anio, mes, CAST(c AS DOUBLE) / 100 AS ingresos_mes,
+       CAST((SUM(c) OVER () * 2 + COUNT(*) OVER ()) // (2 * COUNT(*) OVER ()) AS DOUBLE) / 100 AS media_mensual,
+       CAST({half_up_signed('c * COUNT(*) OVER () - SUM(c) OVER ()', 'SUM(c) OVER ()', 1000)} AS DOUBLE) / 10
+         AS pct_vs_media
+FROM (SELECT anio, mes, SUM({cents('total')}) AS c FROM wide WHERE {MONTHS} GROUP BY anio, mes)""",
+    "sev": f"""
+SELECT printf('EVT-%06d', event_id) AS event_id,
+       CASE event_type {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in EVENT_TYPE_MAP.items())} END AS event_type,
+       date_trunc('second', ts) AS event_timestamp,
+       'V' || CAST(event_id AS VARCHAR) AS venta_id, 'C' || CAST(user_id AS VARCHAR) AS cliente_id,
+       'P' || CAST(event_id % 200 AS VARCHAR) AS juego_id,
+       {lst(STREAM_PLATFORMS)}[event_id % {len(STREAM_PLATFORMS)} + 1] AS plataforma_raw,
+       {lst(PAYMENT_METHODS)}[user_id % {len(PAYMENT_METHODS)} + 1] AS metodo_pago,
+       'S' || CAST(user_id % 10 AS VARCHAR) AS vendedor,
+       value AS precio, CAST(1 + event_id % 3 AS INTEGER) AS cantidad,
+       CAST(ROUND(CAST(value AS DECIMAL(18,2)) * (1 + event_id % 3), 2) AS DOUBLE) AS total,
+       CAST(CAST(round(value * 100) AS BIGINT) % 100 AS DOUBLE) / CAST(100 AS DOUBLE) AS riesgo_fraude,
+       CASE WHEN event_type = 'error' THEN NULL
+            ELSE CAST(round(value * 100) AS BIGINT) % 100 >= {int(RISK_THRESHOLD * 100)} END AS venta_riesgosa,
+       (event_type = 'error' AND event_id % 10 IN (0, 5)) AS damaged
+FROM events""",
+    "senr": f"""
+SELECT e.event_id, e.event_type, e.event_timestamp, e.venta_id, e.cliente_id, e.juego_id,
+       {platform('e.plataforma_raw')} AS plataforma, e.metodo_pago, e.vendedor, e.precio, e.cantidad,
+       e.total,
+       COALESCE(c.nombre, {q(EVENT_DEFAULTS['cliente_nombre'])}) AS cliente_nombre,
+       COALESCE(c.nivel_membresia, {q(EVENT_DEFAULTS['nivel_membresia'])}) AS nivel_membresia,
+       COALESCE(c.distrito, {q(EVENT_DEFAULTS['distrito'])}) AS distrito,
+       e.riesgo_fraude, e.venta_riesgosa
+FROM sev e LEFT JOIN customers c ON e.cliente_id = c.cliente_id
+WHERE NOT e.damaged""",
+}
+
+
+def w(body: str) -> str:
+    return with_ctes(body, MORE)
+
+
+SQL["revenue_share"] = w(f"""
+SELECT categoria, ingresos_total, {pct1('c', 'SUM(c) OVER ()')} AS pct_ingresos
+FROM (SELECT categoria, {money_sum('total')} AS ingresos_total, SUM({cents('total')}) AS c
+      FROM wide WHERE categoria IS NOT NULL GROUP BY categoria)""")
+
+SQL["monthly_best"] = w("SELECT * FROM mbest")
+
+SQL["monthly_vs_mean"] = w("SELECT * FROM mmean")
+
+SQL["null_profile"] = w("\nUNION ALL\n".join(
+    f"SELECT {q(c)} AS columna, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos, COUNT(*) AS filas FROM wide"
+    for c in WIDE_COLS))
+
+_RULES = [("falta juego_id", "juego_id IS NULL"), ("falta titulo", "titulo IS NULL"),
+          ("falta categoria", "categoria IS NULL"), ("falta precio_base", "precio_base IS NULL"),
+          ("precio_base no positivo", "COALESCE(precio_base <= 0, TRUE)"),
+          ("pegi fuera de rango", "COALESCE(NOT pegi IN (3, 7, 12, 16, 18), TRUE)")]
+SQL["validate_documents"] = w(f"""
+SELECT juego_id, motivos = '' AS valido, motivos FROM (
+  SELECT juego_id, concat_ws('; ', {', '.join(f'CASE WHEN {c} THEN {q(r)} END' for r, c in _RULES)}) AS motivos
+  FROM games)""")
+
+SQL["duplicate_keys"] = w("""
+SELECT venta_id, COUNT(*) AS repeticiones FROM raw_sales GROUP BY venta_id HAVING COUNT(*) > 1""")
+
+SQL["orphan_keys"] = w("""
+SELECT 'juego_plataforma' AS entidad, juego_id || '|' || plataforma AS clave, COUNT(*) AS filas
+FROM sales s WHERE NOT EXISTS (SELECT 1 FROM catalog k WHERE k.juego_id = s.juego_id AND k.plataforma = s.plataforma)
+GROUP BY juego_id, plataforma
+UNION ALL
+SELECT 'cliente', cliente_id, COUNT(*) FROM sales s
+WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.cliente_id = s.cliente_id) GROUP BY cliente_id""")
+
+SQL["product_profile_docs"] = w(f"""
+SELECT g.juego_id, g.titulo, g.categoria, g.precio_base, g.desarrollador, g.publicador,
+       g.anio_lanzamiento, g.pegi, g.descripcion, CAST(len(g.plataformas) AS INTEGER) AS num_plataformas,
+       CAST(COALESCE(u, 0) AS BIGINT) AS total_ventas_unidades,
+       COALESCE(r, CAST(0 AS DOUBLE)) AS ingresos_acumulados,
+       s.puntuacion_promedio, CAST(COALESCE(s.total_resenas, 0) AS BIGINT) AS total_resenas
+FROM games g
+LEFT JOIN (SELECT juego_id, SUM(cantidad) AS u, {money_sum('total')} AS r FROM wide GROUP BY juego_id) t
+  ON g.juego_id = t.juego_id
+LEFT JOIN scores s ON g.juego_id = s.juego_id""")
+
+SQL["monthly_report_docs"] = w(f"""
+SELECT k.anio, k.mes, {lst(MONTH_NAMES_ES)}[k.mes] AS nombre_mes, k.num_transacciones, k.total_unidades,
+       k.ingresos_mes, k.ticket_promedio, k.clientes_unicos, b.juego_top, b.categoria_top, b.plataforma_top,
+       printf('%.1f', abs(m.pct_vs_media)) || '% ' ||
+       CASE WHEN m.pct_vs_media >= 0 THEN 'por encima' ELSE 'por debajo' END || ' de la media mensual'
+         AS observacion
+FROM kpi4 k LEFT JOIN mbest b ON k.anio = b.anio AND k.mes = b.mes
+LEFT JOIN mmean m ON k.anio = m.anio AND k.mes = m.mes
+WHERE k.anio IS NOT NULL AND k.mes IS NOT NULL""")
+
+SQL["sales_docs"] = w("""
+SELECT venta_id, CAST(fecha AS VARCHAR) AS fecha, mes, anio, trimestre, cliente_id, nombre, edad, genero,
+       distrito, nivel_membresia, juego_id, titulo, categoria, plataforma, precio, cantidad, total,
+       metodo_pago, vendedor, puntuacion_promedio, total_resenas
+FROM wide""")
+
+
+def _money_text(x: str) -> str:
+    return f"'S/' || format('{{:,}}', ({cents(x)} + 50) // 100)"
+
+
+SQL["chart_series"] = w(f"""
+SELECT 'top_juegos' AS serie, titulo AS etiqueta, CAST(total_unidades AS DOUBLE) AS valor,
+       format('{{:,}}', total_unidades) AS texto FROM kpi1
+UNION ALL SELECT 'plataformas', plataforma, ingresos_total, {_money_text('ingresos_total')} FROM kpi3
+UNION ALL SELECT 'ventas_mensuales', CAST(anio AS VARCHAR) || '-' || lpad(CAST(mes AS VARCHAR), 2, '0'),
+       ingresos_mes, {_money_text('ingresos_mes')} FROM kpi4 WHERE anio IS NOT NULL AND mes IS NOT NULL
+UNION ALL SELECT 'top_clientes', nombre, gasto_total, {_money_text('gasto_total')} FROM kpi5
+UNION ALL SELECT 'stock_bajo', titulo || ' (' || plataforma || ')', CAST(stock AS DOUBLE),
+       format('{{:,}}', stock) FROM kpi7""")
+
+SQL["run_metadata"] = w("""
+SELECT 'ventas.csv' AS archivo, 'CSV' AS formato, COUNT(*) AS registros FROM raw_sales
+UNION ALL SELECT 'clientes.csv', 'CSV', COUNT(*) FROM raw_customers
+UNION ALL SELECT 'catalogo_juegos.json', 'JSON', COUNT(*) FROM raw_catalog
+UNION ALL SELECT 'resenas.json', 'JSON', COUNT(*) FROM raw_reviews
+UNION ALL SELECT 'logs_tienda.txt', 'TXT', COUNT(*) FROM events
+UNION ALL SELECT 'inventario.xml', 'XML', COUNT(*) FROM raw_inventory""")
+
+SQL["output_inventory"] = w(f"""
+SELECT 'ventas_procesadas' AS coleccion, COUNT(*) AS documentos FROM wide
+UNION ALL SELECT 'analisis_juegos', COUNT(*) FROM kpi1
+UNION ALL SELECT 'analisis_categorias', COUNT(DISTINCT categoria) FROM wide
+UNION ALL SELECT 'analisis_plataformas', COUNT(*) FROM kpi3
+UNION ALL SELECT 'reportes_mensuales', COUNT(*) FROM (SELECT DISTINCT anio, mes FROM wide WHERE {MONTHS})
+UNION ALL SELECT 'perfil_clientes', COUNT(*) FROM kpi5
+UNION ALL SELECT 'alertas_inventario', COUNT(*) FROM kpi7""")
+
+SQL["read_back_platforms"] = w("SELECT plataforma, num_ventas, ingresos_total FROM kpi3")
+
+SQL["xml_inventory"] = w("SELECT juego_id, titulo_inv, plataforma, stock, precio_inv, umbral FROM raw_inventory")
+
+SQL["json_catalog"] = w("""
+SELECT juego_id, titulo, categoria, precio_base, desarrollador, publicador, anio_lanzamiento, pegi,
+       descripcion, CAST(len(plataformas) AS INTEGER) AS num_plataformas,
+       array_to_string(tags, '|') AS tags_texto, FALSE AS corrupto
+FROM raw_catalog""")
+
+SQL["csv_roundtrip"] = w("SELECT * FROM raw_customers")
+
+SQL["parquet_roundtrip"] = w(f"SELECT {_no_tags(WIDE_COLS)} FROM wide")
+
+SQL["encode_messages"] = w("""
+SELECT venta_id AS key, event_id, event_type, plataforma_raw AS plataforma, cantidad, total,
+       riesgo_fraude, venta_riesgosa FROM sev""")
+
+SQL["stream_by_platform"] = w(f"""
+SELECT plataforma, COUNT(*) AS total_ventas, {money_sum('total')} AS ingresos,
+       {avg2('total')} AS ticket_promedio,
+       CAST(SUM(CAST(venta_riesgosa AS INTEGER)) AS BIGINT) AS ventas_riesgo
+FROM senr GROUP BY plataforma""")
+
+SQL["stream_by_payment"] = w(f"""
+SELECT metodo_pago, COUNT(*) AS total_transacciones, {money_sum('total')} AS monto_total,
+       {avg2('riesgo_fraude')} AS riesgo_promedio
+FROM senr GROUP BY metodo_pago""")
+
+SQL["stream_alerts"] = w(f"""
+SELECT event_id, venta_id, cliente_nombre, plataforma, metodo_pago, total, riesgo_fraude, event_timestamp
+FROM senr WHERE COALESCE(venta_riesgosa, FALSE) OR riesgo_fraude >= {RISK_THRESHOLD}""")
+
+SQL["stream_enriched"] = w("SELECT * FROM senr")
+
+SQL["stream_rejects"] = w("SELECT venta_id AS message_key FROM sev WHERE damaged")

@@ -123,3 +123,257 @@ def kpi_low_stock(r: Retail) -> DataFrame:
 @query("kpi_summary")
 def kpi_summary(r: Retail) -> DataFrame:
     return kpis.kpi_summary(r.wide)
+
+
+# --- W2-W4 ------------------------------------------------------------------
+from shopflow.operators import documents, quality, windows  # noqa: E402
+from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE  # noqa: E402
+from shopflow.session import work_path  # noqa: E402
+from shopflow.sinks import files as sinks  # noqa: E402
+from shopflow.sources import files as sources  # noqa: E402
+from shopflow.sources import tables  # noqa: E402
+from shopflow.streaming import events as streaming  # noqa: E402
+
+
+@query("revenue_share")
+def revenue_share(r: Retail) -> DataFrame:
+    """Category revenue and its share of the classified revenue."""
+    return windows.revenue_share(r.wide, "categoria")
+
+
+@query("monthly_best")
+def monthly_best(r: Retail) -> DataFrame:
+    """Best game, category and platform of every month."""
+    return windows.monthly_best(r.wide)
+
+
+@query("monthly_vs_mean")
+def monthly_vs_mean(r: Retail) -> DataFrame:
+    """Each month's revenue against the mean month."""
+    return windows.monthly_vs_mean(r.wide)
+
+
+# --- Q1-Q4 ------------------------------------------------------------------
+@query("null_profile")
+def null_profile(r: Retail) -> DataFrame:
+    """Q1: NULL count of every column of the wide sales table."""
+    return quality.null_profile(r.wide)
+
+
+@query("validate_documents")
+def validate_documents(r: Retail) -> DataFrame:
+    """Q2: game documents checked against the collection's rules."""
+    return quality.validation_report(r.games, "juego_id")
+
+
+@query("duplicate_keys")
+def duplicate_keys(r: Retail) -> DataFrame:
+    """Q3: venta_id values delivered more than once."""
+    return quality.duplicate_keys(r.raw_sales, ["venta_id"])
+
+
+@query("orphan_keys")
+def orphan_keys(r: Retail) -> DataFrame:
+    """Q4: sale keys without a partner -- (game, platform) pairs missing from
+    the catalogue and customers missing from the customer file."""
+    pairs = quality.orphan_keys(r.sales, r.catalog, ["juego_id", "plataforma"]).select(
+        F.lit("juego_plataforma").alias("entidad"),
+        F.concat_ws("|", "juego_id", "plataforma").alias("clave"), "filas")
+    cust = quality.orphan_keys(r.sales, r.customers, ["cliente_id"]).select(
+        F.lit("cliente").alias("entidad"), F.col("cliente_id").alias("clave"), "filas")
+    return pairs.unionByName(cust)
+
+
+# --- D1-D3, C1, R1 ----------------------------------------------------------
+@query("product_profile_docs")
+def product_profile_docs(r: Retail) -> DataFrame:
+    """Game documents with nested metrics, flattened for comparison."""
+    d = documents.product_profile(r.games, r.wide, r.scores)
+    return d.select("juego_id", "titulo", "categoria", "precio_base", "desarrollador",
+                    "publicador", "anio_lanzamiento", "pegi", "descripcion",
+                    F.size("plataformas").alias("num_plataformas"), "metricas.*")
+
+
+@query("monthly_report_docs")
+def monthly_report_docs(r: Retail) -> DataFrame:
+    """D3: the monthly report documents."""
+    return documents.monthly_report(r.wide)
+
+
+@query("sales_docs")
+def sales_docs(r: Retail) -> DataFrame:
+    """One document per sale, date as text."""
+    return documents.sales_documents(r.wide)
+
+
+@query("chart_series")
+def chart_series(r: Retail) -> DataFrame:
+    """The chart series with their display labels."""
+    return documents.kpi_charts(r.wide, r.inventory)
+
+
+def _kpi_collections(r: Retail) -> dict[str, DataFrame]:
+    return {
+        "ventas_procesadas": documents.sales_documents(r.wide),
+        "analisis_juegos": kpis.kpi_top_products(r.wide),
+        "analisis_categorias": kpis.kpi_categories(r.wide),
+        "analisis_plataformas": kpis.kpi_platforms(r.wide, r.inventory),
+        "reportes_mensuales": documents.monthly_report(r.wide),
+        "perfil_clientes": kpis.kpi_top_customers(r.wide),
+        "alertas_inventario": kpis.kpi_low_stock(r.inventory),
+    }
+
+
+def _sources(r: Retail) -> dict[str, tuple[str, DataFrame]]:
+    return {
+        "ventas.csv": ("CSV", r.raw_sales),
+        "clientes.csv": ("CSV", r.raw_customers),
+        "catalogo_juegos.json": ("JSON", r.raw_catalog),
+        "resenas.json": ("JSON", r.raw_reviews),
+        "logs_tienda.txt": ("TXT", r.log_lines),
+        "inventario.xml": ("XML", r.raw_inventory),
+    }
+
+
+@query("run_metadata")
+def run_metadata(r: Retail) -> DataFrame:
+    """The run-metadata document; its per-source counts flattened."""
+    meta = sinks.run_metadata(r.spark, _sources(r), list(_kpi_collections(r)))
+    return meta.select(F.explode("fuentes").alias("f")).select("f.*")
+
+
+@query("output_inventory")
+def output_inventory(r: Retail) -> DataFrame:
+    """K4/K6: write the seven collections as documents, count them back."""
+    root = work_path(r.spark, "documents")
+    cols = _kpi_collections(r)
+    for name, df in cols.items():
+        sinks.write_documents(df, root, name)
+    return sinks.output_inventory(r.spark, root, list(cols))
+
+
+@query("read_back_platforms")
+def read_back_platforms(r: Retail) -> DataFrame:
+    """Platform documents read back: platform, sales, revenue."""
+    root = work_path(r.spark, "documents")
+    sinks.write_documents(kpis.kpi_platforms(r.wide, r.inventory), root, "analisis_plataformas")
+    return documents.read_back(r.spark, root, "analisis_plataformas",
+                               ["plataforma", "num_ventas", "ingresos_total"],
+                               [F.desc("num_ventas")])
+
+
+# --- S1-S5, S8, K1-K3: source and sink round trips ---------------------------
+@query("xml_inventory")
+def xml_inventory(r: Retail) -> DataFrame:
+    """Inventory written as nested XML, read back one row per
+    game x platform."""
+    path = work_path(r.spark, "xml")
+    sinks.write_xml(tables.inventory_nested(r.spark, r.sf_dir), path, "juego", "inventario")
+    return sources.read_xml_nested(
+        r.spark, path, "juego", INVENTORY_XML, "plataformas.plataforma",
+        {"juego_id": "_id", "titulo_inv": "titulo", "plataforma": "item._nombre",
+         "stock": "item.stock", "precio_inv": "item.precio", "umbral": "item.umbral_reposicion"})
+
+
+@query("json_catalog")
+def json_catalog(r: Retail) -> DataFrame:
+    """Catalogue written as JSON Lines, read back with a fixed schema."""
+    path = work_path(r.spark, "json")
+    r.raw_catalog.write.json(path)
+    df = sources.read_json(r.spark, path, CATALOG, multiline=False)
+    return df.select(*[c for c in CATALOG.fieldNames() if c not in ("plataformas", "tags")],
+                     F.size("plataformas").alias("num_plataformas"),
+                     F.array_join("tags", "|").alias("tags_texto"),
+                     F.col(CORRUPT).isNotNull().alias("corrupto"))
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(r: Retail) -> DataFrame:
+    """Customers written as CSV (blanks kept), read back."""
+    path = work_path(r.spark, "csv")
+    sinks.write_csv(r.raw_customers, path)
+    return sources.read_csv(r.spark, path, CUSTOMERS).drop(CORRUPT)
+
+
+@query("parquet_roundtrip")
+def parquet_roundtrip(r: Retail) -> DataFrame:
+    """Wide sales written as Parquet partitioned by (anio, mes), read
+    back."""
+    path = work_path(r.spark, "parquet")
+    sinks.write_parquet(_no_arrays(r.wide), path, ["anio", "mes"])
+    return sources.read_parquet(r.spark, path)
+
+
+@query("encode_messages")
+def encode_messages(r: Retail) -> DataFrame:
+    """Sale events as keyed JSON messages, parsed back."""
+    m = sinks.encode_messages(tables.sale_events(r.spark, r.sf_dir), key="venta_id",
+                              timestamp="timestamp", exclude=["_damage"])
+    ev = F.from_json("value", EVENT).alias("e")
+    return m.select("key", ev).select(
+        "key", "e.event_id", "e.event_type", "e.plataforma", "e.cantidad", "e.total",
+        "e.riesgo_fraude", "e.venta_riesgosa")
+
+
+# --- T-S1..T-S9: the message stream ----------------------------------------
+_STREAM_RUNS: dict[int, str] = {}
+
+
+def stream_outputs(r: Retail) -> str:
+    """Stage the messages as a file "topic", run the micro-batch job over it
+    with availableNow, return the output root.  One run per context."""
+    if id(r) in _STREAM_RUNS:
+        return _STREAM_RUNS[id(r)]
+    spark = r.spark
+    topic = work_path(spark, "topic")
+    sinks.write_parquet(tables.sale_messages(spark, r.sf_dir), topic)
+    stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE)
+    out, ckpt = work_path(spark, "stream"), work_path(spark, "stream-ckpt")
+    q = streaming.start_batches(stream, out, ckpt, run_id="r0", dim=r.customers)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    _STREAM_RUNS[id(r)] = out
+    return out
+
+
+def _stream_result(r: Retail, name: str) -> DataFrame:
+    df = r.spark.read.parquet(f"{stream_outputs(r)}/{name}")
+    return df.drop("run_id", "batch_id")
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@query("stream_by_platform")
+def stream_by_platform(r: Retail) -> DataFrame:
+    """Per-batch summary by platform (one batch)."""
+    return _stream_result(r, "summary_by_platform")
+
+
+@query("stream_by_payment")
+def stream_by_payment(r: Retail) -> DataFrame:
+    """Per-batch summary by payment method (one batch)."""
+    return _stream_result(r, "summary_by_payment")
+
+
+@query("stream_alerts")
+def stream_alerts(r: Retail) -> DataFrame:
+    """F5/T-S8: fraud alerts."""
+    return _ntz(_stream_result(r, "alerts"), "event_timestamp")
+
+
+@query("stream_enriched")
+def stream_enriched(r: Retail) -> DataFrame:
+    """J7/T-S9: valid events enriched with customer data or defaults."""
+    return _ntz(_stream_result(r, "events"), "event_timestamp").select(
+        "event_id", "event_type", "event_timestamp", "venta_id", "cliente_id", "juego_id",
+        "plataforma", "metodo_pago", "vendedor", "precio", "cantidad", "total",
+        "cliente_nombre", "nivel_membresia", "distrito", "riesgo_fraude", "venta_riesgosa")
+
+
+@query("stream_rejects")
+def stream_rejects(r: Retail) -> DataFrame:
+    """T-S2/T9: messages whose value does not fit the event schema."""
+    return _stream_result(r, "rejects").select("message_key")

@@ -197,6 +197,40 @@ def sale_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit(None).cast("boolean"))
          .otherwise(risk >= F.lit(0.75)).alias("venta_riesgosa"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-        # malformed deliveries: every tenth error event is cut short
-        ((F.col("event_type") == "error") & ((F.col("event_id") % 10) == 0)).alias("_broken"),
+        # damaged deliveries (see sale_messages): 0 = no damage
+        F.when((F.col("event_type") == "error") & ((F.col("event_id") % 10) == 0), F.lit(1))
+         .when((F.col("event_type") == "error") & ((F.col("event_id") % 10) == 5), F.lit(2))
+         .otherwise(F.lit(0)).alias("_damage"),
     )
+
+
+def inventory_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory as nested rows shaped like inventario.xml: one row per game
+    (``_id`` attribute, ``titulo``), platforms nested with a ``_nombre``
+    attribute and stock, price and reorder threshold."""
+    p = table(spark, sf_dir, "part")
+    arrays = {k: F.array(*[F.lit(x) for x in v]) for k, v in INVENTORY_PLATFORMS.items()}
+    stock = F.col("p_size").cast("int")
+    umbral = (F.lit(5) + (F.col("p_partkey") % 10)).cast("int")
+    plats = F.transform(_case(F.col("p_size") % 3, arrays), lambda x: F.struct(
+        x.alias("_nombre"), stock.alias("stock"), F.col("p_retailprice").alias("precio"),
+        umbral.alias("umbral_reposicion")))
+    return p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("_id"),
+                    F.col("p_name").alias("titulo"),
+                    F.struct(plats.alias("plataforma")).alias("plataformas"))
+
+
+def sale_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sale events encoded as broker messages (key = venta_id, value = JSON).
+
+    Some error events arrive damaged: damage 1 loses the closing brace,
+    damage 2 carries the quantity as text."""
+    from shopflow.sinks.files import encode_messages
+
+    ev = sale_events(spark, sf_dir)
+    msgs = encode_messages(ev, key="venta_id", timestamp="timestamp", exclude=["_damage"])
+    value = (F.when(F.col("_damage") == 1, F.regexp_replace("value", "}$", ""))
+              .when(F.col("_damage") == 2,
+                    F.regexp_replace("value", '"cantidad":([0-9]+)', '"cantidad":"n$1"'))
+              .otherwise(F.col("value")))
+    return msgs.select("key", value.alias("value"), "timestamp")
