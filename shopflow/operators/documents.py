@@ -73,15 +73,13 @@ def product_profile(games: DataFrame, wide: DataFrame, scores: DataFrame) -> Dat
 def monthly_report(wide: DataFrame) -> DataFrame:
     """D3: KPI4 per month plus month name, best game / category / platform
     and the distance from the mean month as a sentence."""
-    base = kpis.kpi_monthly(wide.filter(present("anio", "mes")))
+    base = windows.vs_mean(kpis.kpi_monthly(wide.filter(present("anio", "mes"))))
     best = windows.monthly_best(wide)
-    mean = windows.monthly_vs_mean(wide).select("anio", "mes", "pct_vs_media")
     pct = F.col("pct_vs_media")
     obs = F.concat(F.format_string("%.1f", F.abs(pct)), F.lit("% "),
                    F.when(pct >= 0, F.lit("por encima")).otherwise(F.lit("por debajo")),
                    F.lit(" de la media mensual"))
     return (base.join(best, ["anio", "mes"], "left")
-                .join(mean, ["anio", "mes"], "left")
                 .select("anio", "mes", month_name("mes").alias("nombre_mes"),
                         "num_transacciones", "total_unidades", "ingresos_mes",
                         "ticket_promedio", "clientes_unicos", "juego_top",

@@ -36,31 +36,65 @@ def best_per_month(wide: DataFrame, key: str, label: str | None = None,
     return best.select("anio", "mes", F.col("__b.l").alias(out))
 
 
-def monthly_best(wide: DataFrame) -> DataFrame:
-    """W3 for games, categories and platforms, one row per month."""
-    months = wide.filter(present("anio", "mes")).select("anio", "mes").distinct()
-    g = best_per_month(wide, "juego_id", "titulo", out="juego_top")
-    c = best_per_month(wide, "categoria", out="categoria_top")
-    p = best_per_month(wide, "plataforma", out="plataforma_top")
-    return (months.join(g, ["anio", "mes"], "left")
-                  .join(c, ["anio", "mes"], "left")
-                  .join(p, ["anio", "mes"], "left"))
+# (key, label, output) of the three "best of the month" dimensions
+MONTH_BEST = [("juego_id", "titulo", "juego_top"), ("categoria", "categoria", "categoria_top"),
+              ("plataforma", "plataforma", "plataforma_top")]
 
 
-def monthly_vs_mean(wide: DataFrame) -> DataFrame:
-    """Monthly revenue, the mean month, and the month's distance from it
-    in percent.  The window runs over one row per month."""
-    m = (wide.filter(present("anio", "mes")).groupBy("anio", "mes")
-             .agg(F.sum(money("total")).alias("__rev")))
+def monthly_best(wide: DataFrame, dims=MONTH_BEST, measure: str = "cantidad") -> DataFrame:
+    """W3 for several dimensions at once, one row per month.
+
+    One pass over the sales: a GROUPING SETS aggregate sums units per
+    (month, game), (month, category) and (month, platform) together; a
+    second, small aggregate picks each month's arg-max per dimension
+    (min over struct(-units, key, label): ties go to the smallest key).
+    """
+    cols = list(dict.fromkeys(c for k, l, _ in dims for c in (k, l)))
+    sets = [["anio", "mes", *dict.fromkeys([k, l])] for k, l, _ in dims]
+    agg = (wide.filter(present("anio", "mes"))
+               .groupingSets(sets, "anio", "mes", *cols)
+               .agg(F.sum(measure).alias("__u"), F.grouping_id().alias("__g")))
+    n = len(cols)
+
+    def gid(k, l):
+        # grouping_id bit i (from the left, over anio, mes, *cols) is 1 when
+        # that column is NOT grouped in the row's set
+        grouped = {c for c in ("anio", "mes", k, l)}
+        bits = 0
+        for i, c in enumerate(["anio", "mes", *cols]):
+            if c not in grouped:
+                bits |= 1 << (n + 1 - i)
+        return bits
+
+    picks = []
+    for k, l, out in dims:
+        mine = (F.col("__g") == gid(k, l)) & present(k, l)
+        best = F.min(F.when(mine, F.struct((-F.col("__u")).alias("nu"), F.col(k).alias("k"),
+                                           F.col(l).alias("l"))))
+        picks.append(best.getField("l").alias(out))
+    return agg.groupBy("anio", "mes").agg(*picks)
+
+
+def vs_mean(monthly: DataFrame, revenue: str = "ingresos_mes") -> DataFrame:
+    """W4 over monthly rows: the mean month and each month's distance from
+    it in percent, computed exactly on decimals.  The window sees one row
+    per month."""
     allm = Window.partitionBy()
-    tot = F.sum("__rev").over(allm)
+    rev = F.col(revenue).cast("decimal(22,2)")
+    tot = F.sum(rev).over(allm)
     n = F.count(F.lit(1)).over(allm)
     dec = "decimal(38,0)"
-    rev_c, tot_c = (F.col("__rev") * 100).cast(dec), (tot * 100).cast(dec)
+    rev_c, tot_c = (rev * 100).cast(dec), (tot * 100).cast(dec)
     pct = F.round((rev_c * n - tot_c) * 100 / tot_c, 1)
-    return m.select(
-        "anio", "mes",
-        F.col("__rev").cast("double").alias("ingresos_mes"),
-        F.round(tot / n, 2).cast("double").alias("media_mensual"),
-        pct.cast("double").alias("pct_vs_media"),
-    )
+    return monthly.withColumns({
+        "media_mensual": F.round(tot / n, 2).cast("double"),
+        "pct_vs_media": pct.cast("double"),
+    })
+
+
+def monthly_vs_mean(wide: DataFrame) -> DataFrame:
+    """Monthly revenue, the mean month, and the month's distance from it
+    in percent."""
+    m = (wide.filter(present("anio", "mes")).groupBy("anio", "mes")
+             .agg(money_sum("total").alias("ingresos_mes")))
+    return vs_mean(m).select("anio", "mes", "ingresos_mes", "media_mensual", "pct_vs_media")
