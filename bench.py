@@ -4,7 +4,7 @@ Prints one JSON line: {"metric", "value", "unit", "queries", "sf"}.
 Each query runs to completion into Spark's no-op sink (full plan, no
 collect).  ``etl_wide`` builds the integrated sales table and writes it as
 Parquet partitioned by (anio, mes); the KPIs then read that table, as the
-reference's SQL step reads the ETL output.  ``stream_batch`` stages the
+KPI step of the batch job reads the integration output.  ``stream_batch`` stages the
 sale-event messages and runs the micro-batch job over them.
 """
 

@@ -23,26 +23,46 @@ def review_scores(reviews: DataFrame) -> DataFrame:
                         F.sum("util_votos").alias("total_votos_util")))
 
 
+def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row per juego_id: its platforms as a map platform -> catalogue
+    fields, plus the review scores.
+
+    The catalogue is keyed by (juego_id, plataforma) and the scores by
+    juego_id; folding both into a single juego_id-keyed dimension lets the
+    sales meet them in one join (one shuffle of the sales when the
+    dimension is too big to broadcast).  A game's map holds one entry per
+    platform it is sold on, so the per-game list is bounded.  The full
+    outer join keeps scores of games missing from the catalogue, exactly
+    as two separate left joins would.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct(
+        F.col("plataforma"), F.struct(*CATALOG_FIELDS)))).alias("__plat")
+    games = (catalog.filter(F.col("plataforma").isNotNull())
+                    .groupBy("juego_id").agg(entries))
+    return games.join(scores.select("juego_id", *SCORE_FIELDS), "juego_id", "full_outer")
+
+
 def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
                  scores: DataFrame, activity: DataFrame) -> DataFrame:
     """Sales left-joined to customers, catalogue (juego_id, plataforma),
     review scores and log activity.  Every dimension is unique on its key
     (deduped / aggregated), so the sale count is preserved.
 
-    Customers and log activity share the key cliente_id; they are combined
-    with one full outer join first so the (large) sales side meets them in a
-    single join instead of two.  Join strategy is left to Spark: a dimension
-    under the broadcast threshold is broadcast (checked on plan statistics,
-    and again at runtime by AQE on the real shuffle size), a larger one
-    becomes a sort-merge join where AQE splits skewed sale partitions.
+    Dimensions sharing a key are combined first -- customers with log
+    activity on cliente_id, catalogue with review scores on juego_id (see
+    ``game_dimension``) -- so the (large) sales side takes two joins, not
+    four.  Join strategy is left to Spark: a dimension under the broadcast
+    threshold is broadcast (checked on plan statistics, and again at
+    runtime by AQE on the real shuffle size), a larger one becomes a
+    sort-merge join where AQE splits skewed sale partitions.
     """
     cust = customers.select("cliente_id", *CUSTOMER_FIELDS)
     act = activity.select("cliente_id", *LOG_FIELDS)
     people = cust.join(act, "cliente_id", "full_outer")
-    cat = catalog.select("juego_id", "plataforma", *CATALOG_FIELDS)
-    sc = scores.select("juego_id", *SCORE_FIELDS)
+    games = game_dimension(catalog, scores)
     wide = (sales.join(people, "cliente_id", "left")
-                 .join(cat, ["juego_id", "plataforma"], "left")
-                 .join(sc, "juego_id", "left"))
-    return wide.select(*sales.columns, *CUSTOMER_FIELDS, *CATALOG_FIELDS,
+                 .join(games, "juego_id", "left"))
+    entry = F.try_element_at(F.col("__plat"), F.col("plataforma"))
+    return wide.select(*sales.columns, *CUSTOMER_FIELDS,
+                       *[entry.getField(c).alias(c) for c in CATALOG_FIELDS],
                        *SCORE_FIELDS, *LOG_FIELDS)

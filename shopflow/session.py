@@ -36,8 +36,7 @@ def build_session(master: str | None = None, app: str = "shopflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    # The reference leans on the lenient 3.x behaviour; we keep ANSI on and
-    # make the lenient spots explicit with try_* functions.
+    # ANSI stays on; lenient parsing is explicit through try_* functions.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return spark

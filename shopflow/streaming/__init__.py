@@ -1,4 +1,4 @@
 from shopflow.streaming.events import (  # noqa: F401
-    alerts, decode_events, enrich_events, start_batches, stream_by_payment,
+    alerts, decode_events, dedupe_events, run_for, enrich_events, start_batches, stream_by_payment,
     stream_by_platform,
 )

@@ -133,19 +133,43 @@ def batch_writer(out_root: str, handlers: Mapping[str, Handler], run_id: str,
     return write
 
 
+def dedupe_events(events: DataFrame, key: str = "event_id", time_col: str = "event_timestamp",
+                  delay: str = "10 minutes") -> DataFrame:
+    """Drop re-delivered events (same ``key``) arriving within ``delay`` of
+    each other in event time.  State is bounded by the watermark; events
+    later than the watermark are dropped by it."""
+    return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+
+
+def run_for(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
+    """T-S6: wait until the query ends by itself (availableNow) or until
+    ``seconds`` have passed, then stop it; re-raise its failure."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query
+
+
 def start_batches(stream: DataFrame, out_root: str, checkpoint: str, run_id: str,
                   handlers: Mapping[str, Handler] | None = None,
                   trigger: Mapping[str, object] | None = None,
-                  dim: DataFrame | None = None) -> StreamingQuery:
+                  dim: DataFrame | None = None,
+                  dedupe_within: str | None = None) -> StreamingQuery:
     """K7-K9, T-S4..T-S7: start the micro-batch query.
 
     ``stream`` holds raw messages (key, value, timestamp).  Each batch is
     decoded once; valid events (enriched against ``dim`` when given) feed
     the handlers, rejected messages go to ``rejects``.  ``trigger`` defaults
     to ``{"availableNow": True}``; pass ``{"processingTime": "10 seconds"}``
-    for a long-running job."""
+    for a long-running job.  ``dedupe_within`` (e.g. "10 minutes") drops
+    re-delivered event ids inside that event-time watermark."""
     handlers = dict(handlers or default_handlers())
     parsed = parse_events(stream)
+    if dedupe_within:
+        parsed = dedupe_events(parsed, delay=dedupe_within)
     if dim is not None:
         parsed = enrich_events(parsed, dim)
 

@@ -1,4 +1,4 @@
-"""Invariants that hold in the reference's recorded outputs, at sf0.01."""
+"""Invariants of the KPI outputs (sums, uniqueness, bounds), at sf0.01."""
 
 import pytest
 from pyspark.sql import functions as F

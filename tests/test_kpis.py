@@ -39,14 +39,16 @@ def test_review_scores(spark):
 
 
 def test_enrich_keeps_sale_count_and_fills(spark):
-    sales = spark.createDataFrame([("V1", "C1", "G1", "PS5"), ("V2", "C9", "G1", "XBOX"), ("V3", "C1", "G2", "PS5")],
+    sales = spark.createDataFrame([("V1", "C1", "G1", "PS5"), ("V2", "C9", "G1", "XBOX"), ("V3", "C1", "G2", "PS5"),
+                                   ("V4", None, "G1", None)],
                                   "venta_id string, cliente_id string, juego_id string, plataforma string")
     cust = spark.createDataFrame([("C1", "Ana", 30, "F", "Lima", "Gold")], "cliente_id string, nombre string, edad int, genero string, distrito string, nivel_membresia string")
     cat = spark.createDataFrame([("G1", "PS5", "T1", "RPG", "dev", 2020, ["a"])], "juego_id string, plataforma string, titulo string, categoria string, desarrollador string, anio_lanzamiento int, tags array<string>")
     sc = spark.createDataFrame([("G1", 4.5, 2, 3)], "juego_id string, puntuacion_promedio double, total_resenas long, total_votos_util long")
     act = spark.createDataFrame([("C9", 2, 0)], "cliente_id string, compras_en_log long, sesiones_log long")
     w = {r.venta_id: r for r in integrate.enrich_sales(sales, cust, cat, sc, act).collect()}
-    assert len(w) == 3
+    assert len(w) == 4
+    assert w["V4"].titulo is None and w["V4"].puntuacion_promedio == 4.5 and w["V4"].nombre is None
     assert w["V1"].titulo == "T1" and w["V1"].nombre == "Ana" and w["V1"].compras_en_log is None
     assert w["V2"].titulo is None and w["V2"].puntuacion_promedio == 4.5 and w["V2"].compras_en_log == 2
     assert w["V3"].titulo is None and w["V3"].puntuacion_promedio is None

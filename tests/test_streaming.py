@@ -43,7 +43,7 @@ def test_enrich_defaults(spark):
                    "C2": ("Zoe", "Normal", "Cusco")}
 
 
-def test_handlers_match_reference_shapes(spark):
+def test_handlers_summary_shapes(spark):
     raw = messages(spark, [msg(1, "PS5", "0.8", "true"), msg(2, "PS5", "0.1", "false"),
                            msg(3, "Xbox", "0.75", "null"), msg(4, "Xbox", "0.2", "null")])
     valid, _ = st.decode_events(raw)
@@ -104,3 +104,14 @@ def test_encode_then_decode(spark):
     r = valid.first()
     assert r.message_key == "V1" and r.event_id == "EVT-000001" and r.venta_riesgosa is True
     assert rejects.count() == 0
+
+
+def test_dedupe_within_watermark_and_bounded_run(spark, tmp):
+    topic, out, ck = (os.path.join(tmp, x) for x in ("topic", "out", "ck"))
+    rows = [msg(1), msg(2), msg(1), msg(3)]  # event 1 delivered twice
+    _write_topic(spark, topic, [rows])
+    stream = spark.readStream.schema(MESSAGE).parquet(topic)
+    q = st.start_batches(stream, out, ck, run_id="d", dedupe_within="10 minutes")
+    st.run_for(q, 120)
+    ev = spark.read.parquet(f"{out}/events")
+    assert sorted(r.event_id for r in ev.collect()) == ["EVT-000001", "EVT-000002", "EVT-000003"]
