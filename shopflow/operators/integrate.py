@@ -31,7 +31,9 @@ def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
     juego_id; folding both into a single juego_id-keyed dimension lets the
     sales meet them in one join (one shuffle of the sales when the
     dimension is too big to broadcast).  A game's map holds one entry per
-    platform it is sold on, so the per-game list is bounded.  The full
+    canonical platform of that game -- no more than the game's own
+    ``plataformas`` array in the source record -- so the per-game list is
+    bounded by the input record, not by the data volume.  The full
     outer join keeps scores of games missing from the catalogue, exactly
     as two separate left joins would.
     """

@@ -81,6 +81,14 @@ def run_batch(spark: SparkSession, sf_dir: str, out_root: str | None = None) ->
     return out
 
 
+def stage_topic(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> None:
+    """Write the sale messages as a Parquet "topic" with one file per topic
+    partition (default: one per core), the shape a partitioned broker topic
+    gives the stream source."""
+    n = partitions or spark.sparkContext.defaultParallelism
+    sinks.write_parquet(tables.sale_messages(spark, sf_dir).repartition(n), path)
+
+
 def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
                run_id: str, source: dict | None = None, trigger: dict | None = None,
                seconds: float | None = None, dedupe_within: str | None = None):
@@ -98,7 +106,7 @@ def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
     dim = spark.read.parquet(dim_path)
     if source is None:
         topic = f"{out_root.rstrip('/')}/topic"
-        sinks.write_parquet(tables.sale_messages(spark, sf_dir), topic)
+        stage_topic(spark, sf_dir, topic)
         stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE)
     else:
         stream = sources.read_stream(spark, source["format"], source.get("options"),

@@ -212,15 +212,15 @@ def chart_series(r: Retail) -> DataFrame:
     return documents.kpi_charts(r.wide, r.inventory)
 
 
-def _kpi_collections(r: Retail) -> dict[str, DataFrame]:
+def _kpi_collections(wide: DataFrame, inventory: DataFrame) -> dict[str, DataFrame]:
     return {
-        "ventas_procesadas": documents.sales_documents(r.wide),
-        "analisis_juegos": kpis.kpi_top_products(r.wide),
-        "analisis_categorias": kpis.kpi_categories(r.wide),
-        "analisis_plataformas": kpis.kpi_platforms(r.wide, r.inventory),
-        "reportes_mensuales": documents.monthly_report(r.wide),
-        "perfil_clientes": kpis.kpi_top_customers(r.wide),
-        "alertas_inventario": kpis.kpi_low_stock(r.inventory),
+        "ventas_procesadas": documents.sales_documents(wide),
+        "analisis_juegos": kpis.kpi_top_products(wide),
+        "analisis_categorias": kpis.kpi_categories(wide),
+        "analisis_plataformas": kpis.kpi_platforms(wide, inventory),
+        "reportes_mensuales": documents.monthly_report(wide),
+        "perfil_clientes": kpis.kpi_top_customers(wide),
+        "alertas_inventario": kpis.kpi_low_stock(inventory),
     }
 
 
@@ -238,15 +238,20 @@ def _sources(r: Retail) -> dict[str, tuple[str, DataFrame]]:
 @query("run_metadata")
 def run_metadata(r: Retail) -> DataFrame:
     """The run-metadata document; its per-source counts flattened."""
-    meta = sinks.run_metadata(r.spark, _sources(r), list(_kpi_collections(r)))
+    meta = sinks.run_metadata(r.spark, _sources(r), list(_kpi_collections(r.wide, r.inventory)))
     return meta.select(F.explode("fuentes").alias("f")).select("f.*")
 
 
 @query("output_inventory")
 def output_inventory(r: Retail) -> DataFrame:
-    """K4/K6: write the seven collections as documents, count them back."""
+    """K4/K6: write the seven collections as documents, count them back.
+
+    The wide table is written once and every collection is derived from
+    that written table (a lineage cut), not rebuilt from the raw inputs."""
     root = work_path(r.spark, "documents")
-    cols = _kpi_collections(r)
+    wide_path = f"{root}/_wide"
+    sinks.write_parquet(r.wide, wide_path)
+    cols = _kpi_collections(r.spark.read.parquet(wide_path), r.inventory)
     for name, df in cols.items():
         sinks.write_documents(df, root, name)
     return sinks.output_inventory(r.spark, root, list(cols))
@@ -326,7 +331,8 @@ def stream_outputs(r: Retail) -> str:
         return _STREAM_RUNS[id(r)]
     spark = r.spark
     topic = work_path(spark, "topic")
-    sinks.write_parquet(tables.sale_messages(spark, r.sf_dir), topic)
+    from shopflow.plans.jobs import stage_topic
+    stage_topic(spark, r.sf_dir, topic)
     stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE)
     out, ckpt = work_path(spark, "stream"), work_path(spark, "stream-ckpt")
     q = streaming.start_batches(stream, out, ckpt, run_id="r0", dim=r.customers)

@@ -33,8 +33,17 @@ EVENT_TYPE_MAP = {"view": EVENT_TYPES[0], "click": EVENT_TYPES[1], "signup": EVE
 STREAM_PLATFORMS = ["PS5", "Xbox", "Switch", "PC", "PlayStation 4"]
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One DataFrame per (session, table file): the schema is read once and
+    every entity built from the same table shares one relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _case(col, mapping: dict, default=None):
