@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopflow.operators import cleanse, integrate, logs
-from shopflow.sources import tables
+from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, INVENTORY_XML, REVIEWS, SALES
+from shopflow.sources import files, tables
 
 
 class Retail:
@@ -83,3 +85,82 @@ class Retail:
     def wide(self) -> DataFrame:
         return integrate.enrich_sales(self.sales, self.customers, self.catalog,
                                       self.scores, self.activity)
+
+
+# Default raw file names of the shop's inputs.
+RAW_FILES = {
+    "sales": "ventas.csv",
+    "customers": "clientes.csv",
+    "catalog": "catalogo_juegos.json",
+    "reviews": "resenas.json",
+    "log": "logs_tienda.txt",
+    "inventory": "inventario.xml",
+}
+INVENTORY_COLUMNS = {"juego_id": "_id", "titulo_inv": "titulo", "plataforma": "item._nombre",
+                     "stock": "item.stock", "precio_inv": "item.precio",
+                     "umbral": "item.umbral_reposicion"}
+
+
+class RawFiles(Retail):
+    """The same entities read from the shop's raw files (CSV, JSON, text,
+    XML) with fixed schemas; everything downstream is shared with
+    ``Retail``.  ``names`` overrides file names; a name may also be a folder
+    or glob of many files, which is how the inputs scale out."""
+
+    def __init__(self, spark: SparkSession, raw_dir: str, names: dict[str, str] | None = None,
+                 json_lines: bool = False):
+        super().__init__(spark, raw_dir)
+        self.names = {**RAW_FILES, **(names or {})}
+        self.json_lines = json_lines
+
+    def _path(self, what: str) -> str:
+        return f"{self.sf_dir}/{self.names[what]}"
+
+    @cached_property
+    def raw_sales(self) -> DataFrame:
+        return files.read_csv(self.spark, self._path("sales"), SALES).select(*SALES.fieldNames())
+
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return files.read_csv(self.spark, self._path("customers"), CUSTOMERS).select(*CUSTOMERS.fieldNames())
+
+    @cached_property
+    def raw_catalog(self) -> DataFrame:
+        df = files.read_json(self.spark, self._path("catalog"), CATALOG, multiline=not self.json_lines)
+        return df.select(*CATALOG.fieldNames())
+
+    @cached_property
+    def raw_reviews(self) -> DataFrame:
+        df = files.read_json(self.spark, self._path("reviews"), REVIEWS, multiline=not self.json_lines)
+        return df.select(*REVIEWS.fieldNames())
+
+    @cached_property
+    def log_lines(self) -> DataFrame:
+        return files.read_lines(self.spark, self._path("log"))
+
+    @cached_property
+    def raw_inventory(self) -> DataFrame:
+        return files.read_xml_nested(self.spark, self._path("inventory"), "juego", INVENTORY_XML,
+                                     "plataformas.plataforma", INVENTORY_COLUMNS)
+
+    @cached_property
+    def rejected_rows(self) -> DataFrame:
+        """Raw CSV / JSON rows that did not fit their schema: file, key (as
+        far as it parsed) and the raw record."""
+        out = None
+        for what, schema, reader in (("sales", SALES, "csv"), ("customers", CUSTOMERS, "csv"),
+                                     ("catalog", CATALOG, "json"), ("reviews", REVIEWS, "json")):
+            if reader == "csv":
+                df = files.read_csv(self.spark, self._path(what), schema)
+            else:
+                df = files.read_json(self.spark, self._path(what), schema, multiline=not self.json_lines)
+            # The filter references every field, so the reader parses (and
+            # checks) all of them instead of only a pruned subset, whatever
+            # action runs on the result.
+            key = schema.fieldNames()[0]
+            fields = F.to_json(F.struct(*schema.fieldNames()))
+            one = df.filter(F.col(CORRUPT).isNotNull() & fields.isNotNull()).select(
+                F.lit(self.names[what]).alias("archivo"), F.col(key).alias("clave"),
+                fields.alias("campos"), F.col(CORRUPT).alias("registro"))
+            out = one if out is None else out.unionByName(one)
+        return out

@@ -48,9 +48,12 @@ def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dic
     }
 
 
-def run_batch(spark: SparkSession, sf_dir: str, out_root: str | None = None) -> dict[str, str]:
-    """Run integration, KPIs and document load; return the output paths."""
-    r = Retail(spark, sf_dir)
+def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None = None) -> dict[str, str]:
+    """Run integration, KPIs and document load; return the output paths.
+
+    ``source`` is a test-table folder or a ``Retail`` context -- e.g.
+    ``RawFiles(spark, "/data/raw")`` for the shop's raw CSV/JSON/TXT/XML."""
+    r = source if isinstance(source, Retail) else Retail(spark, source)
     root = out_root or work_path(spark, "batch")
     wide_path = f"{root}/ventas_enriquecidas"
     write_wide(r, wide_path)

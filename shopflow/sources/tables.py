@@ -71,7 +71,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("V"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("venta_id"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.lit("sin fecha"))
-         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("fecha"),
+         .otherwise(F.to_date("o_orderdate").cast("string")).alias("fecha"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cliente_id"),
         F.when(even, F.concat(F.lit(" p"), F.col("l_partkey").cast("string"), F.lit(" ")))
          .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("juego_id"),
