@@ -13,11 +13,13 @@ from shopflow.plans.context import Retail
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-_CTX: dict[tuple[int, str], Retail] = {}
+_CTX: dict[tuple[str, int, str], Retail] = {}
 
 
 def ctx(spark: SparkSession, sf_dir: str) -> Retail:
-    key = (id(spark), sf_dir.rstrip("/"))
+    from shopflow.sources.tables import session_key
+
+    key = (*session_key(spark), sf_dir.rstrip("/"))
     if key not in _CTX:
         _CTX[key] = Retail(spark, sf_dir)
     return _CTX[key]

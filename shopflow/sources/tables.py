@@ -33,14 +33,21 @@ EVENT_TYPE_MAP = {"view": EVENT_TYPES[0], "click": EVENT_TYPES[1], "signup": EVE
 STREAM_PLATFORMS = ["PS5", "Xbox", "Switch", "PC", "PlayStation 4"]
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
+
+
+def session_key(spark: SparkSession) -> tuple[str, int]:
+    """Identifies a live session: application id (new for every context)
+    plus the session object, so a stopped session's DataFrames are never
+    handed to its successor."""
+    return spark.sparkContext.applicationId, id(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One DataFrame per (session, table file): the schema is read once and
     every entity built from the same table shares one relation."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (*session_key(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
