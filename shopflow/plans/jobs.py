@@ -94,19 +94,30 @@ def stage_topic(spark: SparkSession, sf_dir: str, path: str, partitions: int | N
 
 def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
                run_id: str, source: dict | None = None, trigger: dict | None = None,
-               seconds: float | None = None, dedupe_within: str | None = None):
+               seconds: float | None = None, dedupe_within: str | None = None,
+               dim_buckets: int | None = None):
     """The stream job: messages -> decode -> enrich -> per-batch
     summaries, alerts, events and rejects under ``out_root``.
 
     The customer dimension is cleaned once and written as Parquet; each
-    micro-batch reads that table instead of recomputing it.  ``source``
+    micro-batch reads that table instead of recomputing it; with
+    ``dim_buckets`` it is written bucketed by cliente_id, so a dimension
+    beyond the broadcast bound is joined without being re-shuffled in every
+    batch.  ``source``
     picks the message source: ``{"format": "kafka", "options": {...}}`` on
     a cluster with the connector, by default the messages derived from the
     events table are staged as a Parquet "topic" first."""
-    r = Retail(spark, sf_dir)
+    r = sf_dir if isinstance(sf_dir, Retail) else Retail(spark, sf_dir)
+    sf_dir = r.sf_dir
     dim_path = f"{out_root.rstrip('/')}/dim_clientes"
-    sinks.write_parquet(r.customers, dim_path)
-    dim = spark.read.parquet(dim_path)
+    if dim_buckets:
+        # too big to broadcast: bucket it once, every micro-batch joins it
+        # without re-shuffling the dimension
+        dim = sinks.write_bucketed(r.customers, f"dim_clientes_{run_id}", "cliente_id",
+                                   dim_buckets, dim_path)
+    else:
+        sinks.write_parquet(r.customers, dim_path)
+        dim = spark.read.parquet(dim_path)
     if source is None:
         topic = f"{out_root.rstrip('/')}/topic"
         stage_topic(spark, sf_dir, topic)

@@ -20,6 +20,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:
+    """A dimension written as a bucketed table (hash of ``key`` into
+    ``buckets`` files, sorted by ``key``) at ``path``, registered as
+    ``name``.  Joins on ``key`` then read it without a shuffle; only the
+    other side is exchanged -- the pattern for a dimension too large to
+    broadcast that is joined again and again (every micro-batch)."""
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def write_csv(df: DataFrame, path: str, single: bool = False, header: bool = True,
               mode: str = "overwrite") -> None:
     """K2/K3: CSV with header.  ``single`` writes one part file and is meant

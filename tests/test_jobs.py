@@ -33,3 +33,28 @@ def test_run_stream_job(spark, tmp):
     assert ev.count() + rej.count() == n
     summ = spark.read.parquet(f"{root}/stream/summary_by_platform")
     assert summ.agg(F.sum("total_ventas")).first()[0] == ev.count()
+
+
+def test_run_stream_with_bucketed_dimension(spark, tmp):
+    root = os.path.join(tmp, "stream")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        jobs.run_stream(spark, SF001, root, os.path.join(tmp, "ck"), run_id="b1", seconds=300,
+                        dim_buckets=4)
+        dim = spark.table("dim_clientes_b1")
+        batch = spark.read.parquet(f"{root}/stream/events").select("cliente_id").distinct()
+        plan = batch.join(dim, "cliente_id", "left")._jdf.queryExecution().executedPlan().toString()
+        # one exchange (the distinct on the batch side); none above the bucketed dimension scan
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        if old_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old_aqe)
+    ev = spark.read.parquet(f"{root}/stream/events")
+    known = ev.filter(ev.cliente_nombre != "desconocido").count()
+    assert ev.count() > 0 and known > 0
