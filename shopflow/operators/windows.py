@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.functions.columns import money, money_sum
+from shopflow.functions.columns import money_sum
 from shopflow.functions.predicates import present
 from shopflow.operators.kpis import with_share
 

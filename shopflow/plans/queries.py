@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import canonical_platform
-from shopflow.operators import cleanse, kpis
+from shopflow.operators import cleanse, documents, kpis, quality, windows
 from shopflow.plans.context import Retail
+from shopflow.plans.jobs import stage_topic
+from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE
+from shopflow.session import work_path
+from shopflow.sinks import files as sinks
+from shopflow.sources import files as sources
+from shopflow.sources import tables
+from shopflow.sources.tables import session_key
+from shopflow.streaming import events as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -17,8 +25,6 @@ _CTX: dict[tuple[str, int, str], Retail] = {}
 
 
 def ctx(spark: SparkSession, sf_dir: str) -> Retail:
-    from shopflow.sources.tables import session_key
-
     key = (*session_key(spark), sf_dir.rstrip("/"))
     if key not in _CTX:
         _CTX[key] = Retail(spark, sf_dir)
@@ -128,13 +134,6 @@ def kpi_summary(r: Retail) -> DataFrame:
 
 
 # --- W2-W4 ------------------------------------------------------------------
-from shopflow.operators import documents, quality, windows  # noqa: E402
-from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE  # noqa: E402
-from shopflow.session import work_path  # noqa: E402
-from shopflow.sinks import files as sinks  # noqa: E402
-from shopflow.sources import files as sources  # noqa: E402
-from shopflow.sources import tables  # noqa: E402
-from shopflow.streaming import events as streaming  # noqa: E402
 
 
 @query("revenue_share")
@@ -333,7 +332,6 @@ def stream_outputs(r: Retail) -> str:
         return _STREAM_RUNS[id(r)]
     spark = r.spark
     topic = work_path(spark, "topic")
-    from shopflow.plans.jobs import stage_topic
     stage_topic(spark, r.sf_dir, topic)
     stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE)
     out, ckpt = work_path(spark, "stream"), work_path(spark, "stream-ckpt")
