@@ -114,3 +114,11 @@ def test_monthly_best_and_vs_mean(wide):
 def test_revenue_share(wide):
     got = windows.revenue_share(wide).collect()
     assert len(got) == 1 and got[0].pct_ingresos == 100.0
+
+
+def test_approx_distinct_variants(wide):
+    exact = {(r.anio, r.mes): r.clientes_unicos for r in kpis.kpi_monthly(wide).collect()}
+    approx = {(r.anio, r.mes): r.clientes_unicos for r in kpis.kpi_monthly(wide, approx=True).collect()}
+    assert exact == approx  # HyperLogLog++ is exact at these cardinalities
+    a, e = kpis.kpi_summary(wide, approx=True).first(), kpis.kpi_summary(wide).first()
+    assert (a.clientes_activos, a.juegos_vendidos) == (e.clientes_activos, e.juegos_vendidos)
