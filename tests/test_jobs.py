@@ -58,3 +58,12 @@ def test_run_stream_with_bucketed_dimension(spark, tmp):
     ev = spark.read.parquet(f"{root}/stream/events")
     known = ev.filter(ev.cliente_nombre != "desconocido").count()
     assert ev.count() > 0 and known > 0
+
+
+def test_command_line(spark, tmp):
+    from shopflow.__main__ import main
+
+    out = main(["query", "--tables", SF001, "--name", "kpi_summary", "--out", os.path.join(tmp, "q")])
+    assert spark.read.parquet(out["kpi_summary"]).count() == 1
+    res = main(["batch", "--tables", SF001, "--out", os.path.join(tmp, "b")])
+    assert spark.read.parquet(res["ventas_enriquecidas"]).count() > 0
