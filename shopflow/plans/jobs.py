@@ -69,7 +69,7 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     for name, df in kpi_tables(spark, wide_path, inventory).items():
         # one file for the KPI tables bounded by a small domain; the low-stock
         # list grows with the inventory and keeps its parts
-        sinks.write_csv(df, f"{root}/kpis/{name}", single=name in BOUNDED_KPIS)
+        sinks.write_csv(df, f"{root}/kpis/{name}", single=name in BOUNDED_KPIS, plain=True)
         out[name] = f"{root}/kpis/{name}"
     wide = spark.read.parquet(wide_path)
     docs = {

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopflow.operators.documents import to_document_types
 
@@ -31,10 +32,26 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str)
     return df.sparkSession.table(name)
 
 
+def plain_numbers(df: DataFrame, scale: int = 10) -> DataFrame:
+    """Doubles as plain decimal text (18667993.8, not 1.86679938E7), exact
+    for values with up to ``scale`` decimals; other columns unchanged."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DoubleType):
+            text = F.regexp_replace(c.cast(f"decimal(38,{scale})").cast("string"), r"\.?0+$", "")
+            c = F.when(F.abs(c) < F.lit(1e15), text).otherwise(c.cast("string"))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def write_csv(df: DataFrame, path: str, single: bool = False, header: bool = True,
-              mode: str = "overwrite") -> None:
+              mode: str = "overwrite", plain: bool = False) -> None:
     """K2/K3: CSV with header.  ``single`` writes one part file and is meant
-    for bounded KPI tables only; values keep their blanks."""
+    for bounded KPI tables only; values keep their blanks; ``plain`` writes
+    doubles in plain decimal notation."""
+    if plain:
+        df = plain_numbers(df)
     if single:
         df = df.coalesce(1)
     (df.write.mode(mode).option("header", header)

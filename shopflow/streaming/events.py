@@ -73,18 +73,25 @@ def enrich_events(events: DataFrame, dim: DataFrame, key: str = "cliente_id",
     return j.withColumns(filled).drop("__k", *[f"__{k}" for k in fields])
 
 
-def stream_by_platform(batch: DataFrame) -> DataFrame:
-    """Per platform: events, revenue, mean ticket, risky events."""
-    return batch.groupBy("plataforma").agg(
+def of_types(batch: DataFrame, event_types=None) -> DataFrame:
+    """Keep only the given lifecycle types (None keeps every event: each
+    lifecycle event then counts, as in the per-event summaries)."""
+    return batch if not event_types else batch.filter(F.col("event_type").isin(*event_types))
+
+
+def stream_by_platform(batch: DataFrame, event_types=None) -> DataFrame:
+    """Per platform: events, revenue, mean ticket, risky events.
+    ``event_types`` restricts the summary, e.g. to completed sales."""
+    return of_types(batch, event_types).groupBy("plataforma").agg(
         F.count(F.lit(1)).alias("total_ventas"),
         money_sum("total").alias("ingresos"),
         money_avg("total").alias("ticket_promedio"),
         F.sum(F.col("venta_riesgosa").cast("int")).alias("ventas_riesgo"))
 
 
-def stream_by_payment(batch: DataFrame) -> DataFrame:
+def stream_by_payment(batch: DataFrame, event_types=None) -> DataFrame:
     """Per payment method: events, amount, mean risk."""
-    return batch.groupBy("metodo_pago").agg(
+    return of_types(batch, event_types).groupBy("metodo_pago").agg(
         F.count(F.lit(1)).alias("total_transacciones"),
         money_sum("total").alias("monto_total"),
         money_avg("riesgo_fraude").alias("riesgo_promedio"))

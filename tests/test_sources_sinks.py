@@ -116,3 +116,13 @@ def test_read_stream_file_source(spark, tmp):
     spark.createDataFrame([("k", '{"a":1}', None)], MESSAGE).write.parquet(p)
     s = sources.read_stream(spark, "parquet", path=p)
     assert s.isStreaming and s.columns == ["key", "value", "timestamp"]
+
+
+def test_plain_numbers_in_csv(spark, tmp):
+    df = spark.createDataFrame([(18667993.8, 0.5, 12.0, None, "x")], "a double, b double, c double, d double, s string")
+    r = sinks.plain_numbers(df).first()
+    assert (r.a, r.b, r.c, r.d, r.s) == ("18667993.8", "0.5", "12", None, "x")
+    out = os.path.join(tmp, "csv")
+    sinks.write_csv(df, out, single=True, plain=True)
+    text = open(os.path.join(out, [f for f in os.listdir(out) if f.startswith("part-")][0])).read()
+    assert "18667993.8,0.5,12,,x" in text and "E7" not in text

@@ -115,3 +115,10 @@ def test_dedupe_within_watermark_and_bounded_run(spark, tmp):
     st.run_for(q, 120)
     ev = spark.read.parquet(f"{out}/events")
     assert sorted(r.event_id for r in ev.collect()) == ["EVT-000001", "EVT-000002", "EVT-000003"]
+
+
+def test_summary_event_type_filter(spark):
+    raw = messages(spark, [msg(1), msg(2)])
+    valid, _ = st.decode_events(raw)
+    assert st.stream_by_platform(valid, ["venta_creada"]).first().total_ventas == 2
+    assert st.stream_by_platform(valid, ["venta_cancelada"]).count() == 0
