@@ -42,10 +42,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (),
 def add_date_parts(df: DataFrame, date_col: str = "fecha", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Parse the date (bad -> NULL), add mes, anio, trimestre."""
     d = parse_date(F.col(date_col), fmt)
-    return (df.withColumn(date_col, d)
-              .withColumn("mes", F.month(date_col))
-              .withColumn("anio", F.year(date_col))
-              .withColumn("trimestre", F.quarter(date_col)))
+    return df.withColumn(date_col, d).withColumns({
+        "mes": F.month(date_col), "anio": F.year(date_col), "trimestre": F.quarter(date_col)})
 
 
 def add_total(df: DataFrame, price: str = "precio", qty: str = "cantidad",

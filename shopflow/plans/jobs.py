@@ -77,6 +77,7 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
         "analisis_juegos": documents.product_profile(r.games, wide, r.scores),
         "reportes_mensuales": documents.monthly_report(wide),
         "alertas_inventario": kpis.kpi_low_stock(inventory),
+        "series_graficos": documents.kpi_charts(wide, inventory),
     }
     for name, df in docs.items():
         out[name] = sinks.write_documents(df, f"{root}/documentos", name)
