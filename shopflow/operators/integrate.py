@@ -45,7 +45,8 @@ def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
-                 scores: DataFrame, activity: DataFrame) -> DataFrame:
+                 scores: DataFrame, activity: DataFrame, people: bool = True,
+                 games: bool = True) -> DataFrame:
     """Sales left-joined to customers, catalogue (juego_id, plataforma),
     review scores and log activity.  Every dimension is unique on its key
     (deduped / aggregated), so the sale count is preserved.
@@ -57,14 +58,22 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
     threshold is broadcast (checked on plan statistics, and again at
     runtime by AQE on the real shuffle size), a larger one becomes a
     sort-merge join where AQE splits skewed sale partitions.
+
+    Every dimension is unique on its key, so a left join never changes the
+    sales rows; ``people=False`` / ``games=False`` leave out a dimension a
+    query does not read (Catalyst cannot drop such a join by itself: it
+    does not know the key is unique), sparing its shuffle of the sales.
     """
-    cust = customers.select("cliente_id", *CUSTOMER_FIELDS)
-    act = activity.select("cliente_id", *LOG_FIELDS)
-    people = cust.join(act, "cliente_id", "full_outer")
-    games = game_dimension(catalog, scores)
-    wide = (sales.join(people, "cliente_id", "left")
-                 .join(games, "juego_id", "left"))
-    entry = F.try_element_at(F.col("__plat"), F.col("plataforma"))
-    return wide.select(*sales.columns, *CUSTOMER_FIELDS,
-                       *[entry.getField(c).alias(c) for c in CATALOG_FIELDS],
-                       *SCORE_FIELDS, *LOG_FIELDS)
+    wide, cols = sales, list(sales.columns)
+    if people:
+        cust = customers.select("cliente_id", *CUSTOMER_FIELDS)
+        act = activity.select("cliente_id", *LOG_FIELDS)
+        wide = wide.join(cust.join(act, "cliente_id", "full_outer"), "cliente_id", "left")
+        cols += CUSTOMER_FIELDS
+    if games:
+        wide = wide.join(game_dimension(catalog, scores), "juego_id", "left")
+        entry = F.try_element_at(F.col("__plat"), F.col("plataforma"))
+        cols += [entry.getField(c).alias(c) for c in CATALOG_FIELDS] + SCORE_FIELDS
+    if people:
+        cols += LOG_FIELDS
+    return wide.select(*cols)

@@ -86,6 +86,17 @@ class Retail:
         return integrate.enrich_sales(self.sales, self.customers, self.catalog,
                                       self.scores, self.activity)
 
+    def wide_with(self, people: bool = False, games: bool = False) -> DataFrame:
+        """The wide table with only the dimensions a query reads."""
+        if people and games:
+            return self.wide
+        key = f"_wide_{people}_{games}"
+        if key not in self.__dict__:
+            self.__dict__[key] = integrate.enrich_sales(
+                self.sales, self.customers, self.catalog, self.scores, self.activity,
+                people=people, games=games)
+        return self.__dict__[key]
+
 
 # Default raw file names of the shop's inputs.
 RAW_FILES = {

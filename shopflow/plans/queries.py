@@ -93,34 +93,36 @@ def wide_sales(r: Retail) -> DataFrame:
     return _no_arrays(r.wide)
 
 
+# Each KPI joins only the dimensions it reads (see Retail.wide_with); the
+# result equals the same KPI over the full wide table.
 @query("kpi_top_products")
 def kpi_top_products(r: Retail) -> DataFrame:
-    return kpis.kpi_top_products(r.wide)
+    return kpis.kpi_top_products(r.wide_with(games=True))
 
 
 @query("kpi_categories")
 def kpi_categories(r: Retail) -> DataFrame:
-    return kpis.kpi_categories(r.wide)
+    return kpis.kpi_categories(r.wide_with(games=True))
 
 
 @query("kpi_platforms")
 def kpi_platforms(r: Retail) -> DataFrame:
-    return kpis.kpi_platforms(r.wide, r.inventory)
+    return kpis.kpi_platforms(r.wide_with(), r.inventory)
 
 
 @query("kpi_monthly")
 def kpi_monthly(r: Retail) -> DataFrame:
-    return kpis.kpi_monthly(r.wide)
+    return kpis.kpi_monthly(r.wide_with())
 
 
 @query("kpi_top_customers")
 def kpi_top_customers(r: Retail) -> DataFrame:
-    return kpis.kpi_top_customers(r.wide)
+    return kpis.kpi_top_customers(r.wide_with(people=True))
 
 
 @query("kpi_payment_by_segment")
 def kpi_payment_by_segment(r: Retail) -> DataFrame:
-    return kpis.kpi_payment_by_segment(r.wide)
+    return kpis.kpi_payment_by_segment(r.wide_with(people=True))
 
 
 @query("kpi_low_stock")
@@ -130,7 +132,7 @@ def kpi_low_stock(r: Retail) -> DataFrame:
 
 @query("kpi_summary")
 def kpi_summary(r: Retail) -> DataFrame:
-    return kpis.kpi_summary(r.wide)
+    return kpis.kpi_summary(r.wide_with())
 
 
 # --- W2-W4 ------------------------------------------------------------------
@@ -139,19 +141,19 @@ def kpi_summary(r: Retail) -> DataFrame:
 @query("revenue_share")
 def revenue_share(r: Retail) -> DataFrame:
     """Category revenue and its share of the classified revenue."""
-    return windows.revenue_share(r.wide, "categoria")
+    return windows.revenue_share(r.wide_with(games=True), "categoria")
 
 
 @query("monthly_best")
 def monthly_best(r: Retail) -> DataFrame:
     """Best game, category and platform of every month."""
-    return windows.monthly_best(r.wide)
+    return windows.monthly_best(r.wide_with(games=True))
 
 
 @query("monthly_vs_mean")
 def monthly_vs_mean(r: Retail) -> DataFrame:
     """Each month's revenue against the mean month."""
-    return windows.monthly_vs_mean(r.wide)
+    return windows.monthly_vs_mean(r.wide_with())
 
 
 # --- Q1-Q4 ------------------------------------------------------------------
@@ -189,7 +191,7 @@ def orphan_keys(r: Retail) -> DataFrame:
 @query("product_profile_docs")
 def product_profile_docs(r: Retail) -> DataFrame:
     """Game documents with nested metrics, flattened for comparison."""
-    d = documents.product_profile(r.games, r.wide, r.scores)
+    d = documents.product_profile(r.games, r.wide_with(), r.scores)
     return d.select("juego_id", "titulo", "categoria", "precio_base", "desarrollador",
                     "publicador", "anio_lanzamiento", "pegi", "descripcion",
                     F.size("plataformas").alias("num_plataformas"), "metricas.*")
@@ -198,7 +200,7 @@ def product_profile_docs(r: Retail) -> DataFrame:
 @query("monthly_report_docs")
 def monthly_report_docs(r: Retail) -> DataFrame:
     """D3: the monthly report documents."""
-    return documents.monthly_report(r.wide)
+    return documents.monthly_report(r.wide_with(games=True))
 
 
 @query("sales_docs")
@@ -262,7 +264,7 @@ def output_inventory(r: Retail) -> DataFrame:
 def read_back_platforms(r: Retail) -> DataFrame:
     """Platform documents read back: platform, sales, revenue."""
     root = work_path(r.spark, "documents")
-    sinks.write_documents(kpis.kpi_platforms(r.wide, r.inventory), root, "analisis_plataformas")
+    sinks.write_documents(kpis.kpi_platforms(r.wide_with(), r.inventory), root, "analisis_plataformas")
     return documents.read_back(r.spark, root, "analisis_plataformas",
                                ["plataforma", "num_ventas", "ingresos_total"],
                                [F.desc("num_ventas")])

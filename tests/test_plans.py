@@ -31,3 +31,15 @@ def test_small_dimensions_broadcast(spark):
 def test_monthly_best_single_pass(spark):
     p = plan(E.queries()["monthly_best"](spark, SF001))
     assert p.count("Expand") == 1
+
+
+@pytest.mark.parametrize("name", ["kpi_summary", "kpi_platforms", "kpi_monthly", "monthly_vs_mean"])
+def test_kpis_join_only_dimensions_they_read(spark, name):
+    p = plan(E.queries()[name](spark, SF001))
+    # neither the customer+activity dimension nor the game dimension (both built by full outer joins)
+    assert "FullOuter" not in p and "collect_list" not in p
+
+
+def test_customer_kpis_skip_game_dimension(spark):
+    p = plan(E.queries()["kpi_payment_by_segment"](spark, SF001))
+    assert p.count("FullOuter") == 1 and "collect_list" not in p
