@@ -42,4 +42,6 @@ def test_kpis_join_only_dimensions_they_read(spark, name):
 
 def test_customer_kpis_skip_game_dimension(spark):
     p = plan(E.queries()["kpi_payment_by_segment"](spark, SF001))
-    assert p.count("FullOuter") == 1 and "collect_list" not in p
+    # the customer dimension is joined (its NOT NULL filter may turn the full
+    # outer combination into a plainer join); the game dimension is not
+    assert "c_mktsegment" in p and "collect_list" not in p and "p_name" not in p
