@@ -73,7 +73,7 @@ def product_profile(games: DataFrame, wide: DataFrame, scores: DataFrame) -> Dat
 def monthly_report(wide: DataFrame) -> DataFrame:
     """D3: KPI4 per month plus month name, best game / category / platform
     and the distance from the mean month as a sentence."""
-    base = windows.vs_mean(kpis.kpi_monthly(wide.filter(present("anio", "mes"))))
+    base = windows.vs_mean(kpis.monthly_totals(wide.filter(present("anio", "mes"))))
     best = windows.monthly_best(wide)
     pct = F.col("pct_vs_media")
     obs = F.concat(F.format_string("%.1f", F.abs(pct)), F.lit("% "),

@@ -77,8 +77,8 @@ def kpi_platforms(wide: DataFrame, inventory: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("ingresos_total"), "plataforma")
 
 
-def kpi_monthly(wide: DataFrame, approx: bool = False) -> DataFrame:
-    """KPI4 (A7): per year and month, with distinct customers."""
+def monthly_totals(wide: DataFrame, approx: bool = False) -> DataFrame:
+    """KPI4's rows, unordered (for reuse inside other plans)."""
     distinct = (F.approx_count_distinct("cliente_id") if approx
                 else F.count_distinct("cliente_id"))
     return (wide.groupBy("anio", "mes")
@@ -86,8 +86,12 @@ def kpi_monthly(wide: DataFrame, approx: bool = False) -> DataFrame:
                      F.sum("cantidad").alias("total_unidades"),
                      money_sum("total").alias("ingresos_mes"),
                      money_avg("total").alias("ticket_promedio"),
-                     distinct.alias("clientes_unicos"))
-                .orderBy("anio", "mes"))
+                     distinct.alias("clientes_unicos")))
+
+
+def kpi_monthly(wide: DataFrame, approx: bool = False) -> DataFrame:
+    """KPI4 (A7): per year and month, with distinct customers."""
+    return monthly_totals(wide, approx).orderBy("anio", "mes")
 
 
 def kpi_top_customers(wide: DataFrame, k: int = 10) -> DataFrame:
