@@ -48,9 +48,9 @@ def main() -> None:
 
     # Warm-up: the same jobs once on the smallest data set, so the timings
     # below are steady-state (JIT, codegen and class loading are paid here).
-    warm = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.01"))
-    if os.path.abspath(warm) == os.path.abspath(sf_dir):
-        warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    smaller = [f"sf{x}" for x in ("0.01", "0.001") if sf is None or float(x) < sf]
+    warm = os.environ.get("BENCH_WARMUP_DIR",
+                          os.path.join(os.path.dirname(sf_dir), smaller[0]) if smaller else "")
     if warm and os.path.isdir(warm) and os.environ.get("BENCH_WARMUP", "1") == "1":
         wr, wroot = Retail(spark, warm), work_path(spark, "bench-warmup")
         jobs.write_wide(wr, f"{wroot}/w")
