@@ -109,3 +109,24 @@ def test_rejected_raw_rows(spark, tmp):
     assert [(x.archivo, x.clave, x.registro) for x in rej] == [
         ("ventas.csv", "V7", "V7,2024-03-01,C1,JV001,PS5,caro,1,Yape,S1")]
     assert r.sales.filter(F.col("venta_id") == "V7").count() == 0  # NULL price is dropped by the cleanse
+
+
+def test_raw_inputs_as_many_files_and_json_lines(spark, tmp):
+    import json
+
+    raw = os.path.join(tmp, "raw")
+    os.makedirs(os.path.join(raw, "ventas"))
+    write_raw(raw)
+    header, *lines = VENTAS.strip().split("\n")
+    for i in range(3):  # the sales split over three files, each with its header
+        with open(os.path.join(raw, "ventas", f"part-{i}.csv"), "w") as f:
+            f.write("\n".join([header, *lines[i::3]]) + "\n")
+    for name, text in (("catalogo_juegos.jsonl", CATALOGO), ("resenas.jsonl", RESENAS)):
+        with open(os.path.join(raw, name), "w") as f:
+            f.write("\n".join(json.dumps(x) for x in json.loads(text)) + "\n")
+    r = RawFiles(spark, raw, names={"sales": "ventas", "catalog": "catalogo_juegos.jsonl",
+                                    "reviews": "resenas.jsonl"}, json_lines=True)
+    assert r.raw_sales.count() == 7
+    assert sorted(x.venta_id for x in r.sales.collect()) == ["V1", "V2", "V3", "V5", "V6"]
+    assert {x.juego_id: x.puntuacion_promedio for x in r.scores.collect()} == {"JV001": 4.25, "JV002": 3.0}
+    assert r.catalog.count() == 4  # JV001: PS5, PC; JV002: XBOX (two spellings); JV003: SWITCH
