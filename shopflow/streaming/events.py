@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions.columns import (
-    EVENT_DEFAULTS, RISK_THRESHOLD, canonical_platform, money_avg, money_sum,
+    EVENT_DEFAULTS, RISK_THRESHOLD, canonical_platform, money_avg, money_sum, normalize_key,
 )
 from shopflow.functions.predicates import risky
 from shopflow.schemas import CORRUPT, EVENT, with_corrupt
@@ -61,13 +61,13 @@ def decode_events(raw: DataFrame, schema=EVENT) -> tuple[DataFrame, DataFrame]:
 def enrich_events(events: DataFrame, dim: DataFrame, key: str = "cliente_id",
                   fields: Mapping[str, str] | None = None,
                   defaults: Mapping[str, str] = EVENT_DEFAULTS) -> DataFrame:
-    """J7/T-S9: stream-static left join; each event field keeps its own
-    value, else the dimension's, else the default.  ``fields`` maps event
-    field -> dimension column."""
+    """J7/T-S9: stream-static left join on the normalised key; each event
+    field keeps its own value, else the dimension's, else the default.
+    ``fields`` maps event field -> dimension column."""
     fields = dict(fields or {"cliente_nombre": "nombre", "nivel_membresia": "nivel_membresia",
                              "distrito": "distrito"})
     d = dim.select(F.col(key).alias("__k"), *[F.col(v).alias(f"__{k}") for k, v in fields.items()])
-    j = events.join(d, events[key] == d["__k"], "left")
+    j = events.join(d, normalize_key(events[key]) == d["__k"], "left")
     filled = {k: F.coalesce(F.col(k), F.col(f"__{k}"), F.lit(defaults.get(k)))
               for k in fields}
     return j.withColumns(filled).drop("__k", *[f"__{k}" for k in fields])

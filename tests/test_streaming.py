@@ -34,12 +34,12 @@ def test_decode_splits_rejects(spark):
 
 
 def test_enrich_defaults(spark):
-    ev = spark.createDataFrame([("C1", None, None, None), ("C9", None, None, None), ("C2", "Zoe", None, None)],
+    ev = spark.createDataFrame([(" c1", None, None, None), ("C9", None, None, None), ("C2", "Zoe", None, None)],
                                "cliente_id string, cliente_nombre string, nivel_membresia string, distrito string")
     dim = spark.createDataFrame([("C1", "Ana", "Gold", "Lima"), ("C2", "Bea", None, "Cusco")],
                                 "cliente_id string, nombre string, nivel_membresia string, distrito string")
     got = {r.cliente_id: tuple(r)[1:] for r in st.enrich_events(ev, dim).collect()}
-    assert got == {"C1": ("Ana", "Gold", "Lima"), "C9": ("desconocido", "Normal", "Desconocido"),
+    assert got == {" c1": ("Ana", "Gold", "Lima"), "C9": ("desconocido", "Normal", "Desconocido"),
                    "C2": ("Zoe", "Normal", "Cusco")}
 
 
