@@ -10,6 +10,7 @@ and finish with the run-metadata document and the output inventory.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopflow.operators import documents, kpis
 from shopflow.plans.context import Retail
@@ -27,14 +28,16 @@ BOUNDED_KPIS = {"top_juegos", "categorias", "plataformas", "ventas_mensuales", "
                 "pago_membresia", "resumen_ejecutivo"}
 
 
-def write_wide(r: Retail, path: str) -> None:
+def write_wide(r: Retail, path: str) -> int:
     """The integration step: clean, join, write.
 
     A rebalance on the partition columns before the partitioned write gives
     few, evenly sized files per (anio, mes) folder: AQE splits a month that
     holds a large share of the sales and merges small ones, where a plain
     write would leave every task a file in every month it touches."""
-    sinks.write_parquet(r.wide.hint("rebalance", *WIDE_PARTITIONS), path, WIDE_PARTITIONS)
+    wide, obs = sinks.count_of(r.wide, "ventas_enriquecidas")
+    sinks.write_parquet(wide.hint("rebalance", *WIDE_PARTITIONS), path, WIDE_PARTITIONS)
+    return obs.get["n"]  # counted while writing, no second pass
 
 
 def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dict[str, DataFrame]:
@@ -52,7 +55,7 @@ def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dic
     }
 
 
-def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None = None) -> dict[str, str]:
+def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None = None) -> dict:
     """Run integration, KPIs and document load; return the output paths.
 
     ``source`` is a test-table folder or a ``Retail`` context -- e.g.
@@ -60,7 +63,7 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     r = source if isinstance(source, Retail) else Retail(spark, source)
     root = out_root or work_path(spark, "batch")
     wide_path = f"{root}/ventas_enriquecidas"
-    write_wide(r, wide_path)
+    n_sales = write_wide(r, wide_path)
     sinks.write_parquet(r.inventory, f"{root}/inventario")
     sinks.write_parquet(r.scores, f"{root}/puntuaciones")
     sinks.write_csv(r.activity, f"{root}/actividad_logs")
@@ -86,7 +89,8 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
         "catalogo_juegos.json": ("JSON", r.raw_catalog), "resenas.json": ("JSON", r.raw_reviews),
         "logs_tienda.txt": ("TXT", r.log_lines), "inventario.xml": ("XML", r.raw_inventory),
     }
-    meta = sinks.run_metadata(spark, sources, list(docs))
+    meta = sinks.run_metadata(spark, sources, list(docs)).withColumn(
+        "ventas_procesadas", F.lit(n_sales).cast("long"))
     out["pipeline_metadata"] = sinks.write_documents(meta, f"{root}/documentos", "pipeline_metadata")
     return out
 
