@@ -119,3 +119,36 @@ def kpi_charts(wide: DataFrame, inventory: DataFrame) -> DataFrame:
                                       "nombre", "gasto_total"))
             .unionByName(chart_series(kpis.kpi_low_stock(inventory), "stock_bajo",
                                       stock_label, "stock", money=False)))
+
+
+# Schemas of the exported KPI CSV folders the chart series are read from.
+KPI_FILE_SCHEMAS = {
+    "top_juegos": "juego_id string, titulo string, categoria string, total_unidades long, "
+                  "num_transacciones long, ingresos_total double, rating_promedio double",
+    "plataformas": "plataforma string, num_ventas long, total_unidades long, ingresos_total double, "
+                   "ticket_promedio double, cuota_mercado_pct double, stock_actual long",
+    "ventas_mensuales": "anio int, mes int, num_transacciones long, total_unidades long, "
+                        "ingresos_mes double, ticket_promedio double, clientes_unicos long",
+    "top_clientes": "cliente_id string, nombre string, nivel_membresia string, distrito string, "
+                    "num_compras long, gasto_total double, ticket_promedio double, ultima_compra date",
+    "stock_bajo": "juego_id string, titulo string, plataforma string, stock int, umbral int, precio double",
+}
+
+
+def charts_from_kpi_files(spark: SparkSession, kpi_root: str) -> DataFrame:
+    """C1 from the exported KPI CSV folders (S8): every part file of each
+    folder is read with a fixed schema, then turned into chart series --
+    the same rows as ``kpi_charts`` over the wide table."""
+    def read(name):
+        return spark.read.option("header", True).schema(KPI_FILE_SCHEMAS[name]).csv(
+            f"{kpi_root.rstrip('/')}/{name}")
+    month = F.concat(F.col("anio").cast("string"), F.lit("-"),
+                     F.lpad(F.col("mes").cast("string"), 2, "0"))
+    stock_label = F.concat(F.col("titulo"), F.lit(" ("), F.col("plataforma"), F.lit(")"))
+    return (chart_series(read("top_juegos"), "top_juegos", "titulo", "total_unidades", money=False)
+            .unionByName(chart_series(read("plataformas"), "plataformas", "plataforma", "ingresos_total"))
+            .unionByName(chart_series(read("ventas_mensuales").filter(present("anio", "mes")),
+                                      "ventas_mensuales", month, "ingresos_mes"))
+            .unionByName(chart_series(read("top_clientes"), "top_clientes", "nombre", "gasto_total"))
+            .unionByName(chart_series(read("stock_bajo"), "stock_bajo", stock_label, "stock",
+                                      money=False)))

@@ -68,3 +68,14 @@ def test_command_line(spark, tmp):
     assert spark.read.parquet(out["kpi_summary"]).count() == 1
     res = main(["batch", "--tables", SF001, "--out", os.path.join(tmp, "b")])
     assert spark.read.parquet(res["ventas_enriquecidas"]).count() > 0
+
+
+def test_charts_from_exported_kpi_files(spark, tmp):
+    from shopflow.operators import documents
+
+    out = jobs.run_batch(spark, SF001, os.path.join(tmp, "b"))
+    kpi_root = os.path.dirname(out["top_juegos"])
+    from_files = sorted(tuple(r) for r in documents.charts_from_kpi_files(spark, kpi_root).collect())
+    from_docs = sorted(tuple(r) for r in spark.read.json(out["series_graficos"]).select(
+        "serie", "etiqueta", "valor", "texto").collect())
+    assert from_files == from_docs and len(from_files) > 0
