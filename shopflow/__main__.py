@@ -31,6 +31,7 @@ def parse(argv):
     src.add_argument("--raw", help="folder of the raw shop files")
     b.add_argument("--json-lines", action="store_true", help="raw JSON inputs are JSON Lines")
     b.add_argument("--out", required=True)
+    b.add_argument("--salt", type=int, default=0, help="salt the dimension joins N ways (hot keys)")
     s = sub.add_parser("stream")
     s.add_argument("--tables", required=True, help="folder of the tables the customer dimension comes from")
     s.add_argument("--out", required=True)
@@ -59,7 +60,9 @@ def main(argv=None) -> dict:
 
     spark = build_session(args.master)
     if args.cmd == "batch":
-        source = RawFiles(spark, args.raw, json_lines=args.json_lines) if args.raw else args.tables
+        from shopflow.plans.context import Retail
+        source = (RawFiles(spark, args.raw, json_lines=args.json_lines, salt=args.salt) if args.raw
+                  else Retail(spark, args.tables, salt=args.salt))
         result = jobs.run_batch(spark, source, args.out)
     elif args.cmd == "stream":
         source = None

@@ -13,6 +13,24 @@ SCORE_FIELDS = ["puntuacion_promedio", "total_resenas", "total_votos_util"]
 LOG_FIELDS = ["compras_en_log", "sesiones_log"]
 
 
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, buckets: int,
+                     salt_from: list[str]) -> DataFrame:
+    """Left join that spreads a hot ``key`` over ``buckets`` tasks.
+
+    Each left row gets a salt from a hash of its own (unique) columns
+    ``salt_from``; the right side -- unique per key -- is replicated once per
+    salt value.  Every left row meets exactly the one replica with its salt,
+    so the result equals the plain left join, while a key holding a third
+    of the left rows is split ``buckets`` ways.  The replication is bounded
+    by ``buckets`` (no pairs within a group are formed).  An alternative to
+    AQE's skew join when that is off or when the hot key sits on a side it
+    cannot split."""
+    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*salt_from), F.lit(buckets)))
+    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                              F.lit(buckets - 1).cast("long"))))
+    return salted.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
 def review_scores(reviews: DataFrame) -> DataFrame:
     """A1: per game round(avg score, 2), count of review ids, sum of votes."""
     return (reviews.withColumn("juego_id", normalize_key("juego_id"))
@@ -46,7 +64,7 @@ def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
 
 def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
                  scores: DataFrame, activity: DataFrame, people: bool = True,
-                 games: bool = True) -> DataFrame:
+                 games: bool = True, salt: int = 0) -> DataFrame:
     """Sales left-joined to customers, catalogue (juego_id, plataforma),
     review scores and log activity.  Every dimension is unique on its key
     (deduped / aggregated), so the sale count is preserved.
@@ -63,15 +81,21 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
     sales rows; ``people=False`` / ``games=False`` leave out a dimension a
     query does not read (Catalyst cannot drop such a join by itself: it
     does not know the key is unique), sparing its shuffle of the sales.
+    ``salt=N`` salts both joins N ways (``salted_left_join``) for hot keys.
     """
+    def left_join(df, dim, key):
+        if salt > 1:
+            return salted_left_join(df, dim, key, salt, ["venta_id"])
+        return df.join(dim, key, "left")
+
     wide, cols = sales, list(sales.columns)
     if people:
         cust = customers.select("cliente_id", *CUSTOMER_FIELDS)
         act = activity.select("cliente_id", *LOG_FIELDS)
-        wide = wide.join(cust.join(act, "cliente_id", "full_outer"), "cliente_id", "left")
+        wide = left_join(wide, cust.join(act, "cliente_id", "full_outer"), "cliente_id")
         cols += CUSTOMER_FIELDS
     if games:
-        wide = wide.join(game_dimension(catalog, scores), "juego_id", "left")
+        wide = left_join(wide, game_dimension(catalog, scores), "juego_id")
         entry = F.try_element_at(F.col("__plat"), F.col("plataforma"))
         cols += [entry.getField(c).alias(c) for c in CATALOG_FIELDS] + SCORE_FIELDS
     if people:

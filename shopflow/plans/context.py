@@ -19,9 +19,10 @@ class Retail:
     result is consumed, and Catalyst prunes what a query does not need.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, salt: int = 0):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.salt = salt  # > 1: salt the dimension joins that many ways
 
     # raw, as the source files would deliver them
     @cached_property
@@ -84,7 +85,7 @@ class Retail:
     @cached_property
     def wide(self) -> DataFrame:
         return integrate.enrich_sales(self.sales, self.customers, self.catalog,
-                                      self.scores, self.activity)
+                                      self.scores, self.activity, salt=self.salt)
 
     def wide_with(self, people: bool = False, games: bool = False) -> DataFrame:
         """The wide table with only the dimensions a query reads."""
@@ -94,7 +95,7 @@ class Retail:
         if key not in self.__dict__:
             self.__dict__[key] = integrate.enrich_sales(
                 self.sales, self.customers, self.catalog, self.scores, self.activity,
-                people=people, games=games)
+                people=people, games=games, salt=self.salt)
         return self.__dict__[key]
 
 
@@ -119,8 +120,8 @@ class RawFiles(Retail):
     or glob of many files, which is how the inputs scale out."""
 
     def __init__(self, spark: SparkSession, raw_dir: str, names: dict[str, str] | None = None,
-                 json_lines: bool = False):
-        super().__init__(spark, raw_dir)
+                 json_lines: bool = False, salt: int = 0):
+        super().__init__(spark, raw_dir, salt)
         self.names = {**RAW_FILES, **(names or {})}
         self.json_lines = json_lines
 

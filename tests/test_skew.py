@@ -67,3 +67,23 @@ def test_log_counts_under_skew(spark):
     assert sum(v[1] for v in got.values()) == N - N // 3
     plan = logs.log_activity(lines)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_salted_enrichment_equals_plain(spark):
+    from shopflow.operators import integrate
+
+    sales = cleanse.clean_sales(skewed_sales(spark).repartition(8))
+    cust = spark.range(997).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("cliente_id"),
+                                   F.lit("n").alias("nombre"), F.lit(30).alias("edad"), F.lit("F").alias("genero"),
+                                   F.lit("d").alias("distrito"), F.lit("Gold").alias("nivel_membresia"))
+    cat = spark.createDataFrame([("G0", "PS5", "T0", "RPG", "dev", 2020, ["a"]), ("G1", "PC", "T1", "RPG", "dev", 2021, [])],
+                                "juego_id string, plataforma string, titulo string, categoria string, "
+                                "desarrollador string, anio_lanzamiento int, tags array<string>")
+    sc = spark.createDataFrame([("G0", 4.5, 2, 3)], "juego_id string, puntuacion_promedio double, total_resenas long, total_votos_util long")
+    act = spark.createDataFrame([("C0", 5, 1)], "cliente_id string, compras_en_log long, sesiones_log long")
+    plain = integrate.enrich_sales(sales, cust, cat, sc, act)
+    salted = integrate.enrich_sales(sales, cust, cat, sc, act, salt=6)
+    cols = [c for c in plain.columns if c != "tags"]
+    assert sorted(tuple(r) for r in plain.select(cols).collect()) == sorted(tuple(r) for r in salted.select(cols).collect())
+    p = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in p
