@@ -77,7 +77,8 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     wide = spark.read.parquet(wide_path)
     docs = {
         "ventas_procesadas": documents.sales_documents(wide),
-        "analisis_juegos": documents.product_profile(r.games, wide, r.scores),
+        "analisis_juegos": documents.product_profile(r.games, wide,
+                                                     spark.read.parquet(f"{root}/puntuaciones")),
         "reportes_mensuales": documents.monthly_report(wide),
         "alertas_inventario": kpis.kpi_low_stock(inventory),
         "series_graficos": documents.kpi_charts(wide, inventory),
