@@ -83,15 +83,19 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
         "alertas_inventario": kpis.kpi_low_stock(inventory),
         "series_graficos": documents.kpi_charts(wide, inventory),
     }
-    for name, df in docs.items():
-        out[name] = sinks.write_documents(df, f"{root}/documentos", name)
+    written = sinks.write_collections(docs, f"{root}/documentos")
+    for name in docs:
+        out[name] = f"{root}/documentos/{name}"
     sources = {
         "ventas.csv": ("CSV", r.raw_sales), "clientes.csv": ("CSV", r.raw_customers),
         "catalogo_juegos.json": ("JSON", r.raw_catalog), "resenas.json": ("JSON", r.raw_reviews),
         "logs_tienda.txt": ("TXT", r.log_lines), "inventario.xml": ("XML", r.raw_inventory),
     }
-    meta = sinks.run_metadata(spark, sources, list(docs)).withColumn(
-        "ventas_procesadas", F.lit(n_sales).cast("long"))
+    counts = F.array(*[F.struct(F.lit(k).alias("coleccion"), F.lit(v).cast("long").alias("documentos"))
+                       for k, v in written.items()])
+    meta = sinks.run_metadata(spark, sources, list(docs)).withColumns({
+        "ventas_procesadas": F.lit(n_sales).cast("long"),
+        "documentos_por_coleccion": counts})
     out["pipeline_metadata"] = sinks.write_documents(meta, f"{root}/documentos", "pipeline_metadata")
     return out
 

@@ -75,6 +75,18 @@ def write_documents(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def write_collections(collections: Mapping[str, DataFrame], root: str) -> dict[str, int]:
+    """K4 + K6 in one pass: write every collection as documents and count
+    its documents while writing (an Observation per write) -- no second
+    read of what was written.  Returns {collection: documents}."""
+    counts = {}
+    for name, df in collections.items():
+        observed, obs = count_of(df, name)
+        write_documents(observed, root, name)
+        counts[name] = obs.get["n"]
+    return counts
+
+
 def count_of(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled by whatever action runs the
     DataFrame next -- no extra pass.  Read it with ``obs.get['n']``."""

@@ -17,6 +17,9 @@ def test_run_batch_outputs(spark, tmp):
     assert top.count() == 10 and len([f for f in os.listdir(out["top_juegos"]) if f.startswith("part-")]) == 1
     meta = spark.read.json(out["pipeline_metadata"]).first()
     assert meta.ventas_procesadas == wide.count()
+    docs = {x.coleccion: x.documentos for x in meta.documentos_por_coleccion}
+    assert docs["ventas_procesadas"] == wide.count()
+    assert docs["alertas_inventario"] == spark.read.json(out["alertas_inventario"]).count()
     counts = {f.archivo: f.registros for f in meta.fuentes}
     assert counts["ventas.csv"] == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
     assert spark.read.json(out["ventas_procesadas"]).count() == wide.count()
