@@ -122,3 +122,16 @@ def test_summary_event_type_filter(spark):
     valid, _ = st.decode_events(raw)
     assert st.stream_by_platform(valid, ["venta_creada"]).first().total_ventas == 2
     assert st.stream_by_platform(valid, ["venta_cancelada"]).count() == 0
+
+
+def test_alerts_per_batch_equal_risky_sum_when_flag_matches_risk(spark, tmp):
+    topic, out, ck = (os.path.join(tmp, x) for x in ("topic", "out", "ck"))
+    risks = [0.1, 0.74, 0.75, 0.76, 0.9, 0.3]
+    batches = [[msg(b * 10 + i, "PS5" if i % 2 else "PC", str(r), "true" if r >= 0.75 else "false")
+                for i, r in enumerate(risks)] for b in range(2)]
+    _write_topic(spark, topic, batches)
+    stream = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1).parquet(topic)
+    st.run_for(st.start_batches(stream, out, ck, run_id="inv"), 120)
+    alerts = {r.batch_id: r.n for r in spark.read.parquet(f"{out}/alerts").groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    risky = {r.batch_id: r.n for r in spark.read.parquet(f"{out}/summary_by_platform").groupBy("batch_id").agg(F.sum("ventas_riesgo").alias("n")).collect()}
+    assert alerts == risky == {0: 3, 1: 3}
