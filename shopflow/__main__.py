@@ -5,6 +5,9 @@
     spark-submit shopflow/__main__.py stream --tables /data/sf0.1 --out /shared/out \\
         --checkpoint /shared/ckpt [--kafka-servers host:9092 --topic ventas] \\
         [--trigger "10 seconds"] [--duration 120] [--dedupe "10 minutes"] [--dim-buckets 64]
+    spark-submit shopflow/__main__.py kpis   --wide /shared/out/ventas_enriquecidas \\
+        --inventory /shared/out/inventario --out /shared/kpis
+    spark-submit shopflow/__main__.py charts --kpis /shared/kpis --out /shared/docs
     spark-submit shopflow/__main__.py query  --tables /data/sf0.1 --name kpi_platforms --out /shared/q
 
 The master and resources come from spark-submit (or --master for local use).
@@ -43,6 +46,13 @@ def parse(argv):
     s.add_argument("--duration", type=float, default=None, help="seconds before stopping")
     s.add_argument("--dedupe", default=None, help='event-time window for re-delivered ids, e.g. "10 minutes"')
     s.add_argument("--dim-buckets", type=int, default=None)
+    k = sub.add_parser("kpis", help="the KPI step from a written wide table")
+    k.add_argument("--wide", required=True)
+    k.add_argument("--inventory", required=True)
+    k.add_argument("--out", required=True)
+    c = sub.add_parser("charts", help="chart series from the exported KPI CSV folders")
+    c.add_argument("--kpis", required=True)
+    c.add_argument("--out", required=True)
     q = sub.add_parser("query")
     q.add_argument("--tables", required=True)
     q.add_argument("--name", required=True)
@@ -74,6 +84,12 @@ def main(argv=None) -> dict:
                             trigger=trigger, seconds=args.duration, dedupe_within=args.dedupe,
                             dim_buckets=args.dim_buckets)
         result = {"stream": f"{args.out.rstrip('/')}/stream", "batches": len(q.recentProgress)}
+    elif args.cmd == "kpis":
+        result = jobs.write_kpis(spark, args.wide, args.inventory, args.out)
+    elif args.cmd == "charts":
+        from shopflow.operators.documents import charts_from_kpi_files
+        result = {"series_graficos": sinks.write_documents(
+            charts_from_kpi_files(spark, args.kpis), args.out, "series_graficos")}
     else:
         sinks.write_parquet(REGISTRY[args.name](spark, args.tables), args.out)
         result = {args.name: args.out}

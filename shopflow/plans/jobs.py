@@ -55,6 +55,27 @@ def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dic
     }
 
 
+def register_views(spark: SparkSession, wide_path: str, inventory_path: str,
+                   names: tuple[str, str] = ("ventas", "inventario")) -> None:
+    """The written wide sales table and inventory as temp views, so SQL
+    text written against the shop's tables runs unchanged (same column
+    names as the integrated sales table)."""
+    sources.register(spark.read.parquet(wide_path), names[0])
+    sources.register(spark.read.parquet(inventory_path), names[1])
+
+
+def write_kpis(spark: SparkSession, wide_path: str, inventory_path: str, out_root: str) -> dict:
+    """The KPI step alone, from an already written wide table: the eight
+    KPI tables as CSV (bounded ones as one file, plain decimals)."""
+    inventory = spark.read.parquet(inventory_path)
+    out = {}
+    for name, df in kpi_tables(spark, wide_path, inventory).items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        sinks.write_csv(df, path, single=name in BOUNDED_KPIS, plain=True)
+        out[name] = path
+    return out
+
+
 def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None = None) -> dict:
     """Run integration, KPIs and document load; return the output paths.
 
@@ -68,12 +89,10 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     sinks.write_parquet(r.scores, f"{root}/puntuaciones")
     sinks.write_csv(r.activity, f"{root}/actividad_logs")
     inventory = spark.read.parquet(f"{root}/inventario")
-    out = {"ventas_enriquecidas": wide_path}
-    for name, df in kpi_tables(spark, wide_path, inventory).items():
-        # one file for the KPI tables bounded by a small domain; the low-stock
-        # list grows with the inventory and keeps its parts
-        sinks.write_csv(df, f"{root}/kpis/{name}", single=name in BOUNDED_KPIS, plain=True)
-        out[name] = f"{root}/kpis/{name}"
+    out = {"ventas_enriquecidas": wide_path, "inventario": f"{root}/inventario"}
+    # one file for the KPI tables bounded by a small domain; the low-stock
+    # list grows with the inventory and keeps its parts
+    out.update(write_kpis(spark, wide_path, f"{root}/inventario", f"{root}/kpis"))
     wide = spark.read.parquet(wide_path)
     docs = {
         "ventas_procesadas": documents.sales_documents(wide),

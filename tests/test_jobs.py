@@ -82,3 +82,25 @@ def test_charts_from_exported_kpi_files(spark, tmp):
     from_docs = sorted(tuple(r) for r in spark.read.json(out["series_graficos"]).select(
         "serie", "etiqueta", "valor", "texto").collect())
     assert from_files == from_docs and len(from_files) > 0
+
+
+def test_sql_over_registered_views_and_kpi_cli(spark, tmp):
+    from shopflow.__main__ import main
+    from shopflow.operators import kpis
+
+    out = jobs.run_batch(spark, SF001, os.path.join(tmp, "b"))
+    jobs.register_views(spark, out["ventas_enriquecidas"], out["inventario"])
+    row = spark.sql("""
+        SELECT COUNT(venta_id) AS total_ventas, SUM(cantidad) AS unidades,
+               COUNT(DISTINCT cliente_id) AS clientes, COUNT(DISTINCT juego_id) AS juegos
+        FROM ventas""").first()
+    s = kpis.kpi_summary(spark.read.parquet(out["ventas_enriquecidas"])).first()
+    assert (row.total_ventas, row.unidades, row.clientes, row.juegos) == (
+        s.total_ventas, s.total_unidades_vendidas, s.clientes_activos, s.juegos_vendidos)
+    low = spark.sql("SELECT COUNT(*) AS n FROM inventario WHERE stock <= umbral").first().n
+    assert low == spark.read.json(out["alertas_inventario"]).count()
+    res = main(["kpis", "--wide", out["ventas_enriquecidas"], "--inventory", out["inventario"],
+                "--out", os.path.join(tmp, "k")])
+    assert spark.read.option("header", True).csv(res["top_juegos"]).count() == 10
+    ch = main(["charts", "--kpis", os.path.join(tmp, "k"), "--out", os.path.join(tmp, "d")])
+    assert spark.read.json(ch["series_graficos"]).count() > 10
