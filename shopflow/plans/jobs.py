@@ -3,8 +3,11 @@
 The batch job runs integration, KPIs and document load in sequence:
 build the wide sales table once and write it as Parquet partitioned by
 (anio, mes) -- the lineage cut every KPI then reads from -- compute the
-KPIs and documents from that table, write them as document collections,
-and finish with the run-metadata document and the output inventory.
+KPIs and documents from that table, write them as document collections
+(counted while written), and finish with the run-metadata document.  Each
+step is also callable alone (``write_wide``, ``write_kpis``,
+``register_views``).  The stream job decodes, enriches and summarises the
+sale-event messages micro-batch by micro-batch.
 """
 
 from __future__ import annotations
