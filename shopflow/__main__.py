@@ -28,14 +28,14 @@ def parse(argv):
     p = argparse.ArgumentParser(prog="shopflow")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
-    b = sub.add_parser("batch")
+    b = sub.add_parser("batch", help="integration, KPIs, documents and run metadata")
     src = b.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="folder of the test tables (parquet)")
     src.add_argument("--raw", help="folder of the raw shop files")
     b.add_argument("--json-lines", action="store_true", help="raw JSON inputs are JSON Lines")
     b.add_argument("--out", required=True)
     b.add_argument("--salt", type=int, default=0, help="salt the dimension joins N ways (hot keys)")
-    s = sub.add_parser("stream")
+    s = sub.add_parser("stream", help="the sale-event micro-batch job")
     s.add_argument("--tables", required=True, help="folder of the tables the customer dimension comes from")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
@@ -53,7 +53,7 @@ def parse(argv):
     c = sub.add_parser("charts", help="chart series from the exported KPI CSV folders")
     c.add_argument("--kpis", required=True)
     c.add_argument("--out", required=True)
-    q = sub.add_parser("query")
+    q = sub.add_parser("query", help="one registered query, written as Parquet")
     q.add_argument("--tables", required=True)
     q.add_argument("--name", required=True)
     q.add_argument("--out", required=True)
