@@ -97,41 +97,49 @@ def wide_sales(r: Retail) -> DataFrame:
 # result equals the same KPI over the full wide table.
 @query("kpi_top_products")
 def kpi_top_products(r: Retail) -> DataFrame:
+    """KPI1 (A4, O1): the ten best-selling games by units."""
     return kpis.kpi_top_products(r.wide_with(games=True))
 
 
 @query("kpi_categories")
 def kpi_categories(r: Retail) -> DataFrame:
+    """KPI2 (A5, W1): sales per category and share of classified sales."""
     return kpis.kpi_categories(r.wide_with(games=True))
 
 
 @query("kpi_platforms")
 def kpi_platforms(r: Retail) -> DataFrame:
+    """KPI3 (A6, A12, J6, W1): platforms, market share, true stock."""
     return kpis.kpi_platforms(r.wide_with(), r.inventory)
 
 
 @query("kpi_monthly")
 def kpi_monthly(r: Retail) -> DataFrame:
+    """KPI4 (A7): monthly sales with distinct customers."""
     return kpis.kpi_monthly(r.wide_with())
 
 
 @query("kpi_top_customers")
 def kpi_top_customers(r: Retail) -> DataFrame:
+    """KPI5 (A8, O1): the ten customers with the highest spend."""
     return kpis.kpi_top_customers(r.wide_with(people=True))
 
 
 @query("kpi_payment_by_segment")
 def kpi_payment_by_segment(r: Retail) -> DataFrame:
+    """KPI6 (A9, O3): payment methods per membership level."""
     return kpis.kpi_payment_by_segment(r.wide_with(people=True))
 
 
 @query("kpi_low_stock")
 def kpi_low_stock(r: Retail) -> DataFrame:
+    """KPI7 (A10, F2): stock at or below the reorder threshold."""
     return kpis.kpi_low_stock(r.inventory)
 
 
 @query("kpi_summary")
 def kpi_summary(r: Retail) -> DataFrame:
+    """KPI8 (A11): the one-row executive summary."""
     return kpis.kpi_summary(r.wide_with())
 
 
