@@ -113,11 +113,11 @@ def kpi_charts(wide: DataFrame, inventory: DataFrame) -> DataFrame:
     return (chart_series(kpis.kpi_top_products(wide), "top_juegos", "titulo", "total_unidades", money=False)
             .unionByName(chart_series(kpis.kpi_platforms(wide, inventory), "plataformas",
                                       "plataforma", "ingresos_total"))
-            .unionByName(chart_series(kpis.kpi_monthly(wide).filter(present("anio", "mes")),
+            .unionByName(chart_series(kpis.monthly_totals(wide).filter(present("anio", "mes")),
                                       "ventas_mensuales", month, "ingresos_mes"))
             .unionByName(chart_series(kpis.kpi_top_customers(wide), "top_clientes",
                                       "nombre", "gasto_total"))
-            .unionByName(chart_series(kpis.kpi_low_stock(inventory), "stock_bajo",
+            .unionByName(chart_series(kpis.low_stock_rows(inventory), "stock_bajo",
                                       stock_label, "stock", money=False)))
 
 

@@ -113,12 +113,18 @@ def kpi_payment_by_segment(wide: DataFrame) -> DataFrame:
                 .orderBy("nivel_membresia", F.desc("frecuencia"), "metodo_pago"))
 
 
-def kpi_low_stock(inventory: DataFrame) -> DataFrame:
-    """KPI7 (A10): stock at or below the reorder threshold."""
+def low_stock_rows(inventory: DataFrame) -> DataFrame:
+    """KPI7's rows, unordered: this list grows with the inventory, so
+    consumers that do not need the order (documents, charts) skip the
+    global sort and its range shuffle."""
     return (inventory.filter(low_stock())
                      .select("juego_id", F.col("titulo_inv").alias("titulo"), "plataforma",
-                             "stock", "umbral", F.col("precio_inv").alias("precio"))
-                     .orderBy("stock", "juego_id", "plataforma"))
+                             "stock", "umbral", F.col("precio_inv").alias("precio")))
+
+
+def kpi_low_stock(inventory: DataFrame) -> DataFrame:
+    """KPI7 (A10): stock at or below the reorder threshold, lowest first."""
+    return low_stock_rows(inventory).orderBy("stock", "juego_id", "plataforma")
 
 
 def kpi_summary(wide: DataFrame, approx: bool = False) -> DataFrame:

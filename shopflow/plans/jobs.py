@@ -102,7 +102,7 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
         "analisis_juegos": documents.product_profile(r.games, wide,
                                                      spark.read.parquet(f"{root}/puntuaciones")),
         "reportes_mensuales": documents.monthly_report(wide),
-        "alertas_inventario": kpis.kpi_low_stock(inventory),
+        "alertas_inventario": kpis.low_stock_rows(inventory),
         "series_graficos": documents.kpi_charts(wide, inventory),
     }
     written = sinks.write_collections(docs, f"{root}/documentos")

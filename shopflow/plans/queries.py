@@ -231,7 +231,7 @@ def _kpi_collections(wide: DataFrame, inventory: DataFrame) -> dict[str, DataFra
         "analisis_plataformas": kpis.kpi_platforms(wide, inventory),
         "reportes_mensuales": documents.monthly_report(wide),
         "perfil_clientes": kpis.kpi_top_customers(wide),
-        "alertas_inventario": kpis.kpi_low_stock(inventory),
+        "alertas_inventario": kpis.low_stock_rows(inventory),
     }
 
 
