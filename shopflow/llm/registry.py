@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import packing, secrets, token_files
+from shopflow.llm import packing, quality, secrets, token_files
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality statistics and robust outlier verdicts of all ``documents``."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_files, op7_best_fit_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_files, op4_quality_outliers, op7_best_fit_packing)}
 SQL: dict[str, str] = {}
