@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import packing, quality, secrets, token_files
+from shopflow.llm import ngram_join, packing, quality, secrets, token_files
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,31 @@ def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all ``documents`` linked by a Jaccard similarity of 5-word shingles of at least 3/4."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_files, op4_quality_outliers, op7_best_fit_packing)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_files, op4_quality_outliers, op6_ngram_jaccard, op7_best_fit_packing)}
+SQL: dict[str, str] = {
+    "op6_ngram_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS v, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON r.v = e.a WHERE r.c < e.b)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT v, min(c) AS c FROM r GROUP BY v) m ON m.v = w.doc_id
+""",
+}
