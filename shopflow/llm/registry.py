@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import ngram_join, packing, quality, secrets, token_files
+from shopflow.llm import mixing, ngram_join, packing, quality, secrets, token_files, url_filter
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and language-model verdicts of every url of ``pages``."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of ``documents``, read back as digests."""
     return token_files.token_table(table(spark, sf_dir, "documents"))
@@ -37,8 +42,16 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_files, op4_quality_outliers, op6_ngram_jaccard, op7_best_fit_packing)}
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weights, sampling probabilities and decisions of all ``documents``."""
+    return mixing.weigh(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_secret_scan, op2_url_filter, op3_token_files, op4_quality_outliers, op6_ngram_jaccard, op7_best_fit_packing, op10_source_mixing)}
 SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.sql(),
+    "op10_source_mixing": mixing.sql(),
     "op6_ngram_jaccard": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
