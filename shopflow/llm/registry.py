@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import mixing, ngram_join, packing, quality, secrets, token_files, url_filter
+from shopflow.llm import ann, licenses, mixing, ngram_join, packing, quality, secrets, token_files, url_filter
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for each hundredth row of ``embeddings``."""
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of all ``documents`` linked by a Jaccard similarity of 5-word shingles of at least 3/4."""
     return ngram_join.classes(table(spark, sf_dir, "documents"))
@@ -42,13 +47,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every whole text of ``documents``."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weights, sampling probabilities and decisions of all ``documents``."""
     return mixing.weigh(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op2_url_filter, op3_token_files, op4_quality_outliers, op6_ngram_jaccard, op7_best_fit_packing, op10_source_mixing)}
+    op1_secret_scan, op2_url_filter, op3_token_files, op4_quality_outliers, op5_learned_partitions,
+    op6_ngram_jaccard, op7_best_fit_packing, op9_license_scan, op10_source_mixing)}
 SQL: dict[str, str] = {
     "op2_url_filter": url_filter.sql(),
     "op10_source_mixing": mixing.sql(),
