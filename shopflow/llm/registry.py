@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import ann, licenses, mixing, ngram_join, packing, quality, secrets, token_files, url_filter
+from shopflow.llm import ann, html_crf, licenses, mixing, ngram_join, packing, quality, secrets, token_files, url_filter
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every row of ``pages``."""
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every whole text of ``documents``."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -59,7 +64,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_token_files, op4_quality_outliers, op5_learned_partitions,
-    op6_ngram_jaccard, op7_best_fit_packing, op9_license_scan, op10_source_mixing)}
+    op6_ngram_jaccard, op7_best_fit_packing, op8_html_text, op9_license_scan, op10_source_mixing)}
 SQL: dict[str, str] = {
     "op2_url_filter": url_filter.sql(),
     "op10_source_mixing": mixing.sql(),
