@@ -1,26 +1,52 @@
-"""Corpus pipeline over ``documents``: five stages, each one operator of ``shopflow.llm``."""
+"""Corpus pipeline over ``documents``: five stages, each one operator of ``shopflow.llm``.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``documents``. Rows that a stage gives up are gone for the later
+ones, and masked texts are what they see.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import packing, secrets
+from shopflow.llm import mixing, ngram_join, packing, quality, secrets
 from shopflow.llm.common import cut, table
 
 
-def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every finding of the secret scan is masked in the text; all documents stay."""
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are robust outliers of their language and source go."""
+    return quality.keep_clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of linked documents, the one with the least id stays."""
+    return ngram_join.keep_one(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every finding is masked in the text; all documents stay."""
     return secrets.redact(docs)
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with the raked shares of sources, languages and topics."""
+    return mixing.sample(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents packed into sequences of at most 1024 tokens, one row per piece."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("secret scans", mask_secrets), ("best-fit packing", pack_sequences)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: The tokenizer and the best-fit search have no SQL form; tests compare with a brute-force version.
+#: The tokenizer, the lexer and the best-fit search have no SQL form; tests compare with brute-force versions.
 ORACLE_SQL = None
 
 
