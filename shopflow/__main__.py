@@ -2,8 +2,9 @@
 
     spark-submit shopflow/__main__.py batch  --raw /data/raw --out /shared/out
     spark-submit shopflow/__main__.py batch  --tables /data/sf0.1 --out /shared/out
-    spark-submit shopflow/__main__.py stream --tables /data/sf0.1 --out /shared/out \\
-        --checkpoint /shared/ckpt [--kafka-servers host:9092 --topic ventas] \\
+    spark-submit shopflow/__main__.py stream (--tables /data/sf0.1 | --raw /data/raw) --out /shared/out \\
+        --checkpoint /shared/ckpt [--kafka-servers host:9092 --topic ventas | --messages /data/topic] \\
+        [--per-trigger 100000] \\
         [--trigger "10 seconds"] [--duration 120] [--dedupe "10 minutes"] [--dim-buckets 64]
     spark-submit shopflow/__main__.py kpis   --wide /shared/out/ventas_enriquecidas \\
         --inventory /shared/out/inventario --out /shared/kpis
@@ -36,7 +37,11 @@ def parse(argv):
     b.add_argument("--out", required=True)
     b.add_argument("--salt", type=int, default=0, help="salt the dimension joins N ways (hot keys)")
     s = sub.add_parser("stream", help="the sale-event micro-batch job")
-    s.add_argument("--tables", required=True, help="folder of the tables the customer dimension comes from")
+    from_ = s.add_mutually_exclusive_group(required=True)
+    from_.add_argument("--tables", help="folder of the tables the customer dimension comes from")
+    from_.add_argument("--raw", help="folder of the raw shop files the customer dimension comes from (needs a message source)")
+    s.add_argument("--messages", help="folder of Parquet messages (key, value, timestamp) as the source")
+    s.add_argument("--per-trigger", type=int, default=None, help="most offsets or files of one micro-batch")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--run-id", default="run")
@@ -79,10 +84,15 @@ def main(argv=None) -> dict:
         if args.kafka_servers:
             source = {"format": "kafka", "options": {"kafka.bootstrap.servers": args.kafka_servers,
                                                      "subscribe": args.topic}}
+        elif args.messages:
+            source = {"format": "parquet", "path": args.messages}
+        elif args.raw:
+            raise SystemExit("--raw needs --kafka-servers or --messages")
         trigger = {"processingTime": args.trigger} if args.trigger else None
-        q = jobs.run_stream(spark, args.tables, args.out, args.checkpoint, args.run_id, source=source,
+        data = RawFiles(spark, args.raw) if args.raw else args.tables
+        q = jobs.run_stream(spark, data, args.out, args.checkpoint, args.run_id, source=source,
                             trigger=trigger, seconds=args.duration, dedupe_within=args.dedupe,
-                            dim_buckets=args.dim_buckets)
+                            dim_buckets=args.dim_buckets, per_trigger=args.per_trigger)
         result = {"stream": f"{args.out.rstrip('/')}/stream", "batches": len(q.recentProgress)}
     elif args.cmd == "kpis":
         result = jobs.write_kpis(spark, args.wide, args.inventory, args.out)

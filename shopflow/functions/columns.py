@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "SALES_PLATFORM_RULES", "CATALOG_PLATFORM_RULES", "PLATFORM_RULES",
-    "MONTH_NAMES_ES", "PAYMENT_METHODS", "EVENT_TYPES", "LOG_EVENTS",
-    "LOG_SYSTEM_WORD", "RISK_THRESHOLD", "EVENT_DEFAULTS", "MONEY",
+    "MONTH_NAMES_ES", "PAYMENT_METHODS", "EVENT_TYPES",
+    "LOG_SYSTEM_WORD", "RISK_THRESHOLD", "EVENT_DEFAULTS", "MONEY", "EXACT",
     "normalize_key", "canonicalize", "canonical_platform", "parse_date",
-    "money", "money_sum", "money_avg", "round2", "pct_of", "line_total",
+    "money", "exact", "money_sum", "money_avg", "exact_avg", "ratio", "pct_of", "line_total",
     "event_code", "money_label", "month_name",
 ]
 
@@ -38,8 +38,7 @@ PAYMENT_METHODS = ["Efectivo", "Yape", "Plin", "Tarjeta Crédito", "Tarjeta Déb
 # Sale-event lifecycle types of the message stream.
 EVENT_TYPES = ["venta_creada", "venta_confirmada", "pago_aprobado",
                "envio_preparado", "venta_completada", "venta_cancelada"]
-# Activity-log event words and the word marking system lines.
-LOG_EVENTS = ["LOGIN", "VIEW_GAME", "ADD_CART", "PURCHASE", "LOGOUT"]
+# The word marking system lines of the activity log.
 LOG_SYSTEM_WORD = "SISTEMA"
 # Fraud alert threshold on riesgo_fraude (inclusive).
 RISK_THRESHOLD = 0.75
@@ -55,8 +54,12 @@ MONTH_NAMES_ES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio"
 # and a catalogue entry spelled differently still agree.
 PLATFORM_RULES = SALES_PLATFORM_RULES + CATALOG_PLATFORM_RULES
 
-# Money is summed and averaged exactly, as decimals, then handed out as double.
+# Line totals are amounts of two decimals: they are summed and averaged exactly
+# as such, then handed out as double.
 MONEY = "decimal(18,2)"
+# Prices, scores and risks keep six decimals through the arithmetic; only the
+# product or the average is rounded.
+EXACT = "decimal(24,6)"
 
 
 def _c(c) -> Column:
@@ -89,11 +92,13 @@ def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 
 def money(c) -> Column:
-    return _c(c).cast(MONEY)
+    """A two-decimal amount; NULL when it does not fit (NaN, too large)."""
+    return _c(c).try_cast(MONEY)
 
 
-def round2(c) -> Column:
-    return F.round(_c(c), 2).cast("double")
+def exact(c) -> Column:
+    """A price, score or risk with its decimals; NULL when it does not fit."""
+    return _c(c).try_cast(EXACT)
 
 
 def money_sum(c) -> Column:
@@ -102,10 +107,20 @@ def money_sum(c) -> Column:
 
 
 def money_avg(c) -> Column:
-    """round(avg(x), 2), exact half-up on decimals, returned as double."""
+    """round(avg(x), 2) of two-decimal amounts, half-up, returned as double."""
     return F.round(F.avg(money(c)), 2).cast("double")
 
 
+def exact_avg(c) -> Column:
+    """round(avg(x), 2) of unrounded values, half-up, returned as double."""
+    return F.round(F.avg(exact(c)), 2).cast("double")
+
+
+def ratio(total, n, kind: str = "decimal(30,6)") -> Column:
+    """round(total / n, 2), half-up, as double: an average from its parts."""
+    return F.round(_c(total).cast(kind) / F.nullif(_c(n), F.lit(0)), 2).cast("double")
+
+
 def pct_of(part, whole, digits: int = 1) -> Column:
     """round(part * 100 / whole, digits) on decimals, as double."""
     num = _c(part).cast("decimal(22,2)") * F.lit(100)
@@ -113,8 +128,9 @@ def pct_of(part, whole, digits: int = 1) -> Column:
 
 
 def line_total(price, qty) -> Column:
-    """round(price * qty, 2), exact (decimal product), as double."""
-    return F.round(money(price) * _c(qty), 2).cast("double")
+    """round(price * qty, 2) of the unrounded price, as double; NULL when the
+    amount does not fit ``MONEY``."""
+    return F.round(exact(price) * _c(qty), 2).try_cast(MONEY).cast("double")
 
 
 def event_code(n, fmt: str = "EVT-%06d") -> Column:

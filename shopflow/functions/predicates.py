@@ -11,8 +11,8 @@ __all__ = ["positive_price", "present", "low_stock", "risky", "flag_at"]
 
 
 def positive_price(c: str = "precio") -> Column:
-    """Keep price > 0 (NULL price is dropped as well)."""
-    return F.coalesce(F.col(c) > 0, F.lit(False))
+    """Keep price > 0 (a NULL or NaN price is dropped as well)."""
+    return F.coalesce((F.col(c) > 0) & ~F.isnan(c), F.lit(False))
 
 
 def present(*cols: str) -> Column:

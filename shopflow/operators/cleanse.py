@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import (
@@ -14,6 +14,7 @@ from shopflow.functions.predicates import positive_price
 
 SALES_COLUMNS = ["venta_id", "fecha", "cliente_id", "juego_id", "plataforma", "precio",
                  "cantidad", "metodo_pago", "vendedor", "mes", "anio", "trimestre", "total"]
+RAW_SALES_COLUMNS = SALES_COLUMNS[:9]
 CATALOG_COLUMNS = ["juego_id", "titulo", "categoria", "plataforma", "precio_base",
                    "desarrollador", "anio_lanzamiento", "pegi", "tags"]
 
@@ -41,8 +42,9 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (),
 
 def add_date_parts(df: DataFrame, date_col: str = "fecha", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Parse the date (bad -> NULL), add mes, anio, trimestre."""
-    d = parse_date(F.col(date_col), fmt)
-    return df.withColumn(date_col, d).withColumns({
+    if dict(df.dtypes)[date_col] == "string":
+        df = df.withColumn(date_col, parse_date(F.col(date_col), fmt))
+    return df.withColumns({
         "mes": F.month(date_col), "anio": F.year(date_col), "trimestre": F.quarter(date_col)})
 
 
@@ -57,30 +59,43 @@ def add_flag(df: DataFrame, col: str, threshold: float, out: str) -> DataFrame:
     return df.withColumn(out, F.col(col) >= F.lit(threshold))
 
 
-def normalize_keys(df: DataFrame, cols: Sequence[str], upper: bool = True) -> DataFrame:
-    """Trim (and upper-case) the given columns."""
-    return df.withColumns({c: normalize_key(c, upper) for c in cols})
-
-
 def explode_array(df: DataFrame, array_col: str, out: str, outer: bool = False) -> DataFrame:
     """One row per array element (``outer`` keeps NULL / empty arrays)."""
     fn = F.explode_outer if outer else F.explode
     return df.withColumn(out, fn(F.col(array_col)))
 
 
-def clean_sales(raw: DataFrame, rules=PLATFORM_RULES) -> DataFrame:
-    """P1-P8 on sales: dates, totals, keys, canonical platform, price > 0,
-    one row per venta_id."""
-    df = add_date_parts(raw, "fecha")
-    df = add_total(df)
-    df = df.withColumns({
+def _normalized_sales(raw: DataFrame, rules) -> DataFrame:
+    return raw.withColumns({
+        "fecha": parse_date("fecha"),
         "venta_id": F.trim(F.col("venta_id")),
         "cliente_id": normalize_key("cliente_id"),
         "juego_id": normalize_key("juego_id"),
         "plataforma": canonicalize(normalize_key("plataforma"), rules),
-    })
-    df = df.filter(positive_price("precio")).select(*SALES_COLUMNS)
-    return dedupe(df, ["venta_id"], ["fecha"], latest=True)
+    }).select(*RAW_SALES_COLUMNS)
+
+
+def sale_problem() -> Column:
+    """Why a sale cannot be counted, or NULL: no id to tell it from others, or
+    a price that is no number or whose line total does not fit an amount."""
+    unfit = F.isnan("precio") | (positive_price() & F.col("cantidad").isNotNull() & line_total("precio", "cantidad").isNull())
+    return (F.when(F.col("venta_id").isNull(), F.lit("venta_id nulo"))
+            .when(F.coalesce(unfit, F.lit(False)), F.lit("precio fuera de rango")))
+
+
+def clean_sales(raw: DataFrame, rules=PLATFORM_RULES) -> DataFrame:
+    """P1-P8 on sales: dates, keys, canonical platform, price > 0, one row per
+    venta_id; date parts and totals are derived from the rows that are left,
+    so the dedupe shuffles the nine source columns only.  Sales with a
+    ``sale_problem`` go to ``rejected_sales``."""
+    df = _normalized_sales(raw, rules).filter(sale_problem().isNull() & positive_price("precio"))
+    df = dedupe(df, ["venta_id"], ["fecha"], latest=True)
+    return add_total(add_date_parts(df, "fecha")).select(*SALES_COLUMNS)
+
+
+def rejected_sales(raw: DataFrame, rules=PLATFORM_RULES) -> DataFrame:
+    """The sales that ``clean_sales`` cannot count, each row with its reason."""
+    return _normalized_sales(raw, rules).withColumn("motivo", sale_problem()).filter(F.col("motivo").isNotNull())
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:

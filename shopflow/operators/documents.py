@@ -12,6 +12,7 @@ from shopflow.functions.columns import money_label, money_sum, month_name
 from shopflow.functions.predicates import present
 from shopflow.operators import kpis, windows
 
+# Fixed output contract: the fields of a sales document, in order.
 SALES_DOC_COLUMNS = [
     "venta_id", "fecha", "mes", "anio", "trimestre",
     "cliente_id", "nombre", "edad", "genero", "distrito", "nivel_membresia",
@@ -70,11 +71,12 @@ def product_profile(games: DataFrame, wide: DataFrame, scores: DataFrame) -> Dat
     return to_document_types(df.select(*games.columns, metricas.alias("metricas")))
 
 
-def monthly_report(wide: DataFrame) -> DataFrame:
+def monthly_report(sales: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """D3: KPI4 per month plus month name, best game / category / platform
-    and the distance from the mean month as a sentence."""
-    base = windows.vs_mean(kpis.monthly_totals(wide.filter(present("anio", "mes"))))
-    best = windows.monthly_best(wide)
+    and the distance from the mean month as a sentence.  ``items`` are the
+    month's ``sold`` rows with game columns (default: ``sales`` has them)."""
+    base = windows.vs_mean(kpis.monthly_totals(sales.filter(present("anio", "mes"))))
+    best = windows.monthly_best(sales if items is None else items)
     pct = F.col("pct_vs_media")
     obs = F.concat(F.format_string("%.1f", F.abs(pct)), F.lit("% "),
                    F.when(pct >= 0, F.lit("por encima")).otherwise(F.lit("por debajo")),
@@ -86,9 +88,28 @@ def monthly_report(wide: DataFrame) -> DataFrame:
                         "categoria_top", "plataforma_top", obs.alias("observacion")))
 
 
+# Fixed schemas of the KPI collections' documents.
+COLLECTION_SCHEMAS = {
+    "analisis_juegos": "juego_id string, titulo string, categoria string, total_unidades long, "
+                       "num_transacciones long, ingresos_total double, rating_promedio double",
+    "analisis_categorias": "categoria string, num_ventas long, total_unidades long, ingresos_total double, "
+                           "precio_promedio double, pct_ventas double",
+    "analisis_plataformas": "plataforma string, num_ventas long, total_unidades long, ingresos_total double, "
+                            "ticket_promedio double, cuota_mercado_pct double, stock_actual long",
+    "reportes_mensuales": "anio int, mes int, nombre_mes string, num_transacciones long, total_unidades long, "
+                          "ingresos_mes double, ticket_promedio double, clientes_unicos long, juego_top string, "
+                          "categoria_top string, plataforma_top string, observacion string",
+    "perfil_clientes": "cliente_id string, nombre string, nivel_membresia string, distrito string, "
+                       "num_compras long, gasto_total double, ticket_promedio double, ultima_compra string",
+    "alertas_inventario": "juego_id string, titulo string, plataforma string, stock int, umbral int, precio double",
+}
+
+
 def read_back(spark: SparkSession, root: str, name: str, columns: Sequence[str],
-              order: Sequence[Column | str] = (), schema: T.StructType | None = None) -> DataFrame:
-    """Read a written document collection back, projected and ordered."""
+              order: Sequence[Column | str] = (), schema: T.StructType | str | None = None) -> DataFrame:
+    """Read a written document collection back, projected and ordered.
+    The collections of ``COLLECTION_SCHEMAS`` are read without inference."""
+    schema = schema or COLLECTION_SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.json(f"{root.rstrip('/')}/{name}").select(*columns)
     return df.orderBy(*order) if order else df
@@ -105,20 +126,23 @@ def chart_series(df: DataFrame, serie: str, label: Column | str, value: Column |
                      v.cast("double").alias("valor"), text.alias("texto"))
 
 
-def kpi_charts(wide: DataFrame, inventory: DataFrame) -> DataFrame:
-    """The five chart series of the KPI report."""
+def charts_of(products: DataFrame, platforms: DataFrame, months: DataFrame, customers: DataFrame,
+              low_stock: DataFrame) -> DataFrame:
+    """The five chart series of the KPI report, from the KPI tables."""
     month = F.concat(F.col("anio").cast("string"), F.lit("-"),
                      F.lpad(F.col("mes").cast("string"), 2, "0"))
     stock_label = F.concat(F.col("titulo"), F.lit(" ("), F.col("plataforma"), F.lit(")"))
-    return (chart_series(kpis.kpi_top_products(wide), "top_juegos", "titulo", "total_unidades", money=False)
-            .unionByName(chart_series(kpis.kpi_platforms(wide, inventory), "plataformas",
-                                      "plataforma", "ingresos_total"))
-            .unionByName(chart_series(kpis.monthly_totals(wide).filter(present("anio", "mes")),
-                                      "ventas_mensuales", month, "ingresos_mes"))
-            .unionByName(chart_series(kpis.kpi_top_customers(wide), "top_clientes",
-                                      "nombre", "gasto_total"))
-            .unionByName(chart_series(kpis.low_stock_rows(inventory), "stock_bajo",
-                                      stock_label, "stock", money=False)))
+    return (chart_series(products, "top_juegos", "titulo", "total_unidades", money=False)
+            .unionByName(chart_series(platforms, "plataformas", "plataforma", "ingresos_total"))
+            .unionByName(chart_series(months.filter(present("anio", "mes")), "ventas_mensuales", month, "ingresos_mes"))
+            .unionByName(chart_series(customers, "top_clientes", "nombre", "gasto_total"))
+            .unionByName(chart_series(low_stock, "stock_bajo", stock_label, "stock", money=False)))
+
+
+def kpi_charts(wide: DataFrame, inventory: DataFrame) -> DataFrame:
+    """The chart series over the wide sales table."""
+    return charts_of(kpis.kpi_top_products(wide), kpis.kpi_platforms(wide, inventory), kpis.monthly_totals(wide),
+                     kpis.kpi_top_customers(wide), kpis.low_stock_rows(inventory))
 
 
 # Schemas of the exported KPI CSV folders the chart series are read from.
@@ -142,13 +166,4 @@ def charts_from_kpi_files(spark: SparkSession, kpi_root: str) -> DataFrame:
     def read(name):
         return spark.read.option("header", True).schema(KPI_FILE_SCHEMAS[name]).csv(
             f"{kpi_root.rstrip('/')}/{name}")
-    month = F.concat(F.col("anio").cast("string"), F.lit("-"),
-                     F.lpad(F.col("mes").cast("string"), 2, "0"))
-    stock_label = F.concat(F.col("titulo"), F.lit(" ("), F.col("plataforma"), F.lit(")"))
-    return (chart_series(read("top_juegos"), "top_juegos", "titulo", "total_unidades", money=False)
-            .unionByName(chart_series(read("plataformas"), "plataformas", "plataforma", "ingresos_total"))
-            .unionByName(chart_series(read("ventas_mensuales").filter(present("anio", "mes")),
-                                      "ventas_mensuales", month, "ingresos_mes"))
-            .unionByName(chart_series(read("top_clientes"), "top_clientes", "nombre", "gasto_total"))
-            .unionByName(chart_series(read("stock_bajo"), "stock_bajo", stock_label, "stock",
-                                      money=False)))
+    return charts_of(*(read(n) for n in ("top_juegos", "plataformas", "ventas_mensuales", "top_clientes", "stock_bajo")))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.columns import normalize_key
+from shopflow.functions.columns import exact_avg, normalize_key
 
+# Fixed output contract: the columns each dimension adds to the wide sales table.
 CUSTOMER_FIELDS = ["nombre", "edad", "genero", "distrito", "nivel_membresia"]
 CATALOG_FIELDS = ["titulo", "categoria", "desarrollador", "anio_lanzamiento", "tags"]
 SCORE_FIELDS = ["puntuacion_promedio", "total_resenas", "total_votos_util"]
@@ -35,15 +36,14 @@ def review_scores(reviews: DataFrame) -> DataFrame:
     """A1: per game round(avg score, 2), count of review ids, sum of votes."""
     return (reviews.withColumn("juego_id", normalize_key("juego_id"))
                    .groupBy("juego_id")
-                   .agg(F.round(F.avg(F.col("puntuacion").cast("decimal(10,2)")), 2)
-                         .cast("double").alias("puntuacion_promedio"),
+                   .agg(exact_avg("puntuacion").alias("puntuacion_promedio"),
                         F.count("resena_id").alias("total_resenas"),
                         F.sum("util_votos").alias("total_votos_util")))
 
 
-def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
+def game_dimension(catalog: DataFrame | None, scores: DataFrame | None) -> DataFrame:
     """One row per juego_id: its platforms as a map platform -> catalogue
-    fields, plus the review scores.
+    fields, plus the review scores (either may be left out).
 
     The catalogue is keyed by (juego_id, plataforma) and the scores by
     juego_id; folding both into a single juego_id-keyed dimension lets the
@@ -55,20 +55,29 @@ def game_dimension(catalog: DataFrame, scores: DataFrame) -> DataFrame:
     outer join keeps scores of games missing from the catalogue, exactly
     as two separate left joins would.
     """
+    if catalog is None:
+        return scores.select("juego_id", *SCORE_FIELDS)
     entries = F.map_from_entries(F.collect_list(F.struct(
         F.col("plataforma"), F.struct(*CATALOG_FIELDS)))).alias("__plat")
     games = (catalog.filter(F.col("plataforma").isNotNull())
                     .groupBy("juego_id").agg(entries))
+    if scores is None:
+        return games
     return games.join(scores.select("juego_id", *SCORE_FIELDS), "juego_id", "full_outer")
 
 
-def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
-                 scores: DataFrame, activity: DataFrame, people: bool = True,
-                 games: bool = True, salt: int = 0) -> DataFrame:
+def enrich_sales(sales: DataFrame, customers: DataFrame | None = None, catalog: DataFrame | None = None,
+                 scores: DataFrame | None = None, activity: DataFrame | None = None,
+                 salt: int = 0) -> DataFrame:
     """Sales left-joined to customers, catalogue (juego_id, plataforma),
     review scores and log activity.  Every dimension is unique on its key
     (deduped / aggregated), so the sale count is preserved.
 
+    A dimension that is not given is not joined: Catalyst cannot drop such a
+    join by itself, as it does not know that the key is unique.  ``sales`` may
+    also be sales aggregated by (at least) the keys of the given dimensions;
+    then a hot key reaches the join as one row.
+
     Dimensions sharing a key are combined first -- customers with log
     activity on cliente_id, catalogue with review scores on juego_id (see
     ``game_dimension``) -- so the (large) sales side takes two joins, not
@@ -76,11 +85,6 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
     threshold is broadcast (checked on plan statistics, and again at
     runtime by AQE on the real shuffle size), a larger one becomes a
     sort-merge join where AQE splits skewed sale partitions.
-
-    Every dimension is unique on its key, so a left join never changes the
-    sales rows; ``people=False`` / ``games=False`` leave out a dimension a
-    query does not read (Catalyst cannot drop such a join by itself: it
-    does not know the key is unique), sparing its shuffle of the sales.
     ``salt=N`` salts both joins N ways (``salted_left_join``) for hot keys.
     """
     def left_join(df, dim, key):
@@ -89,15 +93,21 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame,
         return df.join(dim, key, "left")
 
     wide, cols = sales, list(sales.columns)
-    if people:
-        cust = customers.select("cliente_id", *CUSTOMER_FIELDS)
+    people = customers.select("cliente_id", *CUSTOMER_FIELDS) if customers is not None else None
+    if activity is not None:
         act = activity.select("cliente_id", *LOG_FIELDS)
-        wide = left_join(wide, cust.join(act, "cliente_id", "full_outer"), "cliente_id")
+        people = act if people is None else people.join(act, "cliente_id", "full_outer")
+    if people is not None:
+        wide = left_join(wide, people, "cliente_id")
+    if customers is not None:
         cols += CUSTOMER_FIELDS
-    if games:
+    if catalog is not None or scores is not None:
         wide = left_join(wide, game_dimension(catalog, scores), "juego_id")
+    if catalog is not None:
         entry = F.try_element_at(F.col("__plat"), F.col("plataforma"))
-        cols += [entry.getField(c).alias(c) for c in CATALOG_FIELDS] + SCORE_FIELDS
-    if people:
+        cols += [entry.getField(c).alias(c) for c in CATALOG_FIELDS]
+    if scores is not None:
+        cols += SCORE_FIELDS
+    if activity is not None:
         cols += LOG_FIELDS
     return wide.select(*cols)

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.columns import money_avg, money_sum, pct_of
+from shopflow.functions.columns import exact, exact_avg, money, money_avg, money_sum, pct_of, ratio
 from shopflow.functions.predicates import low_stock, present
 
 
 def with_share(agg: DataFrame, measure: str, out: str, digits: int = 1) -> DataFrame:
     """Measure as a percentage of its total over all rows.
 
-    Runs on already aggregated rows (one per group of a bounded domain:
-    categories, platforms), so the unpartitioned window sees few rows.
+    The total is a one-row aggregate used as a scalar subquery, so no task
+    sees all groups, however many there are.
     """
-    total = F.sum(F.col(measure).cast("decimal(22,2)")).over(Window.partitionBy())
+    total = agg.agg(F.sum(F.col(measure).cast("decimal(22,2)"))).scalar()
     return agg.withColumn(out, pct_of(F.col(measure), total, digits))
 
 
@@ -28,35 +28,74 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def _sales_measures(count_name: str, units: str | None = "total_unidades",
-                    revenue: str = "ingresos_total") -> list[Column]:
-    cols = [F.count("venta_id").alias(count_name)]
-    if units:
-        cols.append(F.sum("cantidad").alias(units))
-    cols.append(money_sum("total").alias(revenue))
-    return cols
+def sold(sales: DataFrame, *keys: str) -> DataFrame:
+    """Sales summed by ``keys`` before they meet a dimension: a hot customer,
+    game or month reaches the join as one row.  Sums and counts are kept, so
+    they can be summed again and averages are taken at the end; sums that a
+    query does not read are pruned."""
+    return sales.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_filas"), F.count("venta_id").alias("_ventas"), F.sum("cantidad").alias("_unidades"),
+        F.sum(money("total")).alias("_ingresos"), F.count("total").alias("_totales"),
+        F.sum(exact("precio")).alias("_precios"), F.count("precio").alias("_con_precio"), F.max("fecha").alias("_ultima"))
 
 
-def kpi_top_products(wide: DataFrame, k: int = 10) -> DataFrame:
-    """KPI1 (A4): best-selling games by units."""
-    agg = (wide.filter(present("titulo"))
-               .groupBy("juego_id", "titulo", "categoria")
-               .agg(F.sum("cantidad").alias("total_unidades"),
-                    F.count("venta_id").alias("num_transacciones"),
-                    money_sum("total").alias("ingresos_total"),
-                    money_avg("puntuacion_promedio").alias("rating_promedio")))
+def revenue() -> Column:
+    return F.round(F.sum("_ingresos"), 2).cast("double")
+
+
+def top_products(items: DataFrame, k: int = 10) -> DataFrame:
+    """KPI1 (A4) from ``sold`` rows with game columns: best-selling games by units."""
+    agg = (items.filter(present("titulo"))
+                .groupBy("juego_id", "titulo", "categoria")
+                .agg(F.sum("_unidades").alias("total_unidades"),
+                     F.sum("_ventas").alias("num_transacciones"),
+                     revenue().alias("ingresos_total"),
+                     # a game's score is the same in each of its rows
+                     F.round(F.max(exact("puntuacion_promedio")), 2).cast("double").alias("rating_promedio")))
     return top_k(agg, [F.desc("total_unidades"), F.asc("juego_id")], k)
 
 
-def kpi_categories(wide: DataFrame) -> DataFrame:
-    """KPI2 (A5): per category; share of the classified sales."""
-    agg = (wide.filter(present("categoria"))
-               .groupBy("categoria")
-               .agg(*_sales_measures("num_ventas"),
-                    money_avg("precio").alias("precio_promedio")))
+def categories(items: DataFrame) -> DataFrame:
+    """KPI2 (A5) from ``sold`` rows with game columns: per category; share of the classified sales."""
+    agg = (items.filter(present("categoria")).groupBy("categoria")
+                .agg(F.sum("_ventas").alias("num_ventas"), F.sum("_unidades").alias("total_unidades"),
+                     revenue().alias("ingresos_total"),
+                     ratio(F.sum("_precios"), F.sum("_con_precio")).alias("precio_promedio")))
     return with_share(agg, "num_ventas", "pct_ventas").orderBy(F.desc("ingresos_total"), "categoria")
 
 
+def top_customers(people: DataFrame, k: int = 10) -> DataFrame:
+    """KPI5 (A8) from ``sold`` rows with customer columns: customers by spend, with their last purchase date."""
+    agg = (people.filter(present("nombre"))
+                 .groupBy("cliente_id", "nombre", "nivel_membresia", "distrito")
+                 .agg(F.sum("_ventas").alias("num_compras"), revenue().alias("gasto_total"),
+                      ratio(F.sum("_ingresos"), F.sum("_totales")).alias("ticket_promedio"),
+                      F.max("_ultima").alias("ultima_compra")))
+    return top_k(agg, [F.desc("gasto_total"), F.asc("cliente_id")], k)
+
+
+def payment_by_segment(people: DataFrame) -> DataFrame:
+    """KPI6 (A9) from ``sold`` rows with customer columns: payment method frequency per membership level."""
+    return (people.filter(present("nivel_membresia"))
+                  .groupBy("nivel_membresia", "metodo_pago")
+                  .agg(F.sum("_filas").alias("frecuencia"))
+                  .orderBy("nivel_membresia", F.desc("frecuencia"), "metodo_pago"))
+
+
+GAME_KEYS = ("juego_id", "plataforma", "titulo", "categoria", "puntuacion_promedio")
+CUSTOMER_KEYS = ("cliente_id", "nombre", "nivel_membresia", "distrito")
+
+
+def kpi_top_products(wide: DataFrame, k: int = 10) -> DataFrame:
+    """KPI1 over the wide sales table."""
+    return top_products(sold(wide, *GAME_KEYS), k)
+
+
+def kpi_categories(wide: DataFrame) -> DataFrame:
+    """KPI2 over the wide sales table."""
+    return categories(sold(wide, "categoria"))
+
+
 def stock_by_platform(inventory: DataFrame) -> DataFrame:
     """Stock summed per (canonical) platform."""
     return inventory.groupBy("plataforma").agg(F.sum("stock").alias("stock"))
@@ -68,8 +107,9 @@ def kpi_platforms(wide: DataFrame, inventory: DataFrame) -> DataFrame:
     Both sides are aggregated before the join, so stock is counted once per
     platform, not once per sale."""
     agg = (wide.groupBy("plataforma")
-               .agg(*_sales_measures("num_ventas"),
-                    money_avg("precio").alias("ticket_promedio")))
+               .agg(F.count("venta_id").alias("num_ventas"), F.sum("cantidad").alias("total_unidades"),
+                    money_sum("total").alias("ingresos_total"),
+                    exact_avg("precio").alias("ticket_promedio")))
     agg = with_share(agg, "num_ventas", "cuota_mercado_pct")
     stock = stock_by_platform(inventory)
     out = agg.join(stock, "plataforma", "left").withColumn(
@@ -95,22 +135,13 @@ def kpi_monthly(wide: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def kpi_top_customers(wide: DataFrame, k: int = 10) -> DataFrame:
-    """KPI5 (A8): customers by spend, with their last purchase date."""
-    agg = (wide.filter(present("nombre"))
-               .groupBy("cliente_id", "nombre", "nivel_membresia", "distrito")
-               .agg(F.count("venta_id").alias("num_compras"),
-                    money_sum("total").alias("gasto_total"),
-                    money_avg("total").alias("ticket_promedio"),
-                    F.max("fecha").alias("ultima_compra")))
-    return top_k(agg, [F.desc("gasto_total"), F.asc("cliente_id")], k)
+    """KPI5 over the wide sales table."""
+    return top_customers(sold(wide, *CUSTOMER_KEYS), k)
 
 
 def kpi_payment_by_segment(wide: DataFrame) -> DataFrame:
-    """KPI6 (A9): payment method frequency per membership level."""
-    return (wide.filter(present("nivel_membresia"))
-                .groupBy("nivel_membresia", "metodo_pago")
-                .agg(F.count(F.lit(1)).alias("frecuencia"))
-                .orderBy("nivel_membresia", F.desc("frecuencia"), "metodo_pago"))
+    """KPI6 over the wide sales table."""
+    return payment_by_segment(sold(wide, "nivel_membresia", "metodo_pago"))
 
 
 def low_stock_rows(inventory: DataFrame) -> DataFrame:

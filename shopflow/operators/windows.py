@@ -7,53 +7,39 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import money_sum
 from shopflow.functions.predicates import present
-from shopflow.operators.kpis import with_share
+from shopflow.operators.kpis import revenue, sold, with_share
 
 
-def revenue_share(wide: DataFrame, dim: str = "categoria") -> DataFrame:
-    """Revenue per ``dim`` value and its share of the classified revenue."""
-    agg = (wide.filter(present(dim)).groupBy(dim)
-               .agg(money_sum("total").alias("ingresos_total")))
+def revenue_share(items: DataFrame, dim: str = "categoria") -> DataFrame:
+    """Revenue per ``dim`` value and its share of the classified revenue;
+    ``items`` are sales or ``sold`` rows."""
+    if "_ingresos" not in items.columns:
+        items = sold(items, dim)
+    agg = items.filter(present(dim)).groupBy(dim).agg(revenue().alias("ingresos_total"))
     return with_share(agg, "ingresos_total", "pct_ingresos")
 
 
-def best_per_month(wide: DataFrame, key: str, label: str | None = None,
-                   measure: str = "cantidad", out: str = "top") -> DataFrame:
-    """Per (anio, mes) the ``key`` with the most ``measure`` (ties: the
-    smallest key), reported as ``label``.
-
-    The arg-max is an aggregate -- min over struct(-units, key, label) -- so
-    it combines map-side; a month with a huge share of sales still reaches
-    the final step as one small partial row per task.
-    """
-    label = label or key
-    units = (wide.filter(present("anio", "mes", key, label))
-                 .groupBy("anio", "mes", key, *([label] if label != key else []))
-                 .agg(F.sum(measure).alias("__u")))
-    best = units.groupBy("anio", "mes").agg(
-        F.min(F.struct((-F.col("__u")).alias("nu"), F.col(key).alias("k"),
-                       F.col(label).alias("l"))).alias("__b"))
-    return best.select("anio", "mes", F.col("__b.l").alias(out))
-
-
 # (key, label, output) of the three "best of the month" dimensions
 MONTH_BEST = [("juego_id", "titulo", "juego_top"), ("categoria", "categoria", "categoria_top"),
               ("plataforma", "plataforma", "plataforma_top")]
 
 
-def monthly_best(wide: DataFrame, dims=MONTH_BEST, measure: str = "cantidad") -> DataFrame:
-    """W3 for several dimensions at once, one row per month.
+def monthly_best(items: DataFrame, dims=MONTH_BEST) -> DataFrame:
+    """W3 for several dimensions at once, one row per month; ``items`` are
+    sales or ``sold`` rows with the month and the dimensions' columns.
 
-    One pass over the sales: a GROUPING SETS aggregate sums units per
+    One pass: a GROUPING SETS aggregate over the summed sales sums units per
     (month, game), (month, category) and (month, platform) together; a
     second, small aggregate picks each month's arg-max per dimension
     (min over struct(-units, key, label): ties go to the smallest key).
     """
     cols = list(dict.fromkeys(c for k, l, _ in dims for c in (k, l)))
     sets = [["anio", "mes", *dict.fromkeys([k, l])] for k, l, _ in dims]
-    agg = (wide.filter(present("anio", "mes"))
+    if "_unidades" not in items.columns:
+        items = sold(items, "anio", "mes", *cols)
+    agg = (items.filter(present("anio", "mes"))
                .groupingSets(sets, "anio", "mes", *cols)
-               .agg(F.sum(measure).alias("__u"), F.grouping_id().alias("__g")))
+               .agg(F.sum("_unidades").alias("__u"), F.grouping_id().alias("__g")))
     n = len(cols)
 
     def gid(k, l):

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.operators import cleanse, integrate, logs
+from shopflow.operators import cleanse, integrate, kpis, logs
 from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, INVENTORY_XML, REVIEWS, SALES
 from shopflow.sources import files, tables
 
@@ -87,16 +87,30 @@ class Retail:
         return integrate.enrich_sales(self.sales, self.customers, self.catalog,
                                       self.scores, self.activity, salt=self.salt)
 
-    def wide_with(self, people: bool = False, games: bool = False) -> DataFrame:
-        """The wide table with only the dimensions a query reads."""
-        if people and games:
-            return self.wide
-        key = f"_wide_{people}_{games}"
-        if key not in self.__dict__:
-            self.__dict__[key] = integrate.enrich_sales(
-                self.sales, self.customers, self.catalog, self.scores, self.activity,
-                people=people, games=games, salt=self.salt)
-        return self.__dict__[key]
+    def items(self, *keys: str, scores: bool = False) -> DataFrame:
+        """Sales summed by ``keys``, game and platform, with the catalogue's
+        columns (and the review scores): what the game KPIs read."""
+        sold = kpis.sold(self.sales, *keys, "juego_id", "plataforma")
+        return integrate.enrich_sales(sold, catalog=self.catalog, scores=self.scores if scores else None)
+
+    def people(self, *keys: str) -> DataFrame:
+        """Sales summed by ``keys`` and customer, with the customer's columns."""
+        return integrate.enrich_sales(kpis.sold(self.sales, *keys, "cliente_id"), customers=self.customers)
+
+
+class WrittenSales:
+    """The entities that KPIs and documents read, over the written wide sales
+    table and inventory (the lineage cut of the batch job)."""
+
+    def __init__(self, wide: DataFrame, inventory: DataFrame):
+        self.sales = self.wide = wide
+        self.inventory = inventory
+
+    def items(self, *keys: str, scores: bool = False) -> DataFrame:
+        return kpis.sold(self.wide, *keys, *kpis.GAME_KEYS[: 5 if scores else 4])
+
+    def people(self, *keys: str) -> DataFrame:
+        return kpis.sold(self.wide, *keys, *kpis.CUSTOMER_KEYS)
 
 
 # Default raw file names of the shop's inputs.
@@ -157,8 +171,9 @@ class RawFiles(Retail):
 
     @cached_property
     def rejected_rows(self) -> DataFrame:
-        """Raw CSV / JSON rows that did not fit their schema: file, key (as
-        far as it parsed) and the raw record."""
+        """Raw CSV / JSON / XML records that did not fit their schema: file,
+        key (the first value of that name in the record) and the raw record
+        (XML: the fields that parsed)."""
         out = None
         for what, schema, reader in (("sales", SALES, "csv"), ("customers", CUSTOMERS, "csv"),
                                      ("catalog", CATALOG, "json"), ("reviews", REVIEWS, "json")):
@@ -171,8 +186,10 @@ class RawFiles(Retail):
             # action runs on the result.
             key = schema.fieldNames()[0]
             fields = F.to_json(F.struct(*schema.fieldNames()))
+            found = F.col(key) if reader == "csv" else F.regexp_extract(F.col(CORRUPT), f'"{key}":"([^"]*)"', 1)
             one = df.filter(F.col(CORRUPT).isNotNull() & fields.isNotNull()).select(
-                F.lit(self.names[what]).alias("archivo"), F.col(key).alias("clave"),
-                fields.alias("campos"), F.col(CORRUPT).alias("registro"))
+                F.lit(self.names[what]).alias("archivo"), found.alias("clave"), F.col(CORRUPT).alias("registro"))
             out = one if out is None else out.unionByName(one)
-        return out
+        xml = files.rejected_xml(self.spark, self._path("inventory"), "juego", INVENTORY_XML)
+        return out.unionByName(xml.select(
+            F.lit(self.names["inventory"]).alias("archivo"), F.col("_id").alias("clave"), F.to_json(F.struct(*xml.columns)).alias("registro")))

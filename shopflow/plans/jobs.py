@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.operators import documents, kpis
-from shopflow.plans.context import Retail
+from shopflow.operators import documents
+from shopflow.plans.context import Retail, WrittenSales
+from shopflow.plans.tables import COLLECTIONS, KPIS, charts
 from shopflow.session import work_path
 from shopflow.schemas import MESSAGE
 from shopflow.sinks import files as sinks
@@ -45,17 +46,13 @@ def write_wide(r: Retail, path: str) -> int:
 
 def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dict[str, DataFrame]:
     """The eight KPIs over the written wide table."""
-    wide = spark.read.parquet(wide_path)
-    return {
-        "top_juegos": kpis.kpi_top_products(wide),
-        "categorias": kpis.kpi_categories(wide),
-        "plataformas": kpis.kpi_platforms(wide, inventory),
-        "ventas_mensuales": kpis.kpi_monthly(wide),
-        "top_clientes": kpis.kpi_top_customers(wide),
-        "pago_membresia": kpis.kpi_payment_by_segment(wide),
-        "stock_bajo": kpis.kpi_low_stock(inventory),
-        "resumen_ejecutivo": kpis.kpi_summary(wide),
-    }
+    facts = WrittenSales(spark.read.parquet(wide_path), inventory)
+    return {name: table(facts) for name, table in KPIS.items()}
+
+
+def write_kpi_documents(facts, root: str, extra: dict[str, DataFrame] | None = None) -> dict[str, int]:
+    """The document step: the seven collections (and ``extra`` ones), counted while written."""
+    return sinks.write_collections({**{n: c(facts) for n, c in COLLECTIONS.items()}, **(extra or {})}, root)
 
 
 def register_views(spark: SparkSession, wide_path: str, inventory_path: str,
@@ -96,17 +93,12 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     # one file for the KPI tables bounded by a small domain; the low-stock
     # list grows with the inventory and keeps its parts
     out.update(write_kpis(spark, wide_path, f"{root}/inventario", f"{root}/kpis"))
-    wide = spark.read.parquet(wide_path)
-    docs = {
-        "ventas_procesadas": documents.sales_documents(wide),
-        "analisis_juegos": documents.product_profile(r.games, wide,
-                                                     spark.read.parquet(f"{root}/puntuaciones")),
-        "reportes_mensuales": documents.monthly_report(wide),
-        "alertas_inventario": kpis.low_stock_rows(inventory),
-        "series_graficos": documents.kpi_charts(wide, inventory),
-    }
-    written = sinks.write_collections(docs, f"{root}/documentos")
-    for name in docs:
+    facts = WrittenSales(spark.read.parquet(wide_path), inventory)
+    written = write_kpi_documents(facts, f"{root}/documentos", {
+        "perfil_productos": documents.product_profile(r.games, facts.wide, spark.read.parquet(f"{root}/puntuaciones")),
+        "series_graficos": charts(facts),
+    })
+    for name in written:
         out[name] = f"{root}/documentos/{name}"
     sources = {
         "ventas.csv": ("CSV", r.raw_sales), "clientes.csv": ("CSV", r.raw_customers),
@@ -115,25 +107,30 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     }
     counts = F.array(*[F.struct(F.lit(k).alias("coleccion"), F.lit(v).cast("long").alias("documentos"))
                        for k, v in written.items()])
-    meta = sinks.run_metadata(spark, sources, list(docs)).withColumns({
+    meta = sinks.run_metadata(spark, sources, list(written)).withColumns({
         "ventas_procesadas": F.lit(n_sales).cast("long"),
         "documentos_por_coleccion": counts})
     out["pipeline_metadata"] = sinks.write_documents(meta, f"{root}/documentos", "pipeline_metadata")
     return out
 
 
-def stage_topic(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> None:
+def stage_topic(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None, slices: int = 1) -> int:
     """Write the sale messages as a Parquet "topic" with one file per topic
     partition (default: one per core), the shape a partitioned broker topic
-    gives the stream source."""
+    gives the stream source.  ``slices`` deliveries, dealt by the number of the
+    event, follow each other.  Returns the files of a delivery."""
     n = partitions or spark.sparkContext.defaultParallelism
-    sinks.write_parquet(tables.sale_messages(spark, sf_dir).repartition(n), path)
+    messages = tables.sale_messages(spark, sf_dir)
+    for i in range(slices):
+        part = messages.filter(F.substring("key", 2, 20).cast("long") % slices == i)
+        part.repartition(n).write.mode("append" if i else "overwrite").parquet(path)
+    return n
 
 
 def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
                run_id: str, source: dict | None = None, trigger: dict | None = None,
                seconds: float | None = None, dedupe_within: str | None = None,
-               dim_buckets: int | None = None):
+               dim_buckets: int | None = None, per_trigger: int | None = None):
     """The stream job: messages -> decode -> enrich -> per-batch
     summaries, alerts, events and rejects under ``out_root``.
 
@@ -144,7 +141,10 @@ def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
     batch.  ``source``
     picks the message source: ``{"format": "kafka", "options": {...}}`` on
     a cluster with the connector, by default the messages derived from the
-    events table are staged as a Parquet "topic" first."""
+    events table are staged as a Parquet "topic" first.  ``per_trigger``
+    bounds a micro-batch (offsets or files; see ``read_stream``).  ``sf_dir``
+    may be a ``RawFiles`` context: then customers come from the raw files and
+    ``source`` must be given."""
     r = sf_dir if isinstance(sf_dir, Retail) else Retail(spark, sf_dir)
     sf_dir = r.sf_dir
     dim_path = f"{out_root.rstrip('/')}/dim_clientes"
@@ -159,10 +159,10 @@ def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,
     if source is None:
         topic = f"{out_root.rstrip('/')}/topic"
         stage_topic(spark, sf_dir, topic)
-        stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE)
+        stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE, per_trigger=per_trigger)
     else:
         stream = sources.read_stream(spark, source["format"], source.get("options"),
-                                     path=source.get("path"))
+                                     path=source.get("path"), per_trigger=per_trigger)
     q = streaming.start_batches(stream, f"{out_root.rstrip('/')}/stream", checkpoint, run_id,
                                 trigger=trigger, dim=dim, dedupe_within=dedupe_within)
     return streaming.run_for(q, seconds)

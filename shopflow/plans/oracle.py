@@ -1,20 +1,22 @@
 """DuckDB SQL that recomputes every registered query independently.
 
-Written against the raw test tables (views region ... conversations).  The
-adapter rules of ``shopflow.sources.tables`` and the cleansing rules are
-restated here in SQL; money and percentages are computed in integer
-hundredths / tenths so they round half-up exactly like Spark's decimals.
+Written against the raw test tables (views region ... conversations). The
+adapter rules and the cleansing rules are restated here as SQL, with their own
+literals: nothing is imported from the code under test, so a wrong rule
+there shows as a difference. Products and averages are computed from unrounded
+decimals and rounded half-up once, in integers.
 """
 
 from __future__ import annotations
 
-from shopflow.functions.columns import (
-    EVENT_DEFAULTS, MONTH_NAMES_ES, PAYMENT_METHODS, PLATFORM_RULES, RISK_THRESHOLD,
-)
-from shopflow.sources.tables import (
-    CATALOG_PLATFORMS, EVENT_TYPE_MAP, INVENTORY_PLATFORMS, SALE_PLATFORM_SPELLING,
-    STREAM_PLATFORMS,
-)
+# Fixed values, as SQL sees them.
+PLATFORM_RULES = [("XBOX", "XBOX"), ("PS5", "PS5"), ("PS4", "PS4"), ("SWITCH", "SWITCH"), ("PC", "PC"),
+                  ("PLAYSTATION 5", "PS5"), ("PLAYSTATION 4", "PS4"), ("NINTENDO", "SWITCH")]
+MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
+PAYMENTS = ["Efectivo", "Yape", "Plin", "Tarjeta Crédito", "Tarjeta Débito"]
+STREAM_PLATFORMS = ["PS5", "Xbox", "Switch", "PC", "PlayStation 4"]
+CATALOG_PLATFORMS = {0: ["PlayStation 5", "Xbox Series X"], 1: ["Xbox One", "XBOX Series S", "Nintendo Switch"], 2: ["Nintendo Switch"]}
+INVENTORY_PLATFORMS = {0: ["PS5", "Xbox"], 1: ["Xbox", "Switch"], 2: ["Switch"]}
 
 
 def q(s: str) -> str:
@@ -39,10 +41,14 @@ def cents(x: str) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(18,2)) * 100) AS HUGEINT)"
 
 
+def millionths(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(24,6)) * 1000000 AS HUGEINT)"
+
+
 def avg2(x: str) -> str:
-    """round(avg(x), 2) half-up, exact, for non-negative 2-decimal values."""
+    """round(avg(x), 2) half-up, exact, for non-negative values of up to six decimals."""
     n = f"NULLIF(COUNT({x}), 0)"
-    return f"(CAST((SUM({cents(x)}) * 2 + {n}) // (2 * {n}) AS DOUBLE) / 100)"
+    return f"(CAST((SUM({millionths(x)}) * 2 + 10000 * {n}) // (20000 * {n}) AS DOUBLE) / 100)"
 
 
 def pct1(part: str, whole: str) -> str:
@@ -69,11 +75,9 @@ WIDE_EXTRA = ["nombre", "edad", "genero", "distrito", "nivel_membresia", "titulo
 WIDE_COLS = SALES_COLS + WIDE_EXTRA
 
 
-def _sale_platform() -> str:
-    parts = []
-    for flag, (odd, even) in SALE_PLATFORM_SPELLING.items():
-        parts.append(f"WHEN {q(flag)} THEN (CASE WHEN l_linenumber % 2 = 0 THEN {q(even)} ELSE {q(odd)} END)")
-    return "(CASE l_returnflag " + " ".join(parts) + " END)"
+SALE_PLATFORM = """(CASE WHEN l_returnflag = 'A' THEN CASE WHEN l_linenumber % 2 = 0 THEN ' ps5' ELSE 'PS5' END
+            WHEN l_returnflag = 'N' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'Xbox Series X' ELSE 'XBOX' END
+            WHEN l_returnflag = 'R' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'Nintendo Switch' ELSE 'switch ' END END)"""
 
 
 def _array_case(expr: str, mapping: dict) -> str:
@@ -82,29 +86,34 @@ def _array_case(expr: str, mapping: dict) -> str:
 
 CTES = {
     "raw_sales": f"""
-SELECT 'V' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS venta_id,
+SELECT CASE WHEN l_orderkey % 53 = 0 AND l_linenumber = 2 THEN NULL
+            ELSE 'V' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS venta_id,
        CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'sin fecha'
             ELSE strftime(o_orderdate, '%Y-%m-%d') END AS fecha,
        'C' || CAST(o_custkey AS VARCHAR) AS cliente_id,
        CASE WHEN l_linenumber % 2 = 0 THEN ' p' || CAST(l_partkey AS VARCHAR) || ' '
             ELSE 'P' || CAST(l_partkey AS VARCHAR) END AS juego_id,
-       {_sale_platform()} AS plataforma,
+       {SALE_PLATFORM} AS plataforma,
        CASE WHEN l_discount >= 0.095 THEN CAST(0.0 AS DOUBLE)
             WHEN l_discount <= 0.005 AND l_tax <= 0.005 THEN CAST(NULL AS DOUBLE)
-            ELSE p_retailprice END AS precio,
+            WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN CAST(1e17 AS DOUBLE)
+            ELSE p_retailprice + (l_linenumber % 3) * CAST(0.005 AS DOUBLE) END AS precio,
        CAST(l_quantity AS INTEGER) AS cantidad,
        o_orderpriority AS metodo_pago,
        'S' || CAST(l_suppkey AS VARCHAR) AS vendedor
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
-    "sales_c": f"""
+    "sales_n": f"""
 SELECT trim(venta_id) AS venta_id, CAST(try_strptime(fecha, '%Y-%m-%d') AS DATE) AS fecha,
        upper(trim(cliente_id)) AS cliente_id, upper(trim(juego_id)) AS juego_id,
-       {platform('plataforma')} AS plataforma, precio, cantidad, metodo_pago, vendedor
-FROM raw_sales WHERE precio > 0""",
-    "sales_d": """
+       {platform('plataforma')} AS plataforma, precio, cantidad, metodo_pago, vendedor,
+       CASE WHEN venta_id IS NULL THEN 'venta_id nulo'
+            WHEN precio > 0 AND precio * cantidad >= 1e16 THEN 'precio fuera de rango' END AS motivo
+FROM raw_sales""",
+    "sales_c": "SELECT * EXCLUDE (motivo) FROM sales_n WHERE motivo IS NULL AND precio > 0",
+    "sales_d": f"""
 SELECT *, CAST(month(fecha) AS INTEGER) AS mes, CAST(year(fecha) AS INTEGER) AS anio,
        CAST(quarter(fecha) AS INTEGER) AS trimestre,
-       CAST(ROUND(CAST(precio AS DECIMAL(18,2)) * cantidad, 2) AS DOUBLE) AS total
+       CAST(CAST(({millionths('precio')} * cantidad + 5000) // 10000 AS HUGEINT) AS DOUBLE) / 100 AS total
 FROM sales_c""",
     "sales": f"""
 SELECT {', '.join(SALES_COLS)} FROM (
@@ -146,7 +155,7 @@ WHERE rn_ = 1""",
     "raw_reviews": """
 SELECT CASE WHEN event_type = 'error' THEN NULL ELSE 'R' || CAST(event_id AS VARCHAR) END AS resena_id,
        'P' || CAST(user_id AS VARCHAR) AS juego_id,
-       CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(1 + event_id % 5 AS DOUBLE) END AS puntuacion,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(1 + event_id % 5 AS DOUBLE) + (event_id % 7) * CAST(0.001 AS DOUBLE) END AS puntuacion,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS util_votos
 FROM events""",
     "scores": f"""
@@ -187,17 +196,20 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
 
 
-def _no_tags(cols):
-    return ", ".join(c for c in cols if c != "tags")
+def text_columns(cols) -> str:
+    """Columns with arrays as '|'-joined text."""
+    return ", ".join(f"array_to_string({c}, '|') AS {c}" if c in ("tags", "plataformas") else c for c in cols)
 
 
 SQL: dict[str, str] = {}
 
 SQL["clean_sales"] = with_ctes(f"SELECT {', '.join(SALES_COLS)} FROM sales")
 
+SQL["rejected_sales"] = with_ctes(f"SELECT {', '.join(RAW_SALES_COLS)}, motivo FROM sales_n WHERE motivo IS NOT NULL")
+
 SQL["dedupe_latest"] = with_ctes(f"""
 SELECT {', '.join(RAW_SALES_COLS)} FROM (
-  SELECT *, {rn('venta_id', RAW_SALES_COLS[1:])} AS rn_ FROM raw_sales) WHERE rn_ = 1""")
+  SELECT *, {rn('venta_id', RAW_SALES_COLS[1:])} AS rn_ FROM raw_sales WHERE venta_id IS NOT NULL) WHERE rn_ = 1""")
 
 SQL["canonical_platform"] = with_ctes(f"""
 SELECT 'ventas' AS fuente, plataforma AS plataforma_original, {platform('plataforma')} AS plataforma,
@@ -208,13 +220,13 @@ FROM (SELECT unnest(plataformas) AS plat FROM raw_catalog) GROUP BY plat
 UNION ALL
 SELECT 'inventario', plataforma, {platform('plataforma')}, COUNT(*) FROM raw_inventory GROUP BY plataforma""")
 
-SQL["catalog_exploded"] = with_ctes(f"SELECT {_no_tags(CATALOG_COLS)} FROM catalog")
+SQL["catalog_exploded"] = with_ctes(f"SELECT {text_columns(CATALOG_COLS)} FROM catalog")
 
 SQL["review_scores"] = with_ctes("SELECT juego_id, puntuacion_promedio, total_resenas, total_votos_util FROM scores")
 
 SQL["log_activity"] = with_ctes("SELECT cliente_id, compras_en_log, sesiones_log FROM activity")
 
-SQL["wide_sales"] = with_ctes(f"SELECT {_no_tags(WIDE_COLS)} FROM wide")
+SQL["wide_sales"] = with_ctes(f"SELECT {text_columns(WIDE_COLS)} FROM wide")
 
 SQL["kpi_top_products"] = with_ctes(f"""
 SELECT juego_id, titulo, categoria, CAST(SUM(cantidad) AS BIGINT) AS total_unidades,
@@ -330,28 +342,29 @@ SELECT anio, mes, CAST(c AS DOUBLE) / 100 AS ingresos_mes,
 FROM (SELECT anio, mes, SUM({cents('total')}) AS c FROM wide WHERE {MONTHS} GROUP BY anio, mes)""",
     "sev": f"""
 SELECT printf('EVT-%06d', event_id) AS event_id,
-       CASE event_type {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in EVENT_TYPE_MAP.items())} END AS event_type,
+       CASE event_type WHEN 'view' THEN 'venta_creada' WHEN 'click' THEN 'venta_confirmada' WHEN 'signup' THEN 'pago_aprobado'
+            WHEN 'purchase' THEN 'venta_completada' WHEN 'error' THEN 'venta_cancelada' END AS event_type,
        date_trunc('second', ts) AS event_timestamp,
        'V' || CAST(event_id AS VARCHAR) AS venta_id, 'C' || CAST(user_id AS VARCHAR) AS cliente_id,
        'P' || CAST(event_id % 200 AS VARCHAR) AS juego_id,
        {lst(STREAM_PLATFORMS)}[event_id % {len(STREAM_PLATFORMS)} + 1] AS plataforma_raw,
-       {lst(PAYMENT_METHODS)}[user_id % {len(PAYMENT_METHODS)} + 1] AS metodo_pago,
+       {lst(PAYMENTS)}[user_id % {len(PAYMENTS)} + 1] AS metodo_pago,
        'S' || CAST(user_id % 10 AS VARCHAR) AS vendedor,
        value AS precio, CAST(1 + event_id % 3 AS INTEGER) AS cantidad,
        CAST(ROUND(CAST(value AS DECIMAL(18,2)) * (1 + event_id % 3), 2) AS DOUBLE) AS total,
-       CAST(CAST(round(value * 100) AS BIGINT) % 100 AS DOUBLE) / CAST(100 AS DOUBLE) AS riesgo_fraude,
+       CAST((CAST(round(value * 100) AS BIGINT) * 7 + event_id) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS riesgo_fraude,
        CASE WHEN event_type = 'error' THEN NULL
-            ELSE CAST(round(value * 100) AS BIGINT) % 100 >= {int(RISK_THRESHOLD * 100)} END AS venta_riesgosa,
-       (event_type = 'error' AND event_id % 10 IN (0, 5)) AS damaged
+            ELSE (CAST(round(value * 100) AS BIGINT) * 7 + event_id) % 1000 >= 750 END AS venta_riesgosa,
+       (event_type = 'error' AND event_id % 10 IN (0, 5)) AS damaged, event_id AS n, ts
 FROM events""",
     "senr": f"""
 SELECT e.event_id, e.event_type, e.event_timestamp, e.venta_id, e.cliente_id, e.juego_id,
        {platform('e.plataforma_raw')} AS plataforma, e.metodo_pago, e.vendedor, e.precio, e.cantidad,
        e.total,
-       COALESCE(c.nombre, {q(EVENT_DEFAULTS['cliente_nombre'])}) AS cliente_nombre,
-       COALESCE(c.nivel_membresia, {q(EVENT_DEFAULTS['nivel_membresia'])}) AS nivel_membresia,
-       COALESCE(c.distrito, {q(EVENT_DEFAULTS['distrito'])}) AS distrito,
-       e.riesgo_fraude, e.venta_riesgosa
+       COALESCE(c.nombre, 'desconocido') AS cliente_nombre,
+       COALESCE(c.nivel_membresia, 'Normal') AS nivel_membresia,
+       COALESCE(c.distrito, 'Desconocido') AS distrito,
+       e.riesgo_fraude, e.venta_riesgosa, e.n % 3 AS batch_id
 FROM sev e LEFT JOIN customers c ON e.cliente_id = c.cliente_id
 WHERE NOT e.damaged""",
 }
@@ -376,12 +389,39 @@ SQL["null_profile"] = w("\nUNION ALL\n".join(
 
 _RULES = [("falta juego_id", "juego_id IS NULL"), ("falta titulo", "titulo IS NULL"),
           ("falta categoria", "categoria IS NULL"), ("falta precio_base", "precio_base IS NULL"),
-          ("precio_base no positivo", "COALESCE(precio_base <= 0, TRUE)"),
-          ("pegi fuera de rango", "COALESCE(NOT pegi IN (3, 7, 12, 16, 18), TRUE)")]
-SQL["validate_documents"] = w(f"""
-SELECT juego_id, motivos = '' AS valido, motivos FROM (
-  SELECT juego_id, concat_ws('; ', {', '.join(f'CASE WHEN {c} THEN {q(r)} END' for r, c in _RULES)}) AS motivos
-  FROM games)""")
+          ("precio_base no positivo", "precio_base <= 0"), ("pegi fuera de rango", "pegi NOT IN (3, 7, 12, 16, 18)")]
+
+
+def report(rules, source: str) -> str:
+    return f"""SELECT juego_id, motivos = '' AS valido, motivos FROM (
+  SELECT juego_id, concat_ws('; ', {', '.join(f'CASE WHEN {c} THEN {q(r)} END' for r, c in rules)}) AS motivos
+  FROM {source})"""
+
+
+SQL["validate_values"] = w(report(_RULES, "games"))
+
+SQL["validate_documents"] = w(report(
+    [("falta titulo", "k = 3"), ("tipo categoria", "k = 6"), ("tipo plataformas", "k = 5"), ("tipo precio_base", "k = 4"), ("tipo pegi", "k IN (1, 2)")],
+    "(SELECT 'P' || CAST(p_partkey AS VARCHAR) AS juego_id, p_partkey % 10 AS k FROM part)"))
+
+SQL["key_uniqueness"] = w("""
+SELECT 'ventas_procesadas' AS coleccion, 'venta_id' AS clave, COUNT(*) AS filas,
+       COUNT(DISTINCT venta_id) + MAX(CASE WHEN venta_id IS NULL THEN 1 ELSE 0 END) AS claves,
+       COUNT(*) - COUNT(DISTINCT venta_id) - MAX(CASE WHEN venta_id IS NULL THEN 1 ELSE 0 END) AS repetidas FROM raw_sales
+UNION ALL SELECT 'juegos', 'juego_id', COUNT(*), COUNT(DISTINCT juego_id), COUNT(*) - COUNT(DISTINCT juego_id) FROM raw_catalog""")
+
+SQL["risk_flags"] = w("SELECT event_id, riesgo_fraude, riesgo_fraude >= 0.75 AS alto_riesgo FROM sev")
+
+SQL["rejected_rows"] = """
+SELECT 'ventas.csv' AS archivo, 'V' || CAST(o_orderkey AS VARCHAR) AS clave,
+       'V' || CAST(o_orderkey AS VARCHAR) || ',2024-01-02,C1,P1,PS5,10.5,dos,Yape,S1' AS registro FROM orders WHERE o_orderkey % 40 = 0
+UNION ALL SELECT 'clientes.csv', 'C' || CAST(c_custkey AS VARCHAR), 'C' || CAST(c_custkey AS VARCHAR) || ',Ana,treinta,F,Lima,Gold'
+FROM customer WHERE c_custkey % 30 = 0
+UNION ALL SELECT 'catalogo_juegos.json', 'P' || CAST(p_partkey AS VARCHAR), '{"juego_id":"P' || CAST(p_partkey AS VARCHAR) ||
+       CASE WHEN p_partkey % 50 = 0 THEN '","titulo":"T"' ELSE '","precio_base":"caro"}' END FROM part WHERE p_partkey % 50 IN (0, 1)
+UNION ALL SELECT 'resenas.json', 'R' || CAST(event_id AS VARCHAR), '{"resena_id":"R' || CAST(event_id AS VARCHAR) || '","puntuacion":"alta"}'
+FROM events WHERE event_id % 70 = 0
+UNION ALL SELECT 'inventario.xml', 'P' || CAST(p_partkey AS VARCHAR), '{"_id":"P' || CAST(p_partkey AS VARCHAR) || '","titulo":"T"}' FROM part WHERE p_partkey % 45 = 0"""
 
 SQL["duplicate_keys"] = w("""
 SELECT venta_id, COUNT(*) AS repeticiones FROM raw_sales GROUP BY venta_id HAVING COUNT(*) > 1""")
@@ -396,7 +436,7 @@ WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.cliente_id = s.cliente_id) G
 
 SQL["product_profile_docs"] = w(f"""
 SELECT g.juego_id, g.titulo, g.categoria, g.precio_base, g.desarrollador, g.publicador,
-       g.anio_lanzamiento, g.pegi, g.descripcion, CAST(len(g.plataformas) AS INTEGER) AS num_plataformas,
+       g.anio_lanzamiento, g.pegi, g.descripcion, array_to_string(g.plataformas, '|') AS plataformas, array_to_string(g.tags, '|') AS tags,
        CAST(COALESCE(u, 0) AS BIGINT) AS total_ventas_unidades,
        COALESCE(r, CAST(0 AS DOUBLE)) AS ingresos_acumulados,
        s.puntuacion_promedio, CAST(COALESCE(s.total_resenas, 0) AS BIGINT) AS total_resenas
@@ -406,7 +446,7 @@ LEFT JOIN (SELECT juego_id, SUM(cantidad) AS u, {money_sum('total')} AS r FROM w
 LEFT JOIN scores s ON g.juego_id = s.juego_id""")
 
 SQL["monthly_report_docs"] = w(f"""
-SELECT k.anio, k.mes, {lst(MONTH_NAMES_ES)}[k.mes] AS nombre_mes, k.num_transacciones, k.total_unidades,
+SELECT k.anio, k.mes, {lst(MONTH_NAMES)}[k.mes] AS nombre_mes, k.num_transacciones, k.total_unidades,
        k.ingresos_mes, k.ticket_promedio, k.clientes_unicos, b.juego_top, b.categoria_top, b.plataforma_top,
        printf('%.1f', abs(m.pct_vs_media)) || '% ' ||
        CASE WHEN m.pct_vs_media >= 0 THEN 'por encima' ELSE 'por debajo' END || ' de la media mensual'
@@ -436,13 +476,18 @@ UNION ALL SELECT 'top_clientes', nombre, gasto_total, {_money_text('gasto_total'
 UNION ALL SELECT 'stock_bajo', titulo || ' (' || plataforma || ')', CAST(stock AS DOUBLE),
        format('{{:,}}', stock) FROM kpi7""")
 
+SQL["charts_from_csv"] = SQL["chart_series"]
+
 SQL["run_metadata"] = w("""
+SELECT 'shopflow' AS pipeline, '1.0' AS version, 'COMPLETADO' AS estado,
+       'ventas_procesadas|analisis_juegos|analisis_categorias|analisis_plataformas|reportes_mensuales|perfil_clientes|alertas_inventario' AS colecciones,
+       'Parquet / JSON / CSV files' AS ingesta, 'JSON documents' AS almacenamiento, * FROM (
 SELECT 'ventas.csv' AS archivo, 'CSV' AS formato, COUNT(*) AS registros FROM raw_sales
 UNION ALL SELECT 'clientes.csv', 'CSV', COUNT(*) FROM raw_customers
 UNION ALL SELECT 'catalogo_juegos.json', 'JSON', COUNT(*) FROM raw_catalog
 UNION ALL SELECT 'resenas.json', 'JSON', COUNT(*) FROM raw_reviews
 UNION ALL SELECT 'logs_tienda.txt', 'TXT', COUNT(*) FROM events
-UNION ALL SELECT 'inventario.xml', 'XML', COUNT(*) FROM raw_inventory""")
+UNION ALL SELECT 'inventario.xml', 'XML', COUNT(*) FROM raw_inventory)""")
 
 SQL["output_inventory"] = w(f"""
 SELECT 'ventas_procesadas' AS coleccion, COUNT(*) AS documentos FROM wide
@@ -453,39 +498,66 @@ UNION ALL SELECT 'reportes_mensuales', COUNT(*) FROM (SELECT DISTINCT anio, mes
 UNION ALL SELECT 'perfil_clientes', COUNT(*) FROM kpi5
 UNION ALL SELECT 'alertas_inventario', COUNT(*) FROM kpi7""")
 
-SQL["read_back_platforms"] = w("SELECT plataforma, num_ventas, ingresos_total FROM kpi3")
+SQL["read_back_platforms"] = w(f"""
+SELECT plataforma, num_ventas, {pct1('num_ventas', 'SUM(num_ventas) OVER ()')} AS cuota_mercado_pct FROM kpi3""")
+SQL["read_back_games"] = SQL["kpi_top_products"]
+SQL["read_back_months"] = w(f"SELECT anio, mes, ingresos_mes FROM kpi4 WHERE {MONTHS}")
+SQL["read_back_alerts"] = SQL["kpi_low_stock"]
+SQL["read_back_customers"] = SQL["kpi_top_customers"].replace("MAX(fecha) AS ultima_compra", "CAST(MAX(fecha) AS VARCHAR) AS ultima_compra")
+
+SQL["sql_views"] = w("""
+SELECT plataforma, COUNT(venta_id) AS ventas, COUNT(DISTINCT cliente_id) AS clientes,
+       (SELECT COUNT(*) FROM inventory i WHERE i.plataforma = x.plataforma AND i.stock > i.umbral) AS juegos_en_stock
+FROM wide x GROUP BY plataforma""")
+
+SQL["kpi_order"] = w(f"""
+SELECT 'plataformas' AS kpi, ROW_NUMBER() OVER (ORDER BY ingresos_total DESC, plataforma) AS orden, plataforma AS inicio FROM kpi3
+UNION ALL SELECT 'categorias', ROW_NUMBER() OVER (ORDER BY ingresos_total DESC, categoria), categoria FROM (
+  SELECT categoria, {money_sum('total')} AS ingresos_total FROM wide WHERE categoria IS NOT NULL GROUP BY categoria)
+UNION ALL SELECT 'ventas_mensuales', ROW_NUMBER() OVER (ORDER BY anio NULLS FIRST, mes NULLS FIRST),
+       coalesce(CAST(anio AS VARCHAR), '') || '|' || coalesce(CAST(mes AS VARCHAR), '') FROM kpi4
+UNION ALL SELECT 'pago_membresia', ROW_NUMBER() OVER (ORDER BY nivel_membresia, n DESC, metodo_pago), nivel_membresia || '|' || metodo_pago FROM (
+  SELECT nivel_membresia, metodo_pago, COUNT(*) AS n FROM wide WHERE nivel_membresia IS NOT NULL GROUP BY ALL)
+UNION ALL SELECT 'top_clientes', ROW_NUMBER() OVER (ORDER BY gasto_total DESC, cliente_id), cliente_id FROM kpi5""")
 
 SQL["xml_inventory"] = w("SELECT juego_id, titulo_inv, plataforma, stock, precio_inv, umbral FROM raw_inventory")
 
-SQL["json_catalog"] = w("""
-SELECT juego_id, titulo, categoria, precio_base, desarrollador, publicador, anio_lanzamiento, pegi,
-       descripcion, CAST(len(plataformas) AS INTEGER) AS num_plataformas,
-       array_to_string(tags, '|') AS tags_texto, FALSE AS corrupto
-FROM raw_catalog""")
+SQL["json_catalog"] = w(f"SELECT {text_columns(GAME_COLS)}, FALSE AS corrupto FROM raw_catalog")
+SQL["json_array_catalog"] = w(f"SELECT {text_columns(GAME_COLS)} FROM raw_catalog")
+SQL["log_from_text"] = SQL["log_activity"]
+SQL["csv_folder"] = SQL["log_activity"]
 
 SQL["csv_roundtrip"] = w("SELECT * FROM raw_customers")
 
-SQL["parquet_roundtrip"] = w(f"SELECT {_no_tags(WIDE_COLS)} FROM wide")
+SQL["parquet_roundtrip"] = w(f"SELECT {text_columns(WIDE_COLS)} FROM wide")
 
 SQL["encode_messages"] = w("""
-SELECT venta_id AS key, event_id, event_type, plataforma_raw AS plataforma, cantidad, total,
-       riesgo_fraude, venta_riesgosa FROM sev""")
+SELECT venta_id AS key, event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_timestamp, venta_id, cliente_id, juego_id,
+       plataforma_raw AS plataforma, metodo_pago, vendedor, precio, cantidad, total, CAST(NULL AS VARCHAR) AS cliente_nombre,
+       CAST(NULL AS VARCHAR) AS nivel_membresia, CAST(NULL AS VARCHAR) AS distrito, riesgo_fraude, venta_riesgosa FROM sev""")
 
 SQL["stream_by_platform"] = w(f"""
-SELECT plataforma, COUNT(*) AS total_ventas, {money_sum('total')} AS ingresos,
+SELECT batch_id, plataforma, COUNT(*) AS total_ventas, {money_sum('total')} AS ingresos,
        {avg2('total')} AS ticket_promedio,
        CAST(SUM(CAST(venta_riesgosa AS INTEGER)) AS BIGINT) AS ventas_riesgo
-FROM senr GROUP BY plataforma""")
+FROM senr GROUP BY batch_id, plataforma""")
 
 SQL["stream_by_payment"] = w(f"""
-SELECT metodo_pago, COUNT(*) AS total_transacciones, {money_sum('total')} AS monto_total,
+SELECT batch_id, metodo_pago, COUNT(*) AS total_transacciones, {money_sum('total')} AS monto_total,
        {avg2('riesgo_fraude')} AS riesgo_promedio
-FROM senr GROUP BY metodo_pago""")
+FROM senr GROUP BY batch_id, metodo_pago""")
 
-SQL["stream_alerts"] = w(f"""
-SELECT event_id, venta_id, cliente_nombre, plataforma, metodo_pago, total, riesgo_fraude, event_timestamp
-FROM senr WHERE COALESCE(venta_riesgosa, FALSE) OR riesgo_fraude >= {RISK_THRESHOLD}""")
+SQL["stream_alerts"] = w("""
+SELECT event_id, venta_id, cliente_nombre, plataforma, metodo_pago, total, riesgo_fraude, event_timestamp, batch_id
+FROM senr WHERE COALESCE(venta_riesgosa, FALSE) OR riesgo_fraude >= 0.75""")
 
 SQL["stream_enriched"] = w("SELECT * FROM senr")
 
-SQL["stream_rejects"] = w("SELECT venta_id AS message_key FROM sev WHERE damaged")
+SQL["stream_rejects"] = w("""
+SELECT venta_id AS message_key, n % 3 AS batch_id,
+       '{"event_id":"' || event_id || '","event_type":"' || event_type || '","event_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
+       '","venta_id":"' || venta_id || '","cliente_id":"' || cliente_id || '","juego_id":"' || juego_id || '","plataforma":"' || plataforma_raw ||
+       '","metodo_pago":"' || metodo_pago || '","vendedor":"' || vendedor || '","precio":' || CAST(precio AS VARCHAR) || ',"cantidad":' ||
+       CASE WHEN n % 10 = 5 THEN '"n' || CAST(cantidad AS VARCHAR) || '"' ELSE CAST(cantidad AS VARCHAR) END || ',"total":' || CAST(total AS VARCHAR) ||
+       ',"riesgo_fraude":' || CAST(riesgo_fraude AS VARCHAR) || CASE WHEN n % 10 = 5 THEN '}' ELSE '' END AS message_value
+FROM sev WHERE damaged""")

@@ -52,7 +52,7 @@ INVENTORY_XML = T.StructType([
     ])),
 ])
 
-# Sale event carried by the message stream (17 fields, all nullable).
+# Fixed contract: the sale event carried by the message stream (17 fields, all nullable).
 EVENT = _struct(
     ("event_id", S), ("event_type", S), ("event_timestamp", S),
     ("venta_id", S), ("cliente_id", S), ("juego_id", S),

@@ -46,8 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` (or the context's checkpoint dir) is used as is.
-    Only when neither is set -- local runs and tests -- a private temporary
-    folder is created and registered.
+    When neither is set, a local master -- driver and executors in one
+    process, as in tests -- gets a private temporary folder; any other master
+    raises, since each executor would write to a disk the others cannot see.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.sparkContext.getCheckpointDir()
     if path:
         return path
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder shared by all executors (master {master})")
     path = tempfile.mkdtemp(prefix="shopflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -32,17 +32,32 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str)
     return df.sparkSession.table(name)
 
 
-def plain_numbers(df: DataFrame, scale: int = 10) -> DataFrame:
-    """Doubles as plain decimal text (18667993.8, not 1.86679938E7), exact
-    for values with up to ``scale`` decimals; other columns unchanged."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.DoubleType):
-            text = F.regexp_replace(c.cast(f"decimal(38,{scale})").cast("string"), r"\.?0+$", "")
-            c = F.when(F.abs(c) < F.lit(1e15), text).otherwise(c.cast("string"))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+def plain_numbers(df: DataFrame) -> DataFrame:
+    """Doubles as plain decimal text (18667993.8, not 1.86679938E7) with the
+    digits of their shortest notation, at any size; NaN, the infinities and
+    values beyond 38 digits keep theirs.  Other columns are unchanged."""
+    def plain(c):
+        text, size = c.cast("string"), F.abs(c)
+
+        def at(kind):
+            return text.try_cast(kind).cast("string")
+        # the decimals that a double's 17 digits can need, by size
+        wide = F.when(size >= 1e20, at("decimal(38,0)")).when(size >= 1e3, at("decimal(38,18)")).otherwise(at("decimal(38,35)"))
+        trimmed = F.when(wide.contains("."), F.regexp_replace(wide, r"\.?0+$", "")).otherwise(wide)
+        return F.coalesce(F.when(size < 1e-18, F.when(c == 0, F.lit("0")).otherwise(text)).otherwise(trimmed), text)
+    return df.select(*[(plain(F.col(f.name)) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)).alias(f.name)
+                       for f in df.schema.fields])
+
+
+def write_json_arrays(df: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Rows as files that each hold one JSON array over several lines: the
+    array form of the catalogue.  A file holds about ``per_file`` rows, so
+    the array that a task builds is bounded."""
+    files = F.ceil(F.count(F.lit(1)) / per_file)
+    n = max(1, df.agg(files).first()[0])
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    parts = rows.groupBy(F.pmod(F.xxhash64("j"), F.lit(n)).alias("p")).agg(F.collect_list("j").alias("a"))
+    parts.select(F.concat(F.lit("[\n"), F.concat_ws(",\n", "a"), F.lit("\n]")).alias("value")).repartition(int(n), "value").write.text(path)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False, header: bool = True,
@@ -126,10 +141,11 @@ def run_metadata(spark: SparkSession, sources: Mapping[str, tuple[str, DataFrame
 
 
 def output_inventory(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
-    """K6: (coleccion, documentos) for every written collection."""
+    """K6: (coleccion, documentos) for every written collection.  A document
+    is one line, so lines are counted and no schema has to be inferred."""
     out = None
     for name in names:
-        one = spark.read.json(f"{root.rstrip('/')}/{name}").agg(
+        one = spark.read.text(f"{root.rstrip('/')}/{name}").agg(
             F.count(F.lit(1)).alias("documentos")).select(
             F.lit(name).alias("coleccion"), "documentos")
         out = one if out is None else out.unionByName(one)

@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 from shopflow.schemas import CORRUPT, MESSAGE, with_corrupt
 
 
+# Default bounds of one micro-batch.
+OFFSETS_PER_TRIGGER = 1_000_000
+FILES_PER_TRIGGER = 64
+
+
 def read_csv(spark: SparkSession, path, schema: T.StructType, header: bool = True,
              corrupt_col: str | None = CORRUPT, encoding: str = "UTF-8",
              **options) -> DataFrame:
@@ -60,14 +65,27 @@ def read_xml_nested(spark: SparkSession, path, row_tag: str, schema: T.StructTyp
     ``columns`` maps output name -> path, where a path starting with ``item.``
     refers to a field of the exploded element and any other path to a field
     of the row element.  The file is split and parsed on the executors.
+    Records that do not fit the schema are in ``rejected_xml``.
     """
-    raw = (spark.read.format("xml").option("rowTag", row_tag)
-           .option("mode", "PERMISSIVE").schema(schema).load(path))
+    raw = _xml(spark, path, row_tag, schema).filter(F.col(CORRUPT).isNull())
     explode = F.explode_outer if outer else F.explode
     rows = raw.select("*", explode(F.col(array_path)).alias("item"))
     return rows.select(*[F.col(p).alias(n) for n, p in columns.items()])
 
 
+def _xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
+    return (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(with_corrupt(schema)).load(path))
+
+
+def rejected_xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
+    """The XML records that do not fit the schema, as far as they parsed (the
+    reader's own text of a broken record may be the whole file)."""
+    whole = F.to_json(F.struct(*schema.fieldNames()))  # every field is parsed, so every field is checked
+    return (_xml(spark, path, row_tag, schema).filter(F.col(CORRUPT).isNotNull() & whole.isNotNull())
+            .drop(CORRUPT))
+
+
 def read_parquet(spark: SparkSession, path, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet (column pruning and filter pushdown come from Catalyst)."""
     df = spark.read.parquet(path)
@@ -80,18 +98,23 @@ def register(df: DataFrame, name: str) -> None:
 
 
 def read_stream(spark: SparkSession, fmt: str, options: dict | None = None,
-                path: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+                path: str | None = None, schema: T.StructType | None = None,
+                per_trigger: int | None = None) -> DataFrame:
     """A message stream -> columns key, value (strings), timestamp.
 
     ``fmt="kafka"`` needs the Kafka connector on the classpath; any file
     format with the same three columns (parquet, json) serves as a stand-in.
-    Starting offsets default to the earliest available data.
+    Starting offsets default to the earliest available data.  A trigger takes
+    at most ``per_trigger`` offsets (Kafka) or files, so the first batch over a
+    long topic stays bounded.
     """
     reader = spark.readStream.format(fmt)
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")
+        opts.setdefault("maxOffsetsPerTrigger", str(per_trigger or OFFSETS_PER_TRIGGER))
     else:
+        opts.setdefault("maxFilesPerTrigger", str(per_trigger or FILES_PER_TRIGGER))
         reader = reader.schema(schema or MESSAGE)
     for k, v in opts.items():
         reader = reader.option(k, v)

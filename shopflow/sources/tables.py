@@ -34,9 +34,6 @@ EVENT_TYPE_MAP = {"view": EVENT_TYPES[0], "click": EVENT_TYPES[1], "signup": EVE
 STREAM_PLATFORMS = ["PS5", "Xbox", "Switch", "PC", "PlayStation 4"]
 
 
-_READS: dict[tuple[str, int, str], DataFrame] = {}
-
-
 def session_key(spark: SparkSession) -> tuple[str, int]:
     """Identifies a live session: application id (new for every context)
     plus the session object, so a stopped session's DataFrames are never
@@ -45,13 +42,8 @@ def session_key(spark: SparkSession) -> tuple[str, int]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One DataFrame per (session, table file): the schema is read once and
-    every entity built from the same table shares one relation."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (*session_key(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """One test table, listed anew: rewritten files are never read with an old listing."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(col, mapping: dict, default=None):
@@ -75,9 +67,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = (F.col("l_linenumber") % 2) == 0
     spelled = {k: F.when(even, F.lit(v[1])).otherwise(F.lit(v[0]))
                for k, v in SALE_PLATFORM_SPELLING.items()}
+    sale_id = F.concat(F.lit("V"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     return j.select(
-        F.concat(F.lit("V"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("venta_id"),
+        F.when((F.col("l_orderkey") % 53 == 0) & (F.col("l_linenumber") == 2), F.lit(None).cast("string")).otherwise(sale_id).alias("venta_id"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.lit("sin fecha"))
          .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("fecha"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cliente_id"),
@@ -86,7 +78,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         _case(F.col("l_returnflag"), spelled).alias("plataforma"),
         F.when(F.col("l_discount") >= 0.095, F.lit(0.0))
          .when((F.col("l_discount") <= 0.005) & (F.col("l_tax") <= 0.005), F.lit(None).cast("double"))
-         .otherwise(F.col("p_retailprice")).alias("precio"),
+         .when((F.col("l_orderkey") % 97 == 0) & (F.col("l_linenumber") == 1), F.lit(1e17))
+         .otherwise(F.col("p_retailprice") + (F.col("l_linenumber") % 3) * F.lit(0.005)).alias("precio"),
         F.col("l_quantity").cast("int").alias("cantidad"),
         F.col("o_orderpriority").alias("metodo_pago"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("vendedor"),
@@ -141,7 +134,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("R"), F.col("event_id").cast("string"))).alias("resena_id"),
         F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("juego_id"),
         F.when(F.col("event_type") == "signup", F.lit(None).cast("double"))
-         .otherwise((F.lit(1) + (F.col("event_id") % 5)).cast("double")).alias("puntuacion"),
+         .otherwise((F.lit(1) + (F.col("event_id") % 5)).cast("double") + (F.col("event_id") % 7) * F.lit(0.001)).alias("puntuacion"),
         F.get_json_object("props", "$.k").cast("int").alias("util_votos"),
     )
 
@@ -184,11 +177,11 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sale events as the producer would emit them (customer fields left for
-    the stream to enrich).  Risk is the hundredths of ``value``; error events
+    the stream to enrich).  Risk is three digits of ``value``; error events
     carry no flag."""
     e = table(spark, sf_dir, "events")
     cents = F.round(F.col("value") * 100).cast("long")
-    risk = ((cents % 100) / F.lit(100.0)).cast("double")
+    risk = (((cents * 7 + F.col("event_id")) % 1000) / F.lit(1000.0)).cast("double")
     qty = (F.lit(1) + (F.col("event_id") % 3)).cast("int")
     plat = F.element_at(F.array(*[F.lit(x) for x in STREAM_PLATFORMS]),
                         ((F.col("event_id") % len(STREAM_PLATFORMS)) + 1).cast("int"))
@@ -249,3 +242,47 @@ def sale_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.regexp_replace("value", '"cantidad":([0-9]+)', '"cantidad":"n$1"'))
               .otherwise(F.col("value")))
     return msgs.select("key", value.alias("value"), "timestamp")
+
+
+def game_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game documents as JSON text (column ``value``), some without a field,
+    with an explicit null, or with a field of another type."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 10
+
+    def field(name, value, quoted=True):
+        return F.concat(F.lit(f'"{name}":'), F.concat(F.lit('"'), value, F.lit('"')) if quoted else value)
+
+    parts = [
+        field("juego_id", F.concat(F.lit("P"), F.col("p_partkey").cast("string"))),
+        F.when(k == 3, F.lit(None)).otherwise(field("titulo", F.lit("Juego"))),
+        F.when(k == 6, F.lit('"categoria":null')).otherwise(field("categoria", F.lit("RPG"))),
+        F.when(k == 5, F.lit('"plataformas":"PS5"')).otherwise(F.lit('"plataformas":["PS5"]')),
+        F.when(k == 4, F.lit('"precio_base":"caro"')).otherwise(F.lit('"precio_base":99.5')),
+        F.when(k == 0, F.lit(None)).when(k == 1, F.lit('"pegi":null')).when(k == 2, F.lit('"pegi":"M"')).otherwise(F.lit('"pegi":12')),
+    ]
+    return p.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
+
+
+def write_damaged_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Raw files derived from the tables in which some records do not fit
+    their schema: a quantity in words (CSV), cut-off or wrongly typed objects
+    (JSON Lines), a stock in words (XML)."""
+    orders, part, customer, events = (table(spark, sf_dir, t) for t in ("orders", "part", "customer", "events"))
+    key = F.col("o_orderkey")
+    sale = F.concat(F.lit("V"), key.cast("string"), F.lit(",2024-01-02,C1,P1,PS5,10.5,"), F.when(key % 40 == 0, F.lit("dos")).otherwise(F.lit("2")), F.lit(",Yape,S1"))
+    sales_head = "venta_id,fecha,cliente_id,juego_id,plataforma,precio,cantidad,metodo_pago,vendedor"
+    client = F.concat(F.lit("C"), F.col("c_custkey").cast("string"), F.lit(",Ana,"), F.when(F.col("c_custkey") % 30 == 0, F.lit("treinta")).otherwise(F.lit("30")), F.lit(",F,Lima,Gold"))
+    client_head = "cliente_id,nombre,edad,genero,distrito,nivel_membresia"
+    for name, df, line, head in (("ventas.csv", orders, sale, sales_head), ("clientes.csv", customer, client, client_head)):
+        df.select(line.alias(head)).write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\x01").csv(f"{root}/{name}")
+    k = F.col("p_partkey")
+    game = F.concat(F.lit('{"juego_id":"P'), k.cast("string"), F.when(k % 50 == 0, F.lit('","titulo":"T"')).when(k % 50 == 1, F.lit('","precio_base":"caro"}')).otherwise(F.lit('","precio_base":9.5}')))
+    part.select(game.alias("value")).write.text(f"{root}/catalogo_juegos.json")
+    e = F.col("event_id")
+    review = F.concat(F.lit('{"resena_id":"R'), e.cast("string"), F.when(e % 70 == 0, F.lit('","puntuacion":"alta"}')).otherwise(F.lit('","puntuacion":4.5}')))
+    events.select(review.alias("value")).write.text(f"{root}/resenas.json")
+    stock = F.when(k % 45 == 0, F.lit("tres")).otherwise(F.lit("3"))
+    item = F.struct(F.lit("PS5").alias("_nombre"), stock.alias("stock"), F.lit(9.5).alias("precio"), F.lit(5).alias("umbral_reposicion"))
+    part.select(F.concat(F.lit("P"), k.cast("string")).alias("_id"), F.lit("T").alias("titulo"), F.struct(F.array(item).alias("plataforma")).alias("plataformas")).write.format(
+        "xml").option("rowTag", "juego").option("rootTag", "inventario").save(f"{root}/inventario.xml")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions.columns import (
-    EVENT_DEFAULTS, RISK_THRESHOLD, canonical_platform, money_avg, money_sum, normalize_key,
+    EVENT_DEFAULTS, RISK_THRESHOLD, canonical_platform, exact_avg, money_avg, money_sum, normalize_key,
 )
 from shopflow.functions.predicates import risky
 from shopflow.schemas import CORRUPT, EVENT, with_corrupt
@@ -80,32 +80,33 @@ def of_types(batch: DataFrame, event_types=None) -> DataFrame:
 
 
 def stream_by_platform(batch: DataFrame, event_types=None) -> DataFrame:
-    """Per platform: events, revenue, mean ticket, risky events.
+    """Per platform: events, revenue, mean ticket, risky events, by revenue.
     ``event_types`` restricts the summary, e.g. to completed sales."""
     return of_types(batch, event_types).groupBy("plataforma").agg(
         F.count(F.lit(1)).alias("total_ventas"),
         money_sum("total").alias("ingresos"),
         money_avg("total").alias("ticket_promedio"),
-        F.sum(F.col("venta_riesgosa").cast("int")).alias("ventas_riesgo"))
+        F.sum(F.col("venta_riesgosa").cast("int")).alias("ventas_riesgo")).orderBy(F.desc("ingresos"), "plataforma")
 
 
 def stream_by_payment(batch: DataFrame, event_types=None) -> DataFrame:
-    """Per payment method: events, amount, mean risk."""
+    """Per payment method: events, amount, mean risk, by amount."""
     return of_types(batch, event_types).groupBy("metodo_pago").agg(
         F.count(F.lit(1)).alias("total_transacciones"),
         money_sum("total").alias("monto_total"),
-        money_avg("riesgo_fraude").alias("riesgo_promedio"))
+        exact_avg("riesgo_fraude").alias("riesgo_promedio")).orderBy(F.desc("monto_total"), "metodo_pago")
 
 
+# Fixed output contract: the columns of an alert.
 ALERT_COLUMNS = ["event_id", "venta_id", "cliente_nombre", "plataforma", "metodo_pago",
                  "total", "riesgo_fraude", "event_timestamp"]
 
 
 def alerts(batch: DataFrame, threshold: float = RISK_THRESHOLD) -> DataFrame:
-    """F5/T-S8: flagged or risk >= threshold, riskiest first within each
-    output file (sorted per partition: no global sort, no extra shuffle)."""
+    """F5/T-S8: flagged or risk >= threshold, riskiest first over the whole
+    batch (a range sort of the alerts alone)."""
     return (batch.filter(risky(threshold=threshold)).select(*ALERT_COLUMNS)
-                 .sortWithinPartitions(F.desc("riesgo_fraude"), "event_id"))
+                 .orderBy(F.desc("riesgo_fraude"), "event_id"))
 
 
 def default_handlers() -> dict[str, Handler]:
@@ -118,23 +119,27 @@ def default_handlers() -> dict[str, Handler]:
 
 
 def batch_writer(out_root: str, handlers: Mapping[str, Handler], run_id: str,
-                 rejects: Handler | None = None):
+                 rejects: Handler | None = None, valid: Handler | None = None):
     """The foreachBatch callback: empty batch -> nothing; else persist the
-    batch once, write every handler's result to its own batch folder."""
+    batch once, write ``rejects`` of it, and every handler's result over its
+    ``valid`` rows (persisted too), each to its own batch folder."""
     root = out_root.rstrip("/")
 
+    def write_out(name: str, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{root}/{name}/run_id={run_id}/batch_id={batch_id}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist()
+        good = valid(batch).persist() if valid is not None else batch
         try:
-            outputs = dict(handlers)
+            if batch.isEmpty():
+                return
             if rejects is not None:
-                outputs["rejects"] = rejects
-            for name, fn in outputs.items():
-                (fn(batch).write.mode("overwrite")
-                   .parquet(f"{root}/{name}/run_id={run_id}/batch_id={batch_id}"))
+                write_out("rejects", rejects(batch), batch_id)
+            for name, fn in handlers.items():
+                write_out(name, fn(good), batch_id)
         finally:
+            good.unpersist()
             batch.unpersist()
 
     return write
@@ -144,8 +149,13 @@ def dedupe_events(events: DataFrame, key: str = "event_id", time_col: str = "eve
                   delay: str = "10 minutes") -> DataFrame:
     """Drop re-delivered events (same ``key``) arriving within ``delay`` of
     each other in event time.  State is bounded by the watermark; events
-    later than the watermark are dropped by it."""
-    return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+    later than the watermark are dropped by it.  Rejected messages have no
+    key to compare: each gets one of its own and no event time, so none is
+    dropped."""
+    own = F.when(F.col(CORRUPT).isNotNull() | F.col(key).isNull(), F.concat(F.lit("\x00"), F.uuid())).otherwise(F.col(key))
+    timed = F.when(F.col(CORRUPT).isNull(), F.col(time_col))
+    return (events.withColumns({"__event_key": own, time_col: timed}).withWatermark(time_col, delay)
+            .dropDuplicatesWithinWatermark(["__event_key"]).drop("__event_key"))
 
 
 def run_for(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
@@ -177,18 +187,17 @@ def start_batches(stream: DataFrame, out_root: str, checkpoint: str, run_id: str
     parsed = parse_events(stream)
     if dedupe_within:
         parsed = dedupe_events(parsed, delay=dedupe_within)
-    if dim is not None:
-        parsed = enrich_events(parsed, dim)
 
     def valid(b: DataFrame) -> DataFrame:
-        return b.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "message_value")
+        """Valid events, enriched: rejected messages never meet the dimension."""
+        good = b.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "message_value")
+        return good if dim is None else enrich_events(good, dim)
 
     def rejected(b: DataFrame) -> DataFrame:
         return b.filter(F.col(CORRUPT).isNotNull()).select(
             "message_key", "message_value", "kafka_timestamp")
 
-    wrapped = {name: (lambda b, fn=fn: fn(valid(b))) for name, fn in handlers.items()}
-    writer = batch_writer(out_root, wrapped, run_id, rejects=rejected)
+    writer = batch_writer(out_root, handlers, run_id, rejects=rejected, valid=valid)
     w = (parsed.writeStream.foreachBatch(writer)
                .option("checkpointLocation", checkpoint)
                .trigger(**dict(trigger or {"availableNow": True})))

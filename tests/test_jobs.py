@@ -23,7 +23,11 @@ def test_run_batch_outputs(spark, tmp):
     counts = {f.archivo: f.registros for f in meta.fuentes}
     assert counts["ventas.csv"] == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
     assert spark.read.json(out["ventas_procesadas"]).count() == wide.count()
-    profile = spark.read.json(out["analisis_juegos"])
+    from shopflow.plans.tables import COLLECTIONS
+
+    assert len(COLLECTIONS) == 7 and set(COLLECTIONS) <= set(docs)
+    assert docs["analisis_juegos"] == docs["perfil_clientes"] == 10
+    profile = spark.read.json(out["perfil_productos"])
     assert profile.select("metricas.total_ventas_unidades").agg(F.sum("total_ventas_unidades")).first()[0] \
         == wide.agg(F.sum("cantidad")).first()[0]
 

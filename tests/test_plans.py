@@ -40,6 +40,20 @@ def test_kpis_join_only_dimensions_they_read(spark, name):
     assert "FullOuter" not in p and "collect_list" not in p
 
 
+@pytest.mark.parametrize("name", ["kpi_categories", "kpi_top_customers", "kpi_payment_by_segment", "revenue_share", "monthly_best"])
+def test_kpis_sum_before_they_join(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()[name](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "event_type" not in p  # neither the log nor the reviews are read
+    joins = [i for i, line in enumerate(p.splitlines()) if "SortMergeJoin" in line and "LeftOuter" in line or "SortMergeJoin" in line and "cliente_id" in line or "SortMergeJoin" in line and "juego_id" in line]
+    sums = [i for i, line in enumerate(p.splitlines()) if "partial_count" in line or "partial_sum" in line]
+    assert joins and max(sums) > min(joins)
+
+
 def test_customer_kpis_skip_game_dimension(spark):
     p = plan(E.queries()["kpi_payment_by_segment"](spark, SF001))
     # the customer dimension is joined (its NOT NULL filter may turn the full

@@ -22,11 +22,23 @@ def test_validate_split_and_reasons(spark):
     assert [r.juego_id for r in valid.collect()] == ["G1"]
     rep = {r.juego_id: r for r in quality.validation_report(df, "juego_id").collect()}
     assert rep["G1"].valido and rep["G1"].motivos == ""
-    assert rep["G2"].motivos == "falta titulo; precio_base no positivo"
-    assert rep["G3"].motivos == "falta categoria; falta precio_base; precio_base no positivo; pegi fuera de rango"
+    assert rep["G2"].motivos == "falta titulo"
+    assert rep["G3"].motivos == "falta categoria; falta precio_base"
+    values = {r.juego_id: r.motivos for r in quality.validation_report(df, "juego_id", quality.value_rules()).collect()}
+    assert values == {"G1": "", "G2": "precio_base no positivo", "G3": "pegi fuera de rango"}
     assert rejected.count() == 2
 
 
+def test_document_report_types(spark):
+    good = '"juego_id":"G","titulo":"T","categoria":"C","precio_base":9.5'
+    docs = {"{" + good + "}": "", "{" + good + ',"pegi":null}': "tipo pegi", "{" + good + ',"pegi":"18"}': "tipo pegi", "{" + good + ',"pegi":18,"otro":1}': "",
+            '{"juego_id":"G","categoria":null,"precio_base":"x"}': "falta titulo; tipo categoria; tipo precio_base",
+            "no json": "no es un documento; falta juego_id; falta titulo; falta categoria; falta precio_base"}
+    for text, want in docs.items():
+        r = quality.document_report(spark.createDataFrame([(text,)], "value string")).first()
+        assert (r.motivos, r.valido) == (want, not want), text
+
+
 def test_duplicate_and_orphan_keys(spark):
     s = spark.createDataFrame([("V1", "C1"), ("V1", "C2"), ("V2", "C9"), ("V3", None)], "venta_id string, cliente_id string")
     c = spark.createDataFrame([("C1",), ("C2",)], "cliente_id string")

@@ -117,6 +117,30 @@ def test_dedupe_within_watermark_and_bounded_run(spark, tmp):
     assert sorted(r.event_id for r in ev.collect()) == ["EVT-000001", "EVT-000002", "EVT-000003"]
 
 
+def test_dedupe_keeps_every_reject(spark, tmp):
+    topic, out, ck = (os.path.join(tmp, x) for x in ("topic", "out", "ck"))
+    _write_topic(spark, topic, [[msg(1), msg(1), *[(f"B{i}", "broken", None) for i in range(3)], ("B0", "broken", None), ("B9", None, None)]])
+    stream = spark.readStream.schema(MESSAGE).parquet(topic)
+    st.run_for(st.start_batches(stream, out, ck, run_id="r", dedupe_within="10 minutes"), 120)
+    assert spark.read.parquet(f"{out}/rejects").count() == 5
+    assert spark.read.parquet(f"{out}/events").count() == 1
+
+
+def test_processing_time_trigger_is_stopped(spark, tmp):
+    topic, out, ck = (os.path.join(tmp, x) for x in ("topic", "out", "ck"))
+    _write_topic(spark, topic, [[msg(1), msg(2)]])
+    stream = spark.readStream.schema(MESSAGE).parquet(topic)
+    q = st.run_for(st.start_batches(stream, out, ck, run_id="p", trigger={"processingTime": "1 second"}), 15)
+    assert not q.isActive and spark.read.parquet(f"{out}/events").count() == 2
+
+
+def test_summaries_and_alerts_are_ordered(spark):
+    raw = messages(spark, [msg(1, "PS5", "0.8"), msg(2, "PS5", "0.9"), msg(3, "PC", "0.95"), msg(4, "Xbox", "0.1"), msg(5, "Xbox", "0.76")])
+    valid, _ = st.decode_events(raw.repartition(3))
+    assert [r.event_id for r in st.alerts(valid).collect()] == ["EVT-000003", "EVT-000002", "EVT-000001", "EVT-000005"]
+    assert [r.plataforma for r in st.stream_by_platform(valid).collect()] == ["PS5", "XBOX", "PC"]
+
+
 def test_summary_event_type_filter(spark):
     raw = messages(spark, [msg(1), msg(2)])
     valid, _ = st.decode_events(raw)
