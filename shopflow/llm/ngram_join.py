@@ -6,7 +6,7 @@ Sketch. Every shingle flips one bit of a sparse bit sketch that is divided
 into blocks, so bits of shared shingles cancel and the Hamming distance of two
 sketches is at most the symmetric difference of the sets; a block's key is the
 XOR of the hashes of its set bits. Sets of similar size share a scheme (a size
-band): the number of blocks follows the band's upper size, and sets below 64
+band): the number of blocks follows the band's upper size, and sets below 512
 shingles have one block for each. A set that is up to 4/3 of a lower band's limit
 takes part in that band too, so each pair that can link meets in a band.
 
@@ -21,13 +21,14 @@ keys of passages that many documents share are the last ones used.
 Verify. Candidates must pass the size ratio, the Hamming distance of dense
 parity sketches (2 bits for each shingle of the band's upper size) and at last the
 exact intersection. Within one key's documents, each is compared with the
-first and with its neighbour by size; then, round by round, with the other components
-that still meet in a key, so documents that are linked already are not
-compared again and a large group of copies does not become all its pairs. The last round
-compares all pairs of different components that are left: no link
-between components is lost.
+first and with its neighbour by size, then with neighbours of other components.
+Where components still meet in a key, tasks compare the dense sketches of their
+documents in tiles of bounded size, and only pairs under the Hamming bound become rows
+and are verified. So no link between components is lost, linked documents are not
+compared again, and a large group of copies does not become all its pairs.
 
-Exact copies of a set are joined once, by their least ``doc_id``.
+Exact copies of a set are joined once, by their least ``doc_id``. Lists of ids are broadcast against the texts only
+when their counted rows are below ``BROADCAST_IDS``; beyond, texts are joined by shuffle.
 
 Defined results: null or wordless text has an empty set and is linked with
 nothing; fewer than five words are one shingle. Rows with the same ``doc_id``
@@ -47,14 +48,19 @@ from shopflow.llm.components import connected_components
 
 NGRAM = 5
 #: Sets below the first limit have a block for each shingle; limits grow by the factor.
-FIRST_LIMIT, FACTOR = 64, 8
-#: Of a set's size, the share of block keys sent beyond the pigeonhole's D + 1.
-SLACK = 12
+FIRST_LIMIT, FACTOR = 512, 8
+#: A set of size a sends a / SLACK block keys beyond the pigeonhole's D + 1. More keys raise ``need`` above what
+#: shared passages alone bring together.
+SLACK = 3
+#: Ids (8 bytes each) up to which a list is broadcast.
+BROADCAST_IDS = 2_000_000
+#: Documents of one key that a tile holds on each side.
+TILE = 1024
 U64 = np.uint64
 #: Odd multipliers of the rolling shingle hash.
 ODD = tuple(U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
-ROWS = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, band int, need int, keys array<bigint>"
-SETS = "doc_id bigint, shingles array<bigint>, bands array<int>, sketches array<array<bigint>>"
+ROWS = "doc_id bigint, n int, band int, need int, keys array<bigint>"
+SETS = "doc_id bigint, shingles array<bigint>, bands array<int>, sketches array<array<bigint>>, packed array<binary>"
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -134,15 +140,13 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sketch_rows(ids, texts):
-    out = {k: [] for k in ("doc_id", "n", "fp1", "fp2", "band", "need", "keys")}
+    out = {k: [] for k in ("doc_id", "n", "band", "need", "keys")}
     with np.errstate(over="ignore"):
         for doc_id, text in zip(ids.to_pylist(), texts):
             s = shingles(text)
-            prints = fingerprint(s)
-            for i, band in enumerate(bands(len(s)) if len(s) else [-1]):
-                keys, need = sent_keys(s, band) if len(s) else (s, 0)
-                # the set's own row comes first; a row for the band below has a negative number
-                for name, v in zip(out, (doc_id, len(s), *prints, band if i == 0 else -2 - band, need, keys)):
+            for band in bands(len(s)) if len(s) else ():
+                keys, need = sent_keys(s, band)
+                for name, v in zip(out, (doc_id, len(s), band, need, keys)):
                     out[name].append(v)
     return out | {"keys": _lists(out["keys"])}
 
@@ -155,8 +159,9 @@ def _set_rows(ids, texts):
             b = bands(len(s))
             sets.append(s)
             held.append(b)
-            dense.append([dense_sketch(s, x).view(np.int64).tolist() for x in b])
-    return {"doc_id": ids, "shingles": _lists(sets), "bands": held, "sketches": dense}
+            dense.append([dense_sketch(s, x) for x in b])
+    return {"doc_id": ids, "shingles": _lists(sets), "bands": held, "sketches": [[x.view(np.int64).tolist() for x in d] for d in dense],
+            "packed": [[x.tobytes() for x in d] for d in dense]}
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -181,14 +186,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def kept_keys(rows: DataFrame) -> DataFrame:
-    """(key, doc, n) of the keys that have to be compared, from one row per distinct set and band."""
-    keys = rows.where("n > 0").select(F.explode("keys").alias("key"), F.col("rep").alias("doc"), F.col("n").cast("int").alias("n"), "band", "need")
+    """(key, doc, n, band) of the keys that have to be compared, from one row per distinct set and band."""
+    keys = rows.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), "n", "band", "need")
     by_key = Window.partitionBy("key")
     shared = keys.withColumn("g", F.count(F.lit(1)).over(by_key)).where("g > 1")
     by_doc = Window.partitionBy("doc", "band")
     ranked = (shared.withColumn("shared", F.count(F.lit(1)).over(by_doc))
               .withColumn("rank", F.row_number().over(by_doc.orderBy("g", "key"))))
-    return ranked.where("shared >= need and rank <= shared - need + 1").select("key", "doc", "n")
+    return ranked.where("shared >= need and rank <= shared - need + 1").select("key", "doc", "n", "band")
 
 
 def similar_sizes(a: str, b: str) -> Column:
@@ -210,11 +215,16 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def mixed_rows(kept: DataFrame, components: DataFrame) -> DataFrame:
-    """(key, doc, n, component) of the keys in which more than one component meets."""
+    """(key, doc, n, band, component) of the keys in which more than one component meets.
+
+    Keys with the same documents say the same; one of them stays.
+    """
     marked = kept.join(components.withColumnRenamed("vertex", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     marked = cut(marked, "join_marked")
-    ends = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return marked.join(ends.select("key"), "key", "left_semi")
+    members = [F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"m{i}") for i in range(2)]
+    ends = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"), F.min("band").alias("band"), *members)
+    ends = ends.where("low < high").groupBy("rows", "band", "m0", "m1").agg(F.min("key").alias("key"))
+    return cut(marked.join(ends.select("key"), "key", "left_semi"), "join_mixed")
 
 
 def component_pairs(mixed: DataFrame) -> DataFrame:
@@ -227,26 +237,83 @@ def component_pairs(mixed: DataFrame) -> DataFrame:
     return _pairs(both.where("oc <> component"))
 
 
-def all_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs of different components that still meet in a key."""
-    other = mixed.select("key", F.col("doc").alias("o"), F.col("n").alias("on"), F.col("component").alias("oc"))
-    return _pairs(mixed.join(other, "key").where((F.col("component") < F.col("oc")) & similar_sizes("n", "on")).select("doc", "n", "o", "on"))
+def runs(batches, column: str):
+    """Tables of the consecutive rows with one value of ``column``, across batches."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        values = b.column(column).to_numpy()
+        edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1), len(values)]
+        for i, j in zip(edges, edges[1:]):
+            if held and held[-1].column(column)[0].as_py() != values[i]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def near_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components within the Hamming bound, in the rows of one tile."""
+    doc, n, part, side = (rows.column(c).to_numpy() for c in ("doc", "n", "component", "side"))
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), "<u8").reshape(len(doc), -1)
+    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    # documents of the largest component meet only the others
+    common = np.bincount(np.unique(part, return_inverse=True)[1]).argmax()
+    rare = np.flatnonzero(part != np.unique(part)[common])
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for x, y in ((np.intersect1d(left, rare), right), (np.setdiff1d(left, rare), np.intersect1d(right, rare))):
+        for at in range(0, len(x), 32):
+            i = x[at : at + 32]
+            far = np.bitwise_count(sketch[i][:, None, :] ^ sketch[y][None, :, :]).sum(-1, dtype=np.int64)
+            size = n[i][:, None].astype(np.int64) + n[y][None, :]
+            ok = (far * 7 <= size) & (part[i][:, None] != part[y][None, :]) & (4 * n[i][:, None] >= 3 * n[y][None, :]) & (4 * n[y][None, :] >= 3 * n[i][:, None])
+            p, q = np.nonzero(ok)
+            found.append((doc[i[p]], doc[y[q]]))
+    return tuple(np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+
+
+def _compared(batches):
+    for rows in runs(batches, "tile"):
+        a, b = near_pairs(rows)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def tile_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components that meet in a key and are within the Hamming bound of their dense sketches.
+
+    A key's documents are dealt to blocks of ``TILE``; each pair of blocks is a tile.
+    """
+    sizes = mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    dense = sets.select(F.col("doc_id").alias("doc"), F.explode(F.arrays_zip("bands", "packed")).alias("x")).select(
+        "doc", F.col("x.bands").alias("band"), F.col("x.packed").alias("sketch"))
+    rows = mixed.join(sizes, "key").join(dense, ["doc", "band"])
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
+        F.least(j, own).alias("i"), F.greatest(j, own).alias("j"), F.when(j == own, 3).when(own < j, 1).otherwise(2).alias("side")))
+    dealt = rows.withColumn("t", F.explode(others)).select(F.xxhash64("key", "t.i", "t.j").alias("tile"), "doc", "n", "component", "t.side", "sketch")
+    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_compared, "a bigint, b bigint").distinct()
+
+
+def chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` with (``left_semi``) or without (``left_anti``) the written distinct ``ids``."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
 
 
-def links(docs: DataFrame, rows: DataFrame, rounds: int = 2) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Verified links (a, b) that connect every similar pair of distinct sets.
 
-    ``rows`` has one row per distinct set and band, named by ``rep``.
+    ``rows`` has the keys of every distinct set and band, named by ``doc_id``.
     """
     kept = cut(kept_keys(rows), "join_keys")
-    involved = kept.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = cut(map_text(texts, _set_rows, SETS), "join_sets")
+    involved = cut(kept.select(F.col("doc").alias("doc_id")).distinct(), "join_involved")
+    sets = cut(map_text(chosen(docs, involved, "left_semi"), _set_rows, SETS).dropDuplicates(["doc_id"]), "join_sets")
     done = cut(first_pairs(kept), "join_pairs")
     found = cut(verified(done, sets), "join_links")
-    for i in range(rounds):
-        mixed = mixed_rows(kept, connected_components(found))
-        pairs = all_pairs(mixed) if i == rounds - 1 else component_pairs(mixed)
+    for pairs_of in (lambda mixed: component_pairs(mixed), lambda mixed: tile_pairs(mixed, sets)):
+        pairs = pairs_of(mixed_rows(kept, connected_components(found)))
         pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "join_pairs")
         done = done.union(pairs)
         found = found.union(cut(verified(pairs, sets), "join_links"))
@@ -263,29 +330,29 @@ def _print_rows(ids, texts):
     return out
 
 
-def classes(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    same = ["fp1", "fp2", "n"]
     prints = cut(map_text(docs, _print_rows, "doc_id bigint, n bigint, fp1 bigint, fp2 bigint"), "join_prints")
-    # One row per distinct set and band; copies carry equal keys, so any row's keys will do.
-    rows = map_text(docs, _sketch_rows, ROWS).where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n", "band", "need").agg(
-        F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    parts = connected_components(links(docs, rows, rounds)).withColumnRenamed("vertex", "rep")
-    sets = prints.where("n > 0").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    # Only sets with copies or links need a look-up; both join sides are plain exchanges, so a hot set can be split.
+    sets = cut(prints.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "join_distinct")
+    # Of equal sets only the least document's keys are joined. Both sides are plain exchanges, so a hot set can be split.
+    copies = cut(prints.join(sets.where("copies > 1"), same).where("doc_id <> rep").select("doc_id").distinct(), "join_copies")
+    rows = map_text(chosen(docs.where("doc_id is not null"), copies, "left_anti"), _sketch_rows, ROWS)
+    parts = connected_components(links(docs, rows)).withColumnRenamed("vertex", "rep")
     known = cut(sets.join(parts, "rep", "left").where("copies > 1 or component is not null").select(
-        "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component")), "join_classes")
-    return prints.join(known, ["fp1", "fp2", "n"], "left").select(
+        *same, F.coalesce("component", "rep").alias("component")), "join_classes")
+    return prints.join(known, same, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: that with the least ``doc_id``. Rows without a ``doc_id`` stay."""
-    found = cut(classes(docs, **options), "join_found").where("doc_id is not null")
+    found = cut(classes(docs), "join_found").where("doc_id is not null")
     gone = found.where("doc_id <> component_id").select("doc_id")
     again = cut(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "join_repeated")
     if again.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+        return chosen(docs, cut(gone.distinct(), "join_gone"), "left_anti").select(docs.columns)
     once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return docs.join(gone.union(again), "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))

@@ -68,7 +68,7 @@ def fresh(rng, n):
 
 def test_copies_at_and_around_the_threshold(spark):
     rng, rows = random.Random(1), []
-    for size in (3, 5, 8, 12, 30, 66, 70, 90, 200, 480, 520, 640, 700, 1500):
+    for size in (3, 5, 8, 12, 30, 66, 90, 200, 480, 520, 640, 700, 1500, 4200):
         for _ in range(3):
             base = fresh(rng, size)
             rows.append(base)
@@ -94,6 +94,24 @@ def test_hot_groups_and_shared_passages(spark):
     check(spark, [(i * 7 + 3, " ".join(w)) for i, w in enumerate(rows)])
 
 
+def test_tiles_find_what_first_pairs_miss(spark, monkeypatch):
+    """Groups of several blocks, in which each document is similar to few others."""
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    rng, base = random.Random(5), None
+    base = fresh(rng, 200)
+    far = [edited(rng, base, 14) for _ in range(60)]
+    rows = far + [edited(rng, rng.choice(far), 4) for _ in range(40)]
+    rng.shuffle(rows)
+    check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+
+
+def test_shuffle_joins_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+    rng = random.Random(6)
+    base = fresh(rng, 80)
+    check(spark, [(i, " ".join(w)) for i, w in enumerate([base, base, edited(rng, base, 2), fresh(rng, 50)])])
+
+
 def test_edges(spark):
     docs = awkward(spark)
     rows = docs.collect()
@@ -128,7 +146,7 @@ def test_sketches_bound_the_difference():
 def test_similar_sets_share_enough_sent_keys():
     rng = np.random.default_rng(4)
     with np.errstate(over="ignore"):
-        for size in [*range(2, 40), 60, 63, 64, 70, 84, 85, 86, 100, 300, 511, 512, 600, 682, 683, 700, 2000]:
+        for size in [*range(2, 40), 60, 64, 100, 300, 511, 512, 600, 682, 683, 684, 700, 2000, 4095, 4096, 5461, 5462]:
             for _ in range(20):
                 union = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
                 spare = rng.permutation(len(union))[: len(union) // 4]
