@@ -54,6 +54,15 @@ def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a narrow table (some hundred bytes each at most) up to which it is broadcast.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table, broadcast in joins if its counted rows allow it, so the large side is not dealt by a hot key."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def map_text(df: DataFrame, fn, schema: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Apply ``fn(keys, texts) -> {column: values}`` to Arrow batches of (key, text).
 

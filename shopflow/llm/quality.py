@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import WHITE_CLASS, cut, words
+from shopflow.llm.common import WHITE_CLASS, cut, small, words
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -161,14 +161,14 @@ def groups(stats: DataFrame, min_group: int) -> DataFrame:
 def estimate(rows: DataFrame, *, min_group: int = MIN_GROUP, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """Robust centre and covariance factor per (lang_key, source_key); rows hold the base statistics."""
     stats = rows.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    keyed = groups(stats, min_group)
+    keyed = small(cut(groups(stats, min_group), "quality_groups"))
     ratio = F.col("word_chars") / F.col("n_words")
     stats = stats.join(keyed, ["lang_key", "source_key"])
     centers = stats.groupBy("grp").agg(F.count(F.lit(1)).alias("n_grp"), F.percentile_approx(ratio, 0.5, 10000).alias("center"))
     names = [f"x{i}" for i in range(N)]
     x = vector({k: F.col(k) for k in (*BASE, "n_lines")}, F.col("center"))
     # Text-free rows, a few numbers each: the steps below read this table, not the texts.
-    points = cut(stats.join(cut(centers, "quality_centers"), "grp").select(
+    points = cut(stats.join(small(cut(centers, "quality_centers")), "grp").select(
         "grp", "n_grp", "center", *[v.alias(n) for v, n in zip(x, names)]), "quality_points")
     quartiles = points.groupBy("grp", "n_grp", "center").agg(*[F.percentile_approx(n, [0.25, 0.5, 0.75], 10000).alias(n) for n in names])
     spread = [F.greatest((F.col(n)[2] - F.col(n)[0]) / 1.349, F.lit(f)) for n, f in zip(names, FLOORS)]
@@ -177,16 +177,16 @@ def estimate(rows: DataFrame, *, min_group: int = MIN_GROUP, support: float = SU
     factor = consistency(support)
     for step in range(steps):
         model = cut(model, f"quality_model{step}")
-        near = points.join(model.drop("n_grp", "center"), "grp").select("grp", "n_grp", "center", *names, distance([F.col(n) for n in names]).alias("d"))
+        near = points.join(small(model).drop("n_grp", "center"), "grp").select("grp", "n_grp", "center", *names, distance([F.col(n) for n in names]).alias("d"))
         limit = near.groupBy("grp").agg(F.percentile_approx("d", support, 10000).alias("limit"))
-        inner = near.join(cut(limit, f"quality_limit{step}"), "grp").where("d <= limit")
+        inner = near.join(small(cut(limit, f"quality_limit{step}")), "grp").where("d <= limit")
         moments = inner.groupBy("grp", "n_grp", "center").agg(
             *[F.avg(n).alias(f"m{i}") for i, n in enumerate(names)],
             *[F.covar_pop(names[i], names[j]).alias(f"c{i}{j}") for i in range(N) for j in range(i + 1)])
         model = moments.select("grp", "n_grp", "center", *[f"m{i}" for i in range(N)], *factors(
             lambda i, j: F.col(f"c{i}{j}") * factor + (FLOORS[i] ** 2 if i == j else 0.0)))
     model = model.where(F.col("n_grp") >= min_group).drop("n_grp")
-    return cut(keyed.join(model, "grp").drop("grp"), "quality_estimate")
+    return small(cut(keyed.join(model, "grp").drop("grp"), "quality_estimate"))
 
 
 def _keys(df: DataFrame) -> list[Column]:
