@@ -10,13 +10,17 @@ fixed number of entries, so a worker's memory is bounded at every size.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Entries of the caches of words and of space-separated units.
-WORD_CACHE, UNIT_CACHE = 500_000, 300_000
+WORD_CACHE, UNIT_CACHE = 600_000, 400_000
+#: Marks that often end a unit; alone they are one word of the pattern.
+MARKS = frozenset(".,;:!?")
 #: A space inside or at the end of white space: no split there.
 INNER_SPACE = re.compile(r" (?:\s|\Z)")
 
@@ -56,13 +60,24 @@ class Encoder:
         self.units = _Cache(lambda u: self._unit(" " + u), UNIT_CACHE)
 
     def _word(self, w: str) -> bytes:
-        spelled = w.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+        if w.isascii() and w[1:].isalpha():  # only a leading space is spelled otherwise
+            spelled = self.letters[32] + w[1:] if w[0] == " " else w
+        else:
+            spelled = w.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.model.tokenize(spelled)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _unit(self, u: str) -> bytes:
         if not u:
             return b""
         if max(u) < "ɐ":
+            if u[0] == " ":  # letters, perhaps with one mark behind them: no need to search for the pattern
+                if u[1:].isalpha():
+                    return self.words[u]
+                if u[-1] in MARKS and u[1:-1].isalpha():
+                    return self.words[u[:-1]] + self.words[u[-1]]
             return b"".join(map(self.words.__getitem__, self.split(u)))
         return np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
