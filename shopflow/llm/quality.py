@@ -34,8 +34,10 @@ WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 N = 4
-#: Standard deviations below which a coordinate's spread is not trusted (a constant statistic has none).
-FLOORS = (0.35, 0.25, 0.4, 0.4)
+#: Standard deviations below which a coordinate's spread is not trusted (a constant statistic has none). At TAIL, where
+#: a group has no spread of its own, a text goes by repeated lines alone from a share of 0.6 on, and by repeated words
+#: alone from 0.29 on (the base rule takes those above 0.30).
+FLOORS = (0.35, 0.25, 0.314, 0.22)
 #: Words after which a longer text says no more about its mean word length.
 SATURATION = 400.0
 MIN_GROUP = 100
@@ -184,7 +186,7 @@ def estimate(rows: DataFrame, *, min_group: int = MIN_GROUP, support: float = SU
             *[F.avg(n).alias(f"m{i}") for i, n in enumerate(names)],
             *[F.covar_pop(names[i], names[j]).alias(f"c{i}{j}") for i in range(N) for j in range(i + 1)])
         model = moments.select("grp", "n_grp", "center", *[f"m{i}" for i in range(N)], *factors(
-            lambda i, j: F.col(f"c{i}{j}") * factor + (FLOORS[i] ** 2 if i == j else 0.0)))
+            lambda i, j: F.greatest(F.col(f"c{i}{j}") * factor, F.lit(FLOORS[i] ** 2)) if i == j else F.col(f"c{i}{j}") * factor))
     model = model.where(F.col("n_grp") >= min_group).drop("n_grp")
     return small(cut(keyed.join(model, "grp").drop("grp"), "quality_estimate"))
 

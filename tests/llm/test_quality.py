@@ -73,3 +73,18 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = quality.judge(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_each_statistic_can_reject_alone(spark):
+    """One planted outlier per coordinate, odd in that coordinate only."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(prose(rng, 10) for _ in range(rng.choice([3, 12, 60]))), "en", "s", 0) for i in range(300)]
+    passage = prose(rng, 30)
+    bad = {
+        1000: " ".join("x" * 40 + str(i) for i in range(60)), 1001: " ".join(w + "###" for w in prose(rng, 120).split()),
+        1002: "\n".join(f"{prose(rng, 6)}\nthe\nof\nand" for _ in range(20)), 1003: f"{prose(rng, 70)} {passage} {prose(rng, 70)} {passage}",
+    }
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows + [(i, t, "en", "s", 0) for i, t in bad.items()], DOCS)).collect()}
+    assert all(got[i].kept for i in range(300))
+    assert got[1002].n_repeat_words == 0 < got[1002].n_dup_lines and got[1003].n_dup_lines == 0 < got[1003].n_repeat_words
+    assert not any(got[i].base_failed or got[i].kept for i in bad)
