@@ -3,7 +3,8 @@
 The tokenizers library merges each distinct word once; texts are then put
 together from the cached words. A space that is followed by a character
 other than white space always starts a new word of the byte-level pattern,
-so a text can be split there without changing its ids. Both caches have a
+so a text can be split there without changing its ids. Texts that contain the
+string of an added token are encoded whole. Both caches have a
 fixed number of entries, so a worker's memory is bounded at every size.
 """
 
@@ -52,7 +53,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # the cached words know no added tokens; see encode_whole
+        self.whole = Tokenizer.from_file(path)
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
@@ -81,7 +85,14 @@ class Encoder:
             return b"".join(map(self.words.__getitem__, self.split(u)))
         return np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def encode_whole(self, text: str) -> bytes:
+        """The library's own ids; a text with an added token's string goes through the untouched tokenizer."""
+        if self.added(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.encode(text)
+
     def encode(self, text: str) -> bytes:
+        """Ids with the strings of added tokens as ordinary text."""
         parts = text.split(" ")
         if INNER_SPACE.search(text):
             merged = parts[:1]
@@ -112,5 +123,5 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def document_ids(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
     """Ids of each text with the end id behind them."""
-    encode, end = encoder(path).encode, np.array([end_id], dtype="<u4").tobytes()
+    encode, end = encoder(path).encode_whole, np.array([end_id], dtype="<u4").tobytes()
     return [encode(t) + end for t in texts]

@@ -152,3 +152,10 @@ def test_best_fit_is_the_best_state():
         bins[s][0] -= n
         bins[s][1] -= 1
         bins[s][2] -= n * n
+
+
+@pytest.mark.parametrize("text", ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext", "plain  text é", ""])
+def test_documents_equal_untouched_library(text):
+    untouched = Tokenizer.from_file(tokens.vocabulary_path())
+    ids = np.frombuffer(tokens.document_ids([text], tokens.vocabulary_path())[0], "<u4").tolist()
+    assert ids == [*untouched.encode(text, add_special_tokens=False).ids, tokens.END_ID]
