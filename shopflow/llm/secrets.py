@@ -2,8 +2,10 @@
 
 Every whole text is scanned in three base patterns (assignments to sensitive
 names, access keys, long hexadecimal runs). On top of them the text is lexed
-into name-literal pairs (``name = literal``, ``"name": "literal"``,
-``name: literal``, ``name := literal``); a bare value that names an earlier
+into name-literal pairs: a target (name, quoted key, or subscript, perhaps with a
+type annotation), the last assignment operator, and a literal (quoted, also over
+line ends, or bare); pairs inside bare values, such as url parameters, count
+too. A bare value that names an earlier
 constant takes that constant's literal (transitively), and each literal is
 scored by how sensitive its target name is and how random the literal looks.
 Literals at or above the threshold that no base finding covers are added.
@@ -30,10 +32,20 @@ KINDS = ("assign", "access", "hex", "literal")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the length test can stand in the pattern
-#: name, operator, then a quoted literal or a bare value.
-PAIR = re.compile(
-    r"""(?<![\w.$-])([A-Za-z_$][\w.$-]*)["']?[ \t]*(?::=|=>|=|:)[ \t]*(?:"([^"\n]*)"|'([^'\n]*)'|([^\s"'`,;(){}\[\]<>]+))"""
+#: Target and assignment operator: a name or quoted key, subscripts (the last quoted one names the target), a type annotation.
+HEAD = re.compile(
+    r"""(?<![\w.$-])([A-Za-z_$][\w.$-]*)["']?(?:[ \t]*\[[ \t]*(?:["']([^"'\n\]]{1,200})["']|[\w.$-]*)[ \t]*\]){0,8}[ \t]*"""
+    r"""(?::[ \t]*([A-Za-z_&*][\w.&'*?|,<>\[\] \t]{0,80}?)(?=[ \t]*=(?![=~>]))[ \t]*)?(:=|=>|[?+]?=(?![=~])|:(?!:|//))"""
 )
+#: What may stand between an operator and a quoted literal (also line ends), a string prefix, and the opening quote.
+OPENING = re.compile(r"""((?:[ \t(]|\\?\r?\n){0,40})[rbufRBUF@$]{0,2}(\"{3}|'{3}|["'`])""")
+QUOTED = {q: re.compile(rf"(?:[^{q}\\\n]|\\.)*{q}", re.S) for q in "\"'"}
+BARE = re.compile(r"""[ \t]*([^\s"'`,;(){}\[\]<>]+)""")
+QUERY = re.compile(r"""[ \t]*([^\s"'`,;(){}\[\]<>&#]+)""")  # a parameter inside a url ends at the next one
+BLOCK = re.compile(r"[ \t]*[|>][-+0-9]*[ \t]*\n([ \t]+)(\S.*(?:\n\1.*)*)")
+KEY_AFTER = re.compile(r"[ \t]*(?::|=)")
+#: Characters that a literal over several lines may have.
+LONGEST = 8192
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 #: Fixed weights of the parts of a sensitive target name.
 WEIGHTS = {
@@ -93,20 +105,57 @@ def lines_with_pairs(text: str):
         at = end + 1
 
 
+def literal_at(text: str, at: int, sensitive: bool, in_url: bool) -> tuple[int, int, bool] | None:
+    """(start, end, bare) of the literal behind an operator that ends at ``at``."""
+    if m := OPENING.match(text, at):
+        start, quote, over = m.end(), m.group(2), "\n" in m.group(1)
+        end = -1
+        if quote in QUOTED:
+            line = text.find("\n", start)
+            line = len(text) if line < 0 else line
+            if q := QUOTED[quote].match(text, start, min(len(text), start + LONGEST)):
+                end = q.end() - 1
+            elif (end := text.find(quote, start, line)) < 0 and sensitive:
+                end = text.find(quote, start, start + LONGEST)
+        elif sensitive or len(quote) == 3:
+            end = text.find(quote, start, start + LONGEST)
+        if end >= 0 and not (over and KEY_AFTER.match(text, end + len(quote))):
+            return start, end, False
+        return None
+    if sensitive and (m := BLOCK.match(text, at, min(len(text), at + LONGEST))):
+        return *m.span(2), False
+    if m := (QUERY if in_url else BARE).match(text, at):
+        return *m.span(1), True
+    return None
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that reach sensitive names, directly or through constants."""
     constants: dict[str, tuple[str, int, int]] = {}
     out: dict[tuple[int, int], float] = {}
+    chained: list[str] = []  # targets of a = b = literal that still wait for the literal
     for at, line in lines_with_pairs(text):
-        for m in PAIR.finditer(line):
-            name, k = m.group(1), m.lastindex
-            value, start, end = m.group(k), at + m.start(k), at + m.end(k)
-            if k == 4 and value in constants:
+        for m in HEAD.finditer(text, at, at + len(line)):
+            names = [m.group(2) or m.group(1)]
+            if m.group(3) and text[m.end(3)] == "=" and not text[m.end() : m.end() + 1].isspace():  # note: key=value
+                names.append(m.group(3))
+            names += chained
+            chained = []
+            s = max(map(name_score, names))
+            found = literal_at(text, m.end(), s >= threshold, text[m.start() - 1 : m.start()] in ("?", "&"))
+            if not found:
+                continue
+            start, end, bare = found
+            value = text[start:end]
+            if bare and value in constants:
                 value, start, end = constants[value]
-            constants[name] = (value, start, end)
-            if end > start and (s := name_score(name)) >= 0.4:
+            elif bare and (n := HEAD.match(text, start)) and n.end(1) == end and n.group(4) == "=":
+                chained = names
+                continue
+            constants |= dict.fromkeys(names, (value, start, end))
+            if end > start and s >= threshold:
                 score = s * literal_score(value)
-                if score >= threshold * 0.6 and s >= threshold:
+                if score >= threshold * 0.6:
                     out[start, end] = max(score, out.get((start, end), 0.0))
     return [(a, b, s) for (a, b), s in sorted(out.items())]
 

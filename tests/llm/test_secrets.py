@@ -59,3 +59,19 @@ def test_redact(spark):
 def test_separators_are_linear():
     text = ("z" * 50_000 + " ") * 4 + "=" + "x: " * 5000
     assert secrets.find(text) == ([], [])
+
+
+def test_lexer_reads_source_syntax():
+    v = "Zx81kQ9!vT22"
+    for form in (
+        'db_password: str = "{}"', 'val password: String = "{}"', "let pwd: &'static str = \"{}\";", 'config["db_pwd"] = "{}"', "os.environ['AUTH_SECRET'] = '{}'",
+        "a['x']['db_pwd'] = '{}'", "endpoint: https://h.org/v1?x=1&access_key={}&y=2", 'db_pwd = (\n    "{}"\n)', 'db_pwd = \\\n  "{}"', 'db_pwd = """{}"""',
+        "db_pwd: |\n  {}\nnext: 1", "db_pwd = alias = '{}'", "db_pwd := `{}`", "note: db_pwd={}",
+    ):
+        text = form.replace("{}", v)
+        assert [text[a:b] for a, b, _ in secrets.literal_spans(text)] == [v], form
+        assert v not in secrets.masked(text), form
+    for v in ("Zx81kQ9\nvT22!mm", 'Zx81kQ9\\"vT22!'):
+        text = f'db_pwd = "{v}"\nother = "blue"'
+        assert [text[a:b] for a, b, _ in secrets.literal_spans(text)] == [v]
+    assert secrets.literal_spans('if db_pwd == "Zx81kQ9!vT22": pass\ndb_pwd:\n  "name": "blue"') == []
