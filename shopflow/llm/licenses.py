@@ -9,6 +9,11 @@ so many one-row bands that at least one agrees with probability ``1 - MISS`` or
 ``(1 - j) ** bands <= MISS``. Windows whose bands agree are verified
 by exact shingle containment, over the window and one more stride on both sides.
 
+Words lose comment marks at their ends, and words of marks only are left out, so
+notices in source comments match; positions count all white-space separated words.
+Ids of ``SPDX-License-Identifier`` lines are matches too. The GNU licenses' family and version and the BSD
+licenses' clauses are read from the matched words (``BSD``: the common sentence alone).
+
 Defined results: null texts and texts under five words match nothing. Repeated rows are
 scanned each. Other columns are ignored. An empty table gives no rows.
 The work is map-only, on whole texts, without a shuffle; the templates are a fixed, small table.
@@ -17,6 +22,7 @@ The work is map-only, on whole texts, without a shuffle; the templates are a fix
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,26 +49,70 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
                      "conditions are met"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
             "the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                         "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as "
+                "published by the Free Software Foundation."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                          "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                          "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "\"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the "
+                "public domain worldwide."),
+    ("CC0-1.0", "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the "
+                "creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\")."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this "
+                "distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+                "https://www.eclipse.org/legal/epl-2.0/"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it "
+             "freely, subject to the following restrictions"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+                "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 NGRAM = 5
 CONTAINMENT = 0.75
 MISS = 1e-5
-EDGE = b".,;:!?()[]{}<>\"'*`"
+#: Punctuation and comment marks that words lose at their ends; what is nothing else is no word.
+EDGE = b".,;:!?()[]{}<>\"'`*#/-%|"
+#: Notices that differ in a word or two are told apart by the words themselves.
+GNU = re.compile(rb"(?:(lesser|library|affero) )?general public license")
+GNU_TERMS = re.compile(rb"terms of the gnu (?:(lesser|library|affero) )?general public license")
+GNU_VERSION = re.compile(rb"(?:version|v) ?([123](?:\.\d)?)\b")
+SPDX = re.compile(rb"spdx-license-identifier:?[ \t]*([^\r\n]*)", re.I)
+SPDX_ID = re.compile(rb"[A-Za-z0-9][A-Za-z0-9.+-]*")
+#: Words after the BSD licenses' common sentence in which their clauses stand.
+BSD_WORDS = 200
 U64 = np.uint64
 SCHEMA = "doc_id bigint, n_matches bigint, licenses string, matches string, containment double"
 
 
-def word_hashes(text: str) -> np.ndarray:
+def lexed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, and the place of each among the text's white-space separated words."""
     from xxhash import xxh3_64_intdigest
 
-    words = text.encode().lower().split()
-    return np.fromiter((xxh3_64_intdigest(w.strip(EDGE)) for w in words), U64, len(words))
+    words = [w.strip(EDGE) for w in text.encode().lower().split()]
+    at = [i for i, w in enumerate(words) if w]
+    return np.fromiter((xxh3_64_intdigest(words[i]) for i in at), U64, len(at)), np.array(at, np.int64)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    return lexed(text)[0]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -142,7 +192,8 @@ class Matcher:
     def scan(self, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
         """Per text: (license, first word, last word + 1, containment), merged per template, by position."""
         with np.errstate(over="ignore"):
-            each = [shingled(word_hashes(t)) for t in texts]
+            lexes = [lexed(t) for t in texts]
+            each, places = [shingled(h) for h, _ in lexes], [p for _, p in lexes]
             starts = np.cumsum([0, *map(len, each)])
             stream = np.concatenate(each) if each else np.empty(0, U64)
             found: list[dict[int, list[tuple[int, int, float]]]] = [{} for _ in texts]
@@ -157,24 +208,73 @@ class Matcher:
                     at = np.flatnonzero(np.isin(part, wanted))
                     share = len(np.unique(part[at])) / len(wanted)
                     if share >= self.containment:
-                        found[d].setdefault(i, []).append((low + int(at[0]), low + int(at[-1]) + NGRAM, share))
+                        found[d].setdefault(i, []).append(
+                            (int(places[d][low + int(at[0])]), int(places[d][low + int(at[-1]) + NGRAM - 1]) + 1, share))
         return [self._merged(f) for f in found]
 
     def _merged(self, found) -> list[tuple[str, int, int, float]]:
-        out: dict[str, list[list]] = {}
-        for i, spans in found.items():
-            for a, b, share in spans:
-                out.setdefault(self.templates[i][0], []).append([a, b, share])
-        merged = []
-        for name, spans in out.items():
-            held: list[list] = []
-            for a, b, share in sorted(spans):
-                if held and a < held[-1][1]:
-                    held[-1][1:] = [max(held[-1][1], b), max(held[-1][2], share)]
-                else:
-                    held.append([a, b, share])
-            merged += [(name, a, b, s) for a, b, s in held]
-        return sorted(merged, key=lambda m: (m[1], m[0]))
+        return merged((self.templates[i][0], *span) for i, spans in found.items() for span in spans)
+
+
+def merged(matches) -> list[tuple[str, int, int, float]]:
+    """Overlapping (license, first, end, share) of one license as one, by position."""
+    out: dict[str, list[list]] = {}
+    for name, *span in matches:
+        out.setdefault(name, []).append(span)
+    joined = []
+    for name, spans in out.items():
+        held: list[list] = []
+        for a, b, share in sorted(spans):
+            if held and a < held[-1][1]:
+                held[-1][1:] = [max(held[-1][1], b), max(held[-1][2], share)]
+            else:
+                held.append([a, b, share])
+        joined += [(name, a, b, s) for a, b, s in held]
+    return sorted(joined, key=lambda m: (m[1], m[0]))
+
+
+def exact_name(name: str, words: list[bytes], a: int, b: int) -> str:
+    """The license that the matched words name: GNU family and version, BSD clauses."""
+    plain = lambda i, j: b" ".join(w for w in (x.strip(EDGE) for x in words[max(0, i) : j]) if w).lower()
+    if name == "BSD":
+        rest = plain(a, b + BSD_WORDS)
+        end = rest.find(b"this software is provided")
+        clauses = rest[:end] if end >= 0 else rest
+        if b"advertising materials mentioning" in clauses:
+            return "BSD-4-Clause"
+        if b"endorse or promote" in clauses:
+            return "BSD-3-Clause"
+        return "BSD-2-Clause" if end >= 0 else "BSD"
+    if "GPL" in name:
+        own = plain(a - 4, b + 20)
+        family, version = GNU_TERMS.search(own) or GNU.search(own), GNU_VERSION.search(own)
+        if family and version:
+            letter = {b"affero": "A", b"lesser": "L", b"library": "L"}.get(family[1], "")
+            number = version[1].decode()
+            return f"{letter}GPL-{number if '.' in number else number + '.0'}" + ("-or-later" if b"any later version" in own else "")
+    return name
+
+
+def identifiers(text: str) -> list[tuple[str, int, int, float]]:
+    """License ids of the SPDX-License-Identifier lines, with the words of the line."""
+    raw = text.encode()
+    out = []
+    for m in SPDX.finditer(raw):
+        first = len(raw[: m.start()].split())
+        end = first + len(m[0].split())
+        out += [(x[0].decode().rstrip("-."), first, end, 1.0) for x in SPDX_ID.finditer(m[1]) if x[0] not in (b"AND", b"OR", b"WITH")]
+    return out
+
+
+def named(matches: list[tuple[str, int, int, float]], text: str) -> list[tuple[str, int, int, float]]:
+    """The matches of a text under their exact names, with its SPDX lines."""
+    out = []
+    if matches:
+        words = text.encode().split()
+        out = [(exact_name(n, words, a, b), a, b, s) for n, a, b, s in matches]
+    if "spdx-license-identifier" in text.lower():
+        out += identifiers(text)
+    return merged(out)
 
 
 _MATCHER: list[Matcher] = []
@@ -183,7 +283,7 @@ _MATCHER: list[Matcher] = []
 def _scan(ids, texts):
     if not _MATCHER:
         _MATCHER.append(Matcher())
-    found = _MATCHER[0].scan(texts)
+    found = [named(f, t) for f, t in zip(_MATCHER[0].scan(texts), texts)]
     return {"doc_id": ids, "n_matches": list(map(len, found)), "licenses": [",".join(sorted({m[0] for m in f})) for f in found],
             "matches": [",".join(f"{n}:{a}:{b}" for n, a, b, _ in f) for f in found],
             "containment": [max((m[3] for m in f), default=0.0) for f in found]}

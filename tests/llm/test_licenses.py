@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 
@@ -71,3 +72,31 @@ def test_table(spark):
     for r in licenses.scan(docs).collect():
         assert set(filter(None, r.licenses.split(","))) == brute(m, texts[r.doc_id])
     assert licenses.scan(awkward(spark)).count() == 11 and licenses.scan(nothing(spark)).count() == 0
+
+
+def names(text):
+    return licenses._scan([1], [text])["licenses"][0]
+
+
+def test_commented_headers():
+    for name, t in licenses.TEMPLATES:
+        for mark in ("# ", "// ", " * ", "-- ", ";; ", "#"):
+            text = "\n".join(mark + x for x in textwrap.wrap(t, 72))
+            assert name in {x[0] for x in licenses.Matcher().scan([text])[0]}, (name, mark)
+    words = "# a\n# Released under\n# the MIT\n# License.\nb"
+    (_, a, b, _), = licenses.Matcher().scan([words])[0]
+    assert words.split()[a:b] == "Released under # the MIT # License.".split()
+
+
+def test_families_are_told_apart():
+    notice = "# This {what} is free software: you can redistribute it and/or modify it\n# under the terms of the GNU {kind}General Public License as published by\n" \
+             "# the Free Software Foundation, either version {n} of the License, or\n# (at your option) any later version."
+    for what, kind, n, want in (("program", "", 2, "GPL-2.0"), ("program", "", 3, "GPL-3.0"), ("library", "Lesser ", "2.1", "LGPL-2.1"),
+                                ("library", "Lesser ", 3, "LGPL-3.0"), ("program", "Affero ", 3, "AGPL-3.0")):
+        assert names(notice.format(what=what, kind=kind, n=n)) == want + "-or-later"
+    common = next(t for n, t in licenses.TEMPLATES if n == "BSD") + ": 1. Redistributions of source code must retain the above copyright notice. "
+    third = "3. Neither the name of the holder nor the names of its contributors may be used to endorse or promote products. "
+    assert names(common + "THIS SOFTWARE IS PROVIDED BY") == "BSD-2-Clause"
+    assert names(common + third + "THIS SOFTWARE IS PROVIDED BY") == "BSD-3-Clause"
+    assert names(common) == "BSD"
+    assert names("// SPDX-License-Identifier: (MIT OR GPL-2.0-only) */\nint x;") == "GPL-2.0-only,MIT"
