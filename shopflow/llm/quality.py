@@ -8,8 +8,9 @@ quartiles, then concentration steps: the ``support`` share of rows with the
 smallest distances gives the next mean and covariance). Texts whose squared
 Mahalanobis distance is beyond the chi-square cut are rejected.
 
-Small (language, source) groups are pooled per language, then over all;
-a pool below ``min_group`` rows rejects nothing beyond the base rules.
+Small (language, source) groups are judged by all rows of their language, or by
+all rows if the language is small too; only a table with fewer than ``MIN_ALL``
+passing texts rejects nothing beyond the base rules.
 
 Defined results: null text counts as empty and fails the base rules. Null
 language or source is a group value of its own. Every row is judged by itself, so
@@ -41,6 +42,8 @@ FLOORS = (0.35, 0.25, 0.314, 0.22)
 #: Words after which a longer text says no more about its mean word length.
 SATURATION = 400.0
 MIN_GROUP = 100
+#: Rows of the whole table below which four statistics have no estimate.
+MIN_ALL = 5 * N
 SUPPORT = 0.75
 STEPS = 3
 TAIL = 1e-7
@@ -150,22 +153,31 @@ def distance(x: list[Column]) -> Column:
 
 
 def groups(stats: DataFrame, min_group: int) -> DataFrame:
-    """(lang_key, source_key) -> group, with small groups pooled."""
+    """(lang_key, source_key) -> grp that judges its rows, and feeds: the groups that its rows are estimated in.
+
+    A group below ``min_group`` rows is judged by all rows of its language, or
+    by all rows where the language is below ``min_group`` too.
+    """
     cells = cut(stats.groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n")), "quality_cells")
-    small = F.col("n") < min_group
-    per_lang = cells.where(small).groupBy("lang_key").agg(F.sum("n").alias("pooled"))
-    return cells.join(per_lang, "lang_key", "left").select(
+    per_lang = cells.groupBy("lang_key").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    own, lang, every = F.to_json(F.struct("lang_key", "source_key")), F.to_json(F.struct("lang_key")), F.lit("*")
+    few = F.col("n_lang") < min_group
+    keyed = cut(cells.join(per_lang, "lang_key").select(
         "lang_key", "source_key",
-        F.when(~small, F.to_json(F.struct("lang_key", "source_key")))
-        .when(F.col("pooled") >= min_group, F.to_json(F.struct("lang_key"))).otherwise("*").alias("grp"))
+        F.when(F.col("n") >= min_group, own).when(~few, lang).otherwise(every).alias("grp"),
+        F.array_compact(F.array(
+            F.when(F.col("n") >= min_group, own),
+            F.when(~few & (F.col("least") < min_group), lang))).alias("feeds"), few.alias("few")), "quality_groups")
+    fallback = F.when(F.lit(bool(keyed.where("few").head(1))), F.array(every)).otherwise(F.array().cast("array<string>"))
+    return keyed.select("lang_key", "source_key", "grp", F.concat("feeds", fallback).alias("feeds"))
 
 
 def estimate(rows: DataFrame, *, min_group: int = MIN_GROUP, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """Robust centre and covariance factor per (lang_key, source_key); rows hold the base statistics."""
     stats = rows.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    keyed = small(cut(groups(stats, min_group), "quality_groups"))
+    keyed = small(groups(stats, min_group))
     ratio = F.col("word_chars") / F.col("n_words")
-    stats = stats.join(keyed, ["lang_key", "source_key"])
+    stats = stats.join(keyed.drop("grp"), ["lang_key", "source_key"]).withColumn("grp", F.explode("feeds")).drop("feeds")
     centers = stats.groupBy("grp").agg(F.count(F.lit(1)).alias("n_grp"), F.percentile_approx(ratio, 0.5, 10000).alias("center"))
     names = [f"x{i}" for i in range(N)]
     x = vector({k: F.col(k) for k in (*BASE, "n_lines")}, F.col("center"))
@@ -187,8 +199,8 @@ def estimate(rows: DataFrame, *, min_group: int = MIN_GROUP, support: float = SU
             *[F.covar_pop(names[i], names[j]).alias(f"c{i}{j}") for i in range(N) for j in range(i + 1)])
         model = moments.select("grp", "n_grp", "center", *[f"m{i}" for i in range(N)], *factors(
             lambda i, j: F.greatest(F.col(f"c{i}{j}") * factor, F.lit(FLOORS[i] ** 2)) if i == j else F.col(f"c{i}{j}") * factor))
-    model = model.where(F.col("n_grp") >= min_group).drop("n_grp")
-    return small(cut(keyed.join(model, "grp").drop("grp"), "quality_estimate"))
+    model = model.where(F.col("n_grp") >= min(min_group, MIN_ALL)).drop("n_grp")
+    return small(cut(keyed.drop("feeds").join(model, "grp").drop("grp"), "quality_estimate"))
 
 
 def _keys(df: DataFrame) -> list[Column]:

@@ -88,3 +88,13 @@ def test_each_statistic_can_reject_alone(spark):
     assert all(got[i].kept for i in range(300))
     assert got[1002].n_repeat_words == 0 < got[1002].n_dup_lines and got[1003].n_dup_lines == 0 < got[1003].n_repeat_words
     assert not any(got[i].base_failed or got[i].kept for i in bad)
+
+
+def test_small_groups_are_judged_by_all_rows(spark):
+    """60 texts of a rare language beside 300 of another, and 60 texts alone."""
+    rng = random.Random(9)
+    odd = " ".join(w + "###" for w in prose(rng, 120).split())
+    rare = [(1000 + i, prose(rng, 100), "xx", "s", 0) for i in range(60)] + [(2000, odd, "xx", "s", 0)]
+    for rows in (rare + [(i, prose(rng, 100), "en", "s", 0) for i in range(300)], rare):
+        kept = {r.doc_id for r in quality.judge(spark.createDataFrame(rows, DOCS)).where("kept").collect()}
+        assert kept == {r[0] for r in rows} - {2000}
