@@ -14,6 +14,8 @@ from shopflow.session import work_path
 
 #: Rows of whole texts in one Arrow batch. It bounds a Python worker's memory, not the work.
 BATCH_ROWS = 512
+#: Bytes of one Arrow batch, but for a longer single row.
+BATCH_BYTES = 32 << 20
 #: Space, tab, line feed, vertical tab, form feed, carriage return: the white space between words.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]"
@@ -40,6 +42,7 @@ def ship(spark: SparkSession) -> SparkSession:
         sc.addPyFile(target)
         _SHIPPED.add(sc.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

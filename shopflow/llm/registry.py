@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import ann, html_crf, licenses, mixing, ngram_join, packing, quality, secrets, token_files, url_filter
+from shopflow.llm import (
+    ann, decontaminate, fill_middle, html_crf, licenses, mixing, ngram_join, packing, prefix_trie, quality, secrets, token_files, url_filter,
+)
 from shopflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,12 +64,31 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.weigh(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle forms of all ``documents``, as checksums with the texts rebuilt from them."""
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ``benchmark`` found in every whole text of ``documents``."""
+    return decontaminate.report(decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt ``conversations``."""
+    return prefix_trie.report(prefix_trie.trie(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_token_files, op4_quality_outliers, op5_learned_partitions,
-    op6_ngram_jaccard, op7_best_fit_packing, op8_html_text, op9_license_scan, op10_source_mixing)}
+    op6_ngram_jaccard, op7_best_fit_packing, op8_html_text, op9_license_scan, op10_source_mixing,
+    op11_fill_middle, op12_decontamination, op13_prefix_trie)}
 SQL: dict[str, str] = {
     "op2_url_filter": url_filter.sql(),
     "op10_source_mixing": mixing.sql(),
+    "op11_fill_middle": fill_middle.SQL,
+    "op12_decontamination": decontaminate.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
     "op6_ngram_jaccard": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
