@@ -106,7 +106,7 @@ def test_longest_matches(spark):
                         while s + n < len(w) and o + n < len(x) and w[s + n] == x[o + n]:
                             n += 1
                         if n >= 12:
-                            best.setdefault(n, []).append((doc is not None, doc or 0, doc, o))
+                            best.setdefault(n, []).append((doc is None, doc or 0, doc, o))
                 if best:
                     n = max(best)
                     want[str(item), s] = (n, len(best[n]), *min(best[n])[2:])
