@@ -23,9 +23,10 @@ parity sketches (2 bits for each shingle of the band's upper size) and at last t
 exact intersection. Within one key's documents, each is compared with the
 first and with its neighbour by size, then with neighbours of other components.
 Where components still meet in a key, tasks compare the dense sketches of their
-documents in tiles of bounded size, and only pairs under the Hamming bound become rows
-and are verified. So no link between components is lost, linked documents are not
-compared again, and a large group of copies does not become all its pairs.
+documents in tiles of bounded size, check those under the Hamming bound exactly inside the
+tile, and give a spanning forest of links: pairs never become rows. So no link between
+components is lost, linked documents are not compared again, and a large group of
+documents that are near, linked or not, does not become all its pairs.
 
 Exact copies of a set are joined once, by their least ``doc_id``. Lists of ids are broadcast against the texts only
 when their counted rows are below ``BROADCAST_IDS``; beyond, texts are joined by shuffle.
@@ -54,8 +55,8 @@ FIRST_LIMIT, FACTOR = 512, 8
 SLACK = 3
 #: Ids (8 bytes each) up to which a list is broadcast.
 BROADCAST_IDS = 2_000_000
-#: Documents of one key that a tile holds on each side.
-TILE = 1024
+#: Documents of one key that a tile holds on each side, bytes of their sets, and bytes of sketches compared at once.
+TILE, TILE_BYTES, BLOCK_BYTES = 1024, 32 << 20, 4 << 20
 U64 = np.uint64
 #: Odd multipliers of the rolling shingle hash.
 ODD = tuple(U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -254,8 +255,13 @@ def runs(batches, column: str):
         yield pa.Table.from_batches(held)
 
 
+def tile_rows(band: int) -> int:
+    """Documents on each side of a tile: their sets stay within ``TILE_BYTES``, whatever their length."""
+    return max(4, min(TILE, TILE_BYTES // (8 * limit(band))))
+
+
 def near_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components within the Hamming bound, in the rows of one tile."""
+    """Row numbers of the pairs of different components within the Hamming bound, in one tile."""
     doc, n, part, side = (rows.column(c).to_numpy() for c in ("doc", "n", "component", "side"))
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), "<u8").reshape(len(doc), -1)
     left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
@@ -264,29 +270,79 @@ def near_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     rare = np.flatnonzero(part != np.unique(part)[common])
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for x, y in ((np.intersect1d(left, rare), right), (np.setdiff1d(left, rare), np.intersect1d(right, rare))):
-        for at in range(0, len(x), 32):
-            i = x[at : at + 32]
+        step = max(1, BLOCK_BYTES // max(1, len(y) * sketch[0].nbytes))
+        for at in range(0, len(x), step):
+            i = x[at : at + step]
             far = np.bitwise_count(sketch[i][:, None, :] ^ sketch[y][None, :, :]).sum(-1, dtype=np.int64)
             size = n[i][:, None].astype(np.int64) + n[y][None, :]
             ok = (far * 7 <= size) & (part[i][:, None] != part[y][None, :]) & (4 * n[i][:, None] >= 3 * n[y][None, :]) & (4 * n[y][None, :] >= 3 * n[i][:, None])
             p, q = np.nonzero(ok)
-            found.append((doc[i[p]], doc[y[q]]))
+            found.append((i[p], y[q]))
     return tuple(np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
 
 
-def _compared(batches):
+def _near(batches):
+    """The rows of each tile that are within the Hamming bound of another component's row."""
+    for rows in runs(batches, "tile"):
+        near = np.unique(np.concatenate(near_pairs(rows)))
+        if len(near):
+            yield from rows.take(near).combine_chunks().to_batches()
+
+
+def spanning_links(rows: pa.Table) -> list[tuple[int, int]]:
+    """Verified links between the components of one tile: enough to connect what is connected, fewer than components."""
+    doc, part = rows.column("doc").to_numpy(), np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
+    sets = rows.column("shingles").combine_chunks()
+    at = sets.offsets.to_numpy()
+    flat = np.unique(sets.values.to_numpy()[at[0] : at[-1]], return_inverse=True)[1]
+    at, n = at - at[0], np.diff(at).astype(np.int64)
+    parent = np.arange(part.max() + 1)  # of the components
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    left, right = near_pairs(rows)
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    held, links_ = np.zeros(len(flat), bool), []
+    edges = np.flatnonzero(np.diff(left, prepend=-1))
+    for begin, end in zip(edges, np.r_[edges[1:], len(left)]):
+        i = left[begin]
+        others = right[begin:end]
+        others = others[[root(part[j]) != root(part[i]) for j in others]]
+        if not len(others):
+            continue
+        held[flat[at[i] : at[i + 1]]] = True
+        ends = np.cumsum(n[others])
+        shared = np.add.reduceat(held[np.concatenate([flat[at[j] : at[j + 1]] for j in others])].astype(np.int64), ends - n[others])
+        held[flat[at[i] : at[i + 1]]] = False
+        for j in others[shared * 7 >= (n[i] + n[others]) * 3]:
+            p, q = root(part[i]), root(part[j])
+            if p != q:
+                parent[q] = p
+                links_.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+    return links_
+
+
+def _linked(batches):
     for rows in runs(batches, "tile"):
-        a, b = near_pairs(rows)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        if found := spanning_links(rows):
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def tile_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a key and are within the Hamming bound of their dense sketches.
+def tile_links(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links between components that meet in a key.
 
-    A key's documents are dealt to blocks of ``TILE``; each pair of blocks is a tile.
+    A key's documents are dealt to blocks of bounded size; each pair of blocks is a tile. A first pass over the
+    tiles compares dense sketches and keeps the documents within the Hamming bound of another
+    component's; a second one checks their sets exactly. Neither makes rows of pairs: the first gives at most
+    its own rows, the second fewer links than a tile has components.
     """
-    sizes = mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    most = F.element_at(F.array(*(F.lit(tile_rows(b)) for b in range(20))), F.least(F.col("band"), F.lit(19)) + 1)
+    sizes = mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.min(most)).cast("int").alias("blocks"))
     dense = sets.select(F.col("doc_id").alias("doc"), F.explode(F.arrays_zip("bands", "packed")).alias("x")).select(
         "doc", F.col("x.bands").alias("band"), F.col("x.packed").alias("sketch"))
     rows = mixed.join(sizes, "key").join(dense, ["doc", "band"])
@@ -294,7 +350,9 @@ def tile_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least(j, own).alias("i"), F.greatest(j, own).alias("j"), F.when(j == own, 3).when(own < j, 1).otherwise(2).alias("side")))
     dealt = rows.withColumn("t", F.explode(others)).select(F.xxhash64("key", "t.i", "t.j").alias("tile"), "doc", "n", "component", "t.side", "sketch")
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_compared, "a bigint, b bigint").distinct()
+    near = cut(dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_near, dealt.schema), "join_near")
+    exact = near.join(sets.select(F.col("doc_id").alias("doc"), "shingles"), "doc")
+    return exact.repartition("tile").sortWithinPartitions("tile").mapInArrow(_linked, "a bigint, b bigint").distinct()
 
 
 def chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -312,12 +370,9 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     sets = cut(map_text(chosen(docs, involved, "left_semi"), _set_rows, SETS).dropDuplicates(["doc_id"]), "join_sets")
     done = cut(first_pairs(kept), "join_pairs")
     found = cut(verified(done, sets), "join_links")
-    for pairs_of in (lambda mixed: component_pairs(mixed), lambda mixed: tile_pairs(mixed, sets)):
-        pairs = pairs_of(mixed_rows(kept, connected_components(found)))
-        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "join_pairs")
-        done = done.union(pairs)
-        found = found.union(cut(verified(pairs, sets), "join_links"))
-    return found
+    pairs = cut(component_pairs(mixed_rows(kept, connected_components(found))).join(done, ["a", "b"], "left_anti"), "join_pairs")
+    found = found.union(cut(verified(pairs, sets), "join_links"))
+    return found.union(cut(tile_links(mixed_rows(kept, connected_components(found)), sets), "join_links"))
 
 
 def _print_rows(ids, texts):

@@ -105,6 +105,60 @@ def test_tiles_find_what_first_pairs_miss(spark, monkeypatch):
     check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
 
 
+def test_near_but_unlinked_documents_over_many_tiles(spark, monkeypatch):
+    """All documents of a group are near each other, few pairs are linked; tiles give fewer links than components."""
+    monkeypatch.setattr(ngram_join, "TILE", 16)
+    rng, rows = random.Random(8), []
+    for size in (150, 900):
+        base = fresh(rng, size)
+        far = [edited(rng, base, round(size * 0.035)) for _ in range(50)]
+        rows += far + [edited(rng, rng.choice(far), round(size * 0.012)) for _ in range(25)]
+    rng.shuffle(rows)
+    want = check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+    assert 3 < len({c for _, c in want.values()}) < len(rows)
+
+
+def test_tiles_link_by_a_spanning_forest():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    with np.errstate(over="ignore"):
+        base = np.unique(rng.integers(0, 2**62, 300).astype(np.uint64))
+        sets = [np.delete(base, rng.permutation(300)[:k]) for k in (0, 3, 5, 60, 100, 100) for _ in range(20)]
+        sets += [np.unique(rng.integers(0, 2**62, 290).astype(np.uint64)) for _ in range(5)]
+        table = pa.table({"doc": np.arange(len(sets)), "n": [len(s) for s in sets], "component": np.arange(len(sets)) // 2, "side": [3] * len(sets),
+                          "sketch": [ngram_join.dense_sketch(s, 0).tobytes() for s in sets], "shingles": [s.view(np.int64).tolist() for s in sets]})
+    links = ngram_join.spanning_links(table)
+    near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    assert all(near(sets[a], sets[b]) for a, b in links)
+
+    def parts(edges):
+        root = list(range(len(sets)))
+        find = lambda i: i if root[i] == i else find(root[i])
+        for a, b in [*edges, *((2 * i, 2 * i + 1) for i in range(len(sets) // 2))]:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(len(sets))]
+
+    assert parts(links) == parts([(a, b) for a in range(len(sets)) for b in range(a) if near(sets[a], sets[b])])
+    assert len(links) == len({find for find in parts([])}) - len(set(parts(links)))
+
+
+def test_tiles_of_very_long_documents_stay_small():
+    """Memory of a tile's comparison with the longest sketches is bounded by the block, not by rows squared."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    assert ngram_join.tile_rows(3) * 8 * ngram_join.limit(3) <= 2 * ngram_join.TILE_BYTES and ngram_join.tile_rows(0) == ngram_join.TILE
+    rows, size = ngram_join.tile_rows(3) * 2, 2 * ngram_join.limit(3) // 8
+    rng = np.random.default_rng(2)
+    table = pa.table({"doc": np.arange(rows), "n": np.full(rows, 200_000), "component": np.arange(rows), "side": [3] * rows, "sketch": [rng.bytes(size) for _ in range(rows)]})
+    tracemalloc.start()
+    assert len(ngram_join.near_pairs(table)[0]) == 0
+    assert tracemalloc.get_traced_memory()[1] < 8 * rows * size + 8 * ngram_join.BLOCK_BYTES
+    tracemalloc.stop()
+
+
 def test_shuffle_joins_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
     rng = random.Random(6)
