@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from shopflow.session import work_path
 
 #: Rows of whole texts in one Arrow batch. It bounds a Python worker's memory, not the work.
-BATCH_ROWS = 512
+BATCH_ROWS = 2048
 #: Bytes of one Arrow batch, but for a longer single row.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 #: Space, tab, line feed, vertical tab, form feed, carriage return: the white space between words.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]"

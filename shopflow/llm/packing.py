@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import cut, map_text, ship
-from shopflow.llm.tokens import END_ID, document_ids, vocabulary_path
+from shopflow.llm.common import cut, ship
+from shopflow.llm.tokens import END_ID, batch_ids, vocabulary_path
 
 CAPACITY = 1024
 #: Pieces that one packing group takes, on average.
@@ -48,17 +48,20 @@ def pieces(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str | None
     ship(docs.sparkSession)
     vocabulary = vocabulary or vocabulary_path()
 
-    def run(keys, texts):
-        out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-        for key, ids in zip(keys.to_pylist(), document_ids(texts, vocabulary, end_id)):
-            at = 0
-            for i, n in enumerate(piece_lengths(len(ids) // 4, capacity)):
-                for name, v in zip(out, (key, i, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]))):
-                    out[name].append(v)
-                at += n
-        return out
-
-    return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, PIECES)
+    def run(batches):
+        for b in batches:
+            ids, ends = batch_ids(b.column(1), vocabulary, end_id)
+            rows = []
+            for key, begin, end in zip(b.column(0).to_pylist(), [0, *ends.tolist()], ends.tolist()):
+                at = begin
+                for i, n in enumerate(piece_lengths(end - begin, capacity)):
+                    rows.append((key, i, at - begin, n, zlib.crc32(ids[at : at + n])))
+                    at += n
+            if rows:
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 def best_fit(lengths: list[int], capacity: int = CAPACITY, max_docs: int = CAPACITY, max_cost: int = CAPACITY**2,

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopflow.llm.common import ship
-from shopflow.llm.tokens import END_ID, document_ids, vocabulary_path
+from shopflow.llm.tokens import END_ID, batch_ids, vocabulary_path
 from shopflow.session import work_path
 
 FILE_SCHEMA = "shard int, doc_id bigint, n_tokens bigint, tokens array<int>"
@@ -46,12 +46,6 @@ def writer_options(encoding: str = "dictionary", row_group_bytes: int = ROW_GROU
     }
 
 
-def lists(parts: list[bytes]) -> pa.ListArray:
-    """Arrow list column of ids from their bytes."""
-    ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
-
-
 def write_tokens(docs: DataFrame, path: str, *, vocabulary: str | None = None, end_id: int = END_ID, **options) -> None:
     """Tokenize ``docs`` (doc_id, text) and write the token files to ``path``."""
     ship(docs.sparkSession)
@@ -60,10 +54,9 @@ def write_tokens(docs: DataFrame, path: str, *, vocabulary: str | None = None, e
     def run(batches):
         for b in batches:
             if b.num_rows:
-                ids = document_ids([t or "" for t in b.column(2).to_pylist()], vocabulary, end_id)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()), lists(ids)],
-                    ["shard", "doc_id", "n_tokens", "tokens"])
+                ids, ends = batch_ids(b.column(2), vocabulary, end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(ends, prepend=0)), lists], ["shard", "doc_id", "n_tokens", "tokens"])
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
                .sortWithinPartitions("doc_id").select(F.spark_partition_id().alias("shard"), "doc_id", "text"))
