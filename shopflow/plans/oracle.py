@@ -561,3 +561,73 @@ SELECT venta_id AS message_key, n % 3 AS batch_id,
        CASE WHEN n % 10 = 5 THEN '"n' || CAST(cantidad AS VARCHAR) || '"' ELSE CAST(cantidad AS VARCHAR) END || ',"total":' || CAST(total AS VARCHAR) ||
        ',"riesgo_fraude":' || CAST(riesgo_fraude AS VARCHAR) || CASE WHEN n % 10 = 5 THEN '}' ELSE '' END AS message_value
 FROM sev WHERE damaged""")
+
+# --- the live jobs. Deliveries: by ten days of the month, some events one or two later.
+LIVE = f"""
+dl AS (
+  SELECT event_id, event_timestamp AS t, {platform('plataforma_raw')} AS plataforma, total, venta_riesgosa,
+         least(2, (day(ts) - 1) // 10 + CASE WHEN n % 11 = 5 THEN 2 WHEN n % 7 = 3 THEN 1 ELSE 0 END) AS k
+  FROM sev WHERE NOT damaged),
+wm AS (SELECT k, (SELECT max(t) FROM dl WHERE dl.k < b.k) - INTERVAL 2 DAY AS before, (SELECT max(t) FROM dl WHERE dl.k <= b.k) - INTERVAL 2 DAY AS after
+       FROM (SELECT DISTINCT k FROM dl) b),"""
+
+
+def more(body: str) -> str:
+    """``body`` begins with further common tables."""
+    return w("").rstrip() + "," + body
+
+
+def live_windows(length: int) -> str:
+    """Windows of ``length`` days that begin each day (one day: tumbling)."""
+    return LIVE + f"""
+wd AS (SELECT dl.*, date_trunc('day', t) - to_days(CAST(i AS INTEGER)) AS ini, date_trunc('day', t) - to_days(CAST(i AS INTEGER)) + INTERVAL {length} DAY AS fin
+       FROM dl, range({length}) x(i)),
+ok AS (SELECT wd.* FROM wd JOIN wm USING (k) WHERE wm.before IS NULL OR wd.fin > wm.before)"""
+
+
+def closed(length: int) -> str:
+    return more(live_windows(length) + f"""
+SELECT ini AS ventana_inicio, plataforma, COUNT(*) AS ventas, {money_sum('total')} AS ingresos, {avg2('total')} AS ticket_promedio,
+       CAST(SUM(CAST(COALESCE(venta_riesgosa, FALSE) AS INTEGER)) AS BIGINT) AS ventas_riesgo,
+       (SELECT min(wm.k) FROM wm WHERE wm.after >= ok.fin) AS batch_id
+FROM ok WHERE fin <= (SELECT max(wm.after) FROM wm) GROUP BY ini, fin, plataforma""")
+
+
+SQL["live_daily_sales"] = closed(1)
+SQL["live_sliding_sales"] = closed(7)
+SQL["live_late_events"] = more(live_windows(1) + """
+SELECT event_id, plataforma, ini AS ventana_inicio, k AS batch_id FROM wd JOIN wm USING (k) WHERE wd.fin <= wm.before""")
+
+SQL["live_stock_alerts"] = more(f"""
+mv AS (
+  SELECT e.juego_id, e.plataforma, e.event_id, e.event_timestamp, i.stock AS inicio, i.umbral,
+         e.cantidad * CASE e.event_type WHEN 'venta_completada' THEN 1 ELSE -1 END AS u, e.batch_id
+  FROM senr e JOIN (SELECT juego_id, plataforma, SUM(stock) AS stock, MAX(umbral) AS umbral FROM inventory GROUP BY ALL) i
+    ON i.juego_id = e.juego_id AND i.plataforma = e.plataforma
+  WHERE e.event_type IN ('venta_completada', 'venta_cancelada')),
+run AS (SELECT *, inicio - SUM(u) OVER (PARTITION BY juego_id, plataforma ORDER BY batch_id, event_timestamp, event_id) AS queda FROM mv)
+SELECT juego_id, plataforma, event_id, event_timestamp, CAST(queda AS BIGINT) AS stock, umbral FROM run
+WHERE queda <= umbral AND queda + u > umbral""")
+
+SQL["order_net_revenue"] = more(f"""
+od AS (
+  SELECT o_orderkey AS k, {lst(STREAM_PLATFORMS)}[o_orderkey % {len(STREAM_PLATFORMS)} + 1] AS p, o_totalprice AS total,
+         o_orderkey % 10 < 7 AS pagada, o_orderkey % 4 = 0 AS cancelada FROM orders)
+SELECT {platform('p')} AS plataforma, COUNT(*) AS creadas, COUNT(*) FILTER (pagada) AS pagadas, COUNT(*) FILTER (cancelada) AS canceladas,
+       COUNT(*) FILTER (NOT pagada AND NOT cancelada) AS sin_respuesta,
+       COALESCE({money_sum('CASE WHEN pagada AND NOT cancelada THEN total END')}, 0) AS ingresos_netos
+FROM od GROUP BY ALL""")
+
+SQL["customer_as_of_event"] = more("""
+cd AS (
+  SELECT c.cliente_id, d.n, d.t, CASE WHEN d.n > 0 AND c.k % 3 = 0 THEN 'Plus' ELSE c.nivel_membresia END AS nivel_membresia,
+         CASE WHEN d.n > 1 AND c.k % 4 = 0 THEN 'Lima' ELSE c.distrito END AS distrito
+  FROM (SELECT *, CAST(substr(cliente_id, 2) AS BIGINT) AS k FROM customers) c,
+       (VALUES (0, TIMESTAMP '2024-01-01'), (1, TIMESTAMP '2024-01-11'), (2, TIMESTAMP '2024-01-21')) d(n, t)
+  WHERE d.n > 0 OR c.k % 7 <> 0)
+SELECT e.event_id, e.cliente_id, e.event_timestamp,
+       (SELECT max_by(cd.nivel_membresia, cd.t) FROM cd WHERE cd.cliente_id = e.cliente_id AND cd.t <= e.event_timestamp) AS nivel_membresia,
+       (SELECT max_by(cd.distrito, cd.t) FROM cd WHERE cd.cliente_id = e.cliente_id AND cd.t <= e.event_timestamp) AS distrito
+FROM sev e WHERE NOT e.damaged""")
+
+SQL["stream_csv_customers"] = w("SELECT event_id, cliente_id, cliente_nombre, nivel_membresia, distrito, batch_id FROM senr")

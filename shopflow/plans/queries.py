@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import RISK_THRESHOLD, canonical_platform
 from shopflow.operators import cleanse, documents, kpis, logs, quality, windows
-from shopflow.plans import jobs
+from shopflow.plans import jobs, live
 from shopflow.plans.context import RawFiles, Retail, WrittenSales
 from shopflow.plans.tables import COLLECTIONS, KPIS, charts
 from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE
@@ -464,3 +464,8 @@ def stream_enriched(r: Retail) -> DataFrame:
 def stream_rejects(r: Retail) -> DataFrame:
     """T-S2/T9: messages whose value does not fit the event schema, with their text."""
     return _stream_result(r, "rejects").select("message_key", "message_value", "batch_id")
+
+
+# --- the live jobs: windows, stock, life cycle, customers as of event time ---
+for _name, _fn in live.QUERIES.items():
+    query(_name)(_fn)

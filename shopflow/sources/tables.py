@@ -244,6 +244,51 @@ def sale_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msgs.select("key", value.alias("value"), "timestamp")
 
 
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Life-cycle messages of the orders: (key, value, timestamp, delivery).
+
+    Each order is created at its date; seven of ten are paid within 0 to 6 days (some
+    payments come twice), one of ten after 9 days, one of ten pays an unknown sale;
+    a quarter is cancelled 0 to 5 days later. Deliveries follow event time; the last
+    one holds a heartbeat of each type in the far future.
+    """
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("d"), F.col("o_totalprice").alias("total"))
+    k, sale = F.col("k"), F.concat(F.lit("V"), F.col("k").cast("string"))
+    plat = F.element_at(F.array(*[F.lit(x) for x in STREAM_PLATFORMS]), (k % len(STREAM_PLATFORMS) + 1).cast("int"))
+
+    def event(kind: str, who, days, times=F.lit(1)):
+        return o.select(F.explode(F.array_repeat(F.struct(
+            who.alias("venta_id"), F.lit(kind).alias("event_type"), (F.col("d") + F.make_dt_interval(days)).alias("timestamp"),
+            plat.alias("plataforma"), F.col("total")), times.cast("int"))).alias("e")).select("e.*")
+
+    paid = event(EVENT_TYPES[2], F.when(k % 10 == 8, F.concat(F.lit("X"), k.cast("string"))).otherwise(sale),
+                 F.when(k % 10 == 7, 9).when(k % 10 == 8, 1).otherwise(k % 10).cast("int"), F.when(k % 10 == 9, 0).when(k % 10 == 1, 2).otherwise(1))
+    rows = event(EVENT_TYPES[0], sale, F.lit(0)).union(paid).union(event(EVENT_TYPES[5], sale, (k % 6).cast("int"), F.when(k % 4 == 0, 1).otherwise(0)))
+    year = F.year("timestamp")
+    rows = rows.withColumn("delivery", F.when(year < 1994, 0).when(year < 1996, 1).otherwise(2))
+    beat = spark.range(1).select(F.explode(F.array(*[F.struct(
+        F.lit(f"latido-{t}").alias("venta_id"), F.lit(t).alias("event_type"), F.lit("2100-01-01").cast("timestamp").alias("timestamp"),
+        F.lit("PC").alias("plataforma"), F.lit(0.0).alias("total")) for t in (EVENT_TYPES[0], EVENT_TYPES[2], EVENT_TYPES[5])])).alias("e")).select("e.*", F.lit(3).alias("delivery"))
+    rows = rows.union(beat).withColumn("event_timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+    return encode_messages(rows, key="venta_id", timestamp="timestamp", exclude=["delivery"])
+
+
+def customer_deliveries(customers: DataFrame) -> DataFrame:
+    """Three deliveries of the customer dimension (cliente_id, entrega, nivel_membresia, distrito).
+
+    A seventh of the customers appears only from the second delivery on; a third changes
+    its membership in the second, a quarter its district in the third; the others are
+    delivered unchanged again.
+    """
+    k = F.substring("cliente_id", 2, 20).cast("long")
+    days = [F.lit(f"2024-01-{d}").cast("timestamp") for d in ("01", "11", "21")]
+    level = F.when(k % 3 == 0, "Plus").otherwise(F.col("nivel_membresia"))
+    one = [customers.where(k % 7 != 0).select("cliente_id", days[0].alias("entrega"), "nivel_membresia", "distrito"),
+           customers.select("cliente_id", days[1].alias("entrega"), level.alias("nivel_membresia"), "distrito"),
+           customers.select("cliente_id", days[2].alias("entrega"), level.alias("nivel_membresia"), F.when(k % 4 == 0, "Lima").otherwise(F.col("distrito")).alias("distrito"))]
+    return one[0].union(one[1]).union(one[2])
+
+
 def game_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Game documents as JSON text (column ``value``), some without a field,
     with an explicit null, or with a field of another type."""
