@@ -35,6 +35,7 @@ def life_cycle(events: DataFrame, within: str = "7 days", delay: str = "1 day")
     for kind, name in ((PAID, "pagada"), (CANCELLED, "cancelada")):
         other = of(kind, name)
         out = out.join(other, F.expr(f"venta_id = {name}_id AND {name} >= creada AND {name} <= creada + INTERVAL {within}"), "left").drop(f"{name}_id")
+        out = out.withColumn(name, F.col(name).cast("timestamp_ntz"))  # one event time, the creation's, goes on
     return out
 
 

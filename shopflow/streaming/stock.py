@@ -3,9 +3,10 @@
 A completed sale takes units, a cancelled one returns them. The stock left of each
 (game, platform) is keyed state of ``transformWithState``, started from the inventory;
 an alert is given when it falls to the reorder threshold or below, and the next one
-only after it has been above. A timer drops the state of a key that was idle for
-``idle``; its next event starts from the inventory again. Events of one micro-batch are
-taken in the order of (event time, event id). State is one number per key; a hot key's
+only after it has been above. An event-time timer drops the state of a key that was idle
+for ``idle``; its next event starts from the inventory again. Events of one micro-batch are
+taken in the order of (event time, event id); events more than ``delay`` behind the newest
+one are dropped by the watermark. State is one number per key; a hot key's
 events pass through its one state in order, as any running total, narrow rows only.
 Sales of games that the inventory does not have give no alert.
 """
@@ -33,32 +34,37 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 class StockLevel(StatefulProcessor):
-    """The stock left of one key."""
+    """The stock left of one key, and the time of its last event."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.left = handle.getValueState("left", "stock long")
+        self.left = handle.getValueState("left", "stock long, last_ms long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["event_timestamp", "event_id"], kind="stable")
+        batch = pd.concat(list(rows)).sort_values(["event_timestamp", "event_id"], kind="stable").reset_index(drop=True)
         held = self.left.get()
-        start = int(batch["stock"].iloc[0]) if held is None else int(held[0])
+        start, last = (int(batch["stock"].iloc[0]), 0) if held is None else map(int, held)
+        last = max(last, int(batch["event_timestamp"].max().timestamp() * 1000))
         after = start - batch["unidades"].cumsum()
-        before = after.shift(fill_value=start)
-        limit = batch["umbral"]
-        alerts = batch[(after <= limit) & (before > limit)]
-        self.left.update((int(after.iloc[-1]),))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        crossed = (after <= batch["umbral"]) & (after.shift(fill_value=start) > batch["umbral"])
+        self.left.update((int(after.iloc[-1]), last))
+        if held is None:
+            self.handle.registerTimer(last + self.idle_ms)
+        alerts = batch[crossed]
         yield pd.DataFrame({"juego_id": key[0], "plataforma": key[1], "event_id": alerts["event_id"], "event_timestamp": alerts["event_timestamp"],
-                            "stock": after[alerts.index].astype("int64"), "umbral": alerts["umbral"].astype("int32")})
+                            "stock": after[crossed].astype("int64"), "umbral": alerts["umbral"].astype("int32")})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.left.clear()
+        held = self.left.get()
+        if held is not None:
+            due = int(held[1]) + self.idle_ms
+            if due <= timerValues.getCurrentWatermarkInMs():
+                self.left.clear()
+            else:  # it had events since the timer was set
+                self.handle.registerTimer(due)
         yield pd.DataFrame({c.split()[0]: [] for c in ALERT.split(", ")}).astype(
             {"juego_id": str, "plataforma": str, "event_id": str, "event_timestamp": "datetime64[ns]", "stock": "int64", "umbral": "int32"})
 
@@ -75,13 +81,16 @@ def movements(events: DataFrame, inventory: DataFrame) -> DataFrame:
     return moved.join(start, KEYS)
 
 
-def start_stock_alerts(stream: DataFrame, inventory: DataFrame, out: str, checkpoint: str, *, idle: float = 30 * 86400.0,
-                       trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Start the alerts over raw messages; ``inventory`` is a written table; ``idle`` is in seconds. The file sink commits each batch once."""
+def start_stock_alerts(stream: DataFrame, inventory: DataFrame, out: str, checkpoint: str, *, idle: float = 90 * 86400.0,
+                       delay: str = "31 days", trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Start the alerts over raw messages; ``inventory`` is a written table; ``idle`` is in seconds of event time.
+
+    The file sink commits each batch once.
+    """
     spark = stream.sparkSession
-    events = parse_events(stream).where(F.col(CORRUPT).isNull())
+    events = parse_events(stream).where(F.col(CORRUPT).isNull() & F.col("event_timestamp").isNotNull()).withWatermark("event_timestamp", delay)
     found = movements(events, inventory).groupBy(*KEYS).transformWithStateInPandas(
-        StockLevel(int(idle * 1000)), ALERT, outputMode="append", timeMode="processingTime")
+        StockLevel(int(idle * 1000)), ALERT, outputMode="append", timeMode="eventTime")
     provider = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)  # keyed state with timers needs it; a query keeps the settings of its start
     try:
