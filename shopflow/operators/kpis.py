@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import exact, exact_avg, money, money_avg, money_sum, pct_of, ratio
@@ -14,10 +14,10 @@ from shopflow.functions.predicates import low_stock, present
 def with_share(agg: DataFrame, measure: str, out: str, digits: int = 1) -> DataFrame:
     """Measure as a percentage of its total over all rows.
 
-    The total is a one-row aggregate used as a scalar subquery, so no task
-    sees all groups, however many there are.
+    The total is taken over the groups of the same aggregate, so the facts are
+    read once. ``agg`` has one row per category or platform: a bounded domain.
     """
-    total = agg.agg(F.sum(F.col(measure).cast("decimal(22,2)"))).scalar()
+    total = F.sum(F.col(measure).cast("decimal(22,2)")).over(Window.partitionBy())
     return agg.withColumn(out, pct_of(F.col(measure), total, digits))
 
 
@@ -39,6 +39,14 @@ def sold(sales: DataFrame, *keys: str) -> DataFrame:
         F.sum(exact("precio")).alias("_precios"), F.count("precio").alias("_con_precio"), F.max("fecha").alias("_ultima"))
 
 
+def each_sale(sales: DataFrame, *keys: str) -> DataFrame:
+    """The columns of ``sold`` for every single sale: where no dimension is joined, the KPI's own group-by is the only one."""
+    return sales.select(
+        *keys, F.lit(1).cast("long").alias("_filas"), F.col("venta_id").isNotNull().cast("long").alias("_ventas"),
+        F.col("cantidad").cast("long").alias("_unidades"), money("total").alias("_ingresos"), F.col("total").isNotNull().cast("long").alias("_totales"),
+        exact("precio").alias("_precios"), F.col("precio").isNotNull().cast("long").alias("_con_precio"), F.col("fecha").alias("_ultima"))
+
+
 def revenue() -> Column:
     return F.round(F.sum("_ingresos"), 2).cast("double")
 
@@ -88,12 +96,12 @@ CUSTOMER_KEYS = ("cliente_id", "nombre", "nivel_membresia", "distrito")
 
 def kpi_top_products(wide: DataFrame, k: int = 10) -> DataFrame:
     """KPI1 over the wide sales table."""
-    return top_products(sold(wide, *GAME_KEYS), k)
+    return top_products(each_sale(wide, *GAME_KEYS), k)
 
 
 def kpi_categories(wide: DataFrame) -> DataFrame:
     """KPI2 over the wide sales table."""
-    return categories(sold(wide, "categoria"))
+    return categories(each_sale(wide, "categoria"))
 
 
 def stock_by_platform(inventory: DataFrame) -> DataFrame:
@@ -136,12 +144,12 @@ def kpi_monthly(wide: DataFrame, approx: bool = False) -> DataFrame:
 
 def kpi_top_customers(wide: DataFrame, k: int = 10) -> DataFrame:
     """KPI5 over the wide sales table."""
-    return top_customers(sold(wide, *CUSTOMER_KEYS), k)
+    return top_customers(each_sale(wide, *CUSTOMER_KEYS), k)
 
 
 def kpi_payment_by_segment(wide: DataFrame) -> DataFrame:
     """KPI6 over the wide sales table."""
-    return payment_by_segment(sold(wide, "nivel_membresia", "metodo_pago"))
+    return payment_by_segment(each_sale(wide, "nivel_membresia", "metodo_pago"))
 
 
 def low_stock_rows(inventory: DataFrame) -> DataFrame:

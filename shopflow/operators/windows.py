@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import money_sum
 from shopflow.functions.predicates import present
-from shopflow.operators.kpis import revenue, sold, with_share
+from shopflow.operators.kpis import each_sale, revenue, with_share
 
 
 def revenue_share(items: DataFrame, dim: str = "categoria") -> DataFrame:
     """Revenue per ``dim`` value and its share of the classified revenue;
     ``items`` are sales or ``sold`` rows."""
     if "_ingresos" not in items.columns:
-        items = sold(items, dim)
+        items = each_sale(items, dim)
     agg = items.filter(present(dim)).groupBy(dim).agg(revenue().alias("ingresos_total"))
     return with_share(agg, "ingresos_total", "pct_ingresos")
 
@@ -36,7 +36,7 @@ def monthly_best(items: DataFrame, dims=MONTH_BEST) -> DataFrame:
     cols = list(dict.fromkeys(c for k, l, _ in dims for c in (k, l)))
     sets = [["anio", "mes", *dict.fromkeys([k, l])] for k, l, _ in dims]
     if "_unidades" not in items.columns:
-        items = sold(items, "anio", "mes", *cols)
+        items = each_sale(items, "anio", "mes", *cols)
     agg = (items.filter(present("anio", "mes"))
                .groupingSets(sets, "anio", "mes", *cols)
                .agg(F.sum("_unidades").alias("__u"), F.grouping_id().alias("__g")))

@@ -107,10 +107,11 @@ class WrittenSales:
         self.inventory = inventory
 
     def items(self, *keys: str, scores: bool = False) -> DataFrame:
-        return kpis.sold(self.wide, *keys, *kpis.GAME_KEYS[: 5 if scores else 4])
+        """Every sale with its game's columns; nothing is joined, so nothing is summed before."""
+        return kpis.each_sale(self.wide, *dict.fromkeys([*keys, *kpis.GAME_KEYS[: 5 if scores else 4]]))
 
     def people(self, *keys: str) -> DataFrame:
-        return kpis.sold(self.wide, *keys, *kpis.CUSTOMER_KEYS)
+        return kpis.each_sale(self.wide, *dict.fromkeys([*keys, *kpis.CUSTOMER_KEYS]))
 
 
 # Default raw file names of the shop's inputs.
