@@ -73,14 +73,14 @@ def test_packed(outputs):
 def test_registered():
     names = set(E.queries())
     assert set(registry.QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert set(registry.SQL) <= set(registry.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF)
     cur = con.execute(registry.SQL[name])
