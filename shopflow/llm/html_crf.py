@@ -8,14 +8,15 @@ driver on a bounded sample of ``SAMPLE`` labelled pages, by gradients of the exa
 conditional likelihood (forward-backward), and pages are decoded by Viterbi in Arrow batches.
 
 Labelled pages: a sampled page that has an ``article`` or ``main`` element labels its own blocks
-(inside, but not in navigation, asides, forms, headers, footers, adverts or comments there).
+(inside, but not in navigation, asides, forms, footers, adverts or comments there; an article's own header holds its title).
 As these all look alike, each one's texts are also set into made-up templates with other
 containers (sidebars, notices, adverts, forms, reader comments, menus) of known labels.
 
 Defined results: null or empty html gives an empty text, as does a page without text blocks. Scripts,
 styles, heads, comments and other elements that are not shown give no blocks. Unclosed or
 misnested tags are closed as far as needed. Character references are decoded; white space inside a block is one
-space; blocks are joined by one line feed. Repeated rows are each extracted. A null url stays null. Other columns are
+space; blocks are joined by one line feed. Text of formulas stays, their hidden annotations go. Numeric references beyond any character
+give U+FFFD. Time grows with a page's length, also on misnested or unclosed markup: blocks share their ancestors. Repeated rows are each extracted. A null url stays null. Other columns are
 ignored. An empty table gives no rows. Decoding is map-only.
 """
 
@@ -36,12 +37,15 @@ SAMPLE = 200
 EPOCHS = 6
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+#: Comments; well-formed tags; tags with a stray quote; other markup. Names and attributes give nothing back, so no part is read again and again.
+MARKUP = re.compile(r"""<!--(?:-?>|.*?-->|.*)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
+#: Numeric references too long for any character.
+TOO_LONG = re.compile(r"&#(?:0*[1-9][0-9]{7,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{6,});?")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not shown as text.
-HIDDEN = frozenset("head script style noscript template iframe svg object canvas audio video math textarea select".split())
+HIDDEN = frozenset("head script style noscript template iframe svg object canvas audio video annotation annotation-xml textarea select".split())
 #: Of those, the ones whose content is not markup.
 RAW = frozenset("script style noscript iframe textarea".split())
 BLOCK = frozenset(
@@ -57,60 +61,101 @@ INLINE_BOUND = frozenset("article aside body button div footer form header html
 OUTSIDE = frozenset("nav aside form footer".split())
 OUTSIDE_WORDS = frozenset("ad ads advert sidebar comment comments menu nav notice cookie promo share related newsletter".split())
 
-Block = tuple[str, tuple[tuple[str, tuple[str, ...]], ...], int]  # text, ancestors (tag, words), characters in links
+
+
+class Node:
+    """An open element with its ancestors, shared by all blocks below it.
+
+    ``fresh`` holds the features that no ancestor has, so the features of a path are those of its chain of nodes.
+    """
+
+    __slots__ = ("parent", "tag", "words", "fresh", "depth", "number", "inside", "outside", "cut")
+
+    def __init__(self, parent: Node | None, tag: str, words: tuple[str, ...], fresh: tuple[str, ...], number: int):
+        self.parent, self.tag, self.words, self.fresh, self.number = parent, tag, words, fresh, number
+        self.depth = parent.depth + 1 if parent else 0
+        own = tag in OUTSIDE or not OUTSIDE_WORDS.isdisjoint(words)
+        self.outside = own or bool(parent and parent.outside)  # any element of the path is no main text
+        if tag in ("article", "main"):
+            self.inside, self.cut = True, bool(parent and parent.outside)
+        else:
+            self.inside = bool(parent and parent.inside)
+            self.cut = self.inside and (own or parent.cut)
+
+    @property
+    def own(self) -> list[str]:
+        return [f"ownname={w}" for w in self.words]
+
+
+Block = tuple[str, Node, int]  # text, innermost element that is a block or has names, characters in links
+
+
+def unescaped(text: str) -> str:
+    return references.unescape(TOO_LONG.sub("\ufffd", text) if "&#" in text else text)
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks of a page in page order."""
+    """Leaf blocks of a page in page order, in time that grows with the page's length."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Node, tuple[str, ...]]] = []  # tag, node, features counted in ``seen``
+    places: dict[str, list[int]] = {}  # tag -> its places on the stack
+    seen: dict[str, int] = {}  # feature -> open elements that have it
     held: list[str] = []
-    state = {"links": 0, "in_link": 0, "hidden": 0}
+    root = Node(None, "-", (), (), 0)
+    numbers, links, in_link, hidden = 0, 0, 0, 0
 
     def flush():
+        nonlocal links
         text = " ".join("".join(held).split())
         if text:
-            out.append((text, tuple(e for e in stack if e[0] in BLOCK or e[1]), min(len(text), state["links"])))
+            out.append((text, stack[-1][1] if stack else root, min(len(text), links)))
         held.clear()
-        state["links"] = 0
+        links = 0
 
     def close(k: int):
+        nonlocal in_link, hidden
         while len(stack) > k:
-            tag = stack[-1][0]
+            tag, _, counted = stack[-1]
             if tag in BLOCK:
                 flush()  # the text belongs to the element that ends here
             stack.pop()
-            state["in_link"] -= tag == "a"
-            state["hidden"] -= tag in HIDDEN
+            places[tag].pop()
+            for f in counted:
+                seen[f] -= 1
+            in_link -= tag == "a"
+            hidden -= tag in HIDDEN
 
-    at = 0
+    def nearest(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    at, shut = 0, page.rfind(">") + 1  # no markup ends later, but for an open comment
     while at < len(page):
-        m = MARKUP.search(page, at)
-        end = m.start() if m else len(page)
-        if end > at and not state["hidden"]:
-            piece = references.unescape(page[at:end])
+        m = MARKUP.search(page, at, shut) if at < shut else None
+        end = m.start() if m else page.find("<!--", at)
+        end = len(page) if end < 0 else end
+        if end > at and not hidden:
+            piece = unescaped(page[at:end])
             held.append(piece)
-            if state["in_link"]:
-                state["links"] += len(piece.strip())
+            if in_link:
+                links += len(piece.strip())
         if not m:
             break
         at = m.end()
         tag = (m.group(2) or m.group(5) or "").lower()
         if not tag:
+            if page.startswith("<!--", m.start()) and not page.endswith("-->", 0, at):
+                break  # a comment without an end
             continue
         closing, attributes = m.group(1) or m.group(4), m.group(3) or m.group(6) or ""
         if closing:
-            if tag == "p" and not any(t == "p" for t, _ in stack):
+            if tag == "p" and not places.get("p"):
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if tag not in BLOCK and stack[k][0] in INLINE_BOUND:
-                    break
+            k = nearest((tag,))
+            if k >= 0 and (tag in BLOCK or k > nearest(INLINE_BOUND)):
+                close(k)
             continue
         if tag == "br":
-            if not state["hidden"]:
+            if not hidden:
                 held.append(" ")
             continue
         if tag in RAW:
@@ -120,36 +165,37 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             flush()
             closes, bounds = IMPLIED.get(tag, ({"p"}, INLINE_BOUND))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in closes:
-                    close(k)
-                    break
-                if stack[k][0] in bounds:
-                    break
-        if tag == "body" and state["hidden"]:  # an unclosed head ends here
+            k = nearest(closes)
+            if k >= 0 and k > nearest(bounds):
+                close(k)
+        if tag == "body" and hidden:  # an unclosed head ends here
             close(0)
         if tag not in VOID and not attributes.rstrip().endswith("/"):
             words = tuple(w for n in NAMES.findall(attributes) for w in NAME_WORD.findall("".join(n).lower())) if attributes else ()
-            stack.append((tag, words))
-            state["in_link"] += tag == "a"
-            state["hidden"] += tag in HIDDEN
+            node, counted = stack[-1][1] if stack else root, ()
+            if tag in BLOCK or words:
+                counted = tuple(dict.fromkeys((f"in={tag}", *(f"name={w}" for w in words))))
+                numbers += 1
+                node = Node(node, tag, words, tuple(f for f in counted if not seen.get(f)), numbers)
+                for f in counted:
+                    seen[f] = seen.get(f, 0) + 1
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node, counted))
+            in_link += tag == "a"
+            hidden += tag in HIDDEN
     flush()
     return out
 
 
-def features(page: list[Block]) -> list[list[str]]:
-    """Feature names of each block."""
+def features(page: list[Block]) -> list[list[str | Node]]:
+    """Features of each block: names, and its node for those of its path."""
     out, n = [], len(page)
-    for i, (text, path, links) in enumerate(page):
+    for i, (text, node, links) in enumerate(page):
         size, words = len(text), text.count(" ") + 1
-        own = path[-1][0] if path else "-"
-        f = ["bias", f"own={own}", f"len={min(8, int(math.log2(size + 1)))}", f"words={min(6, int(math.log2(words)))}",
-             f"links={int(4 * links / size)}", f"at={4 * i // n}", f"depth={min(6, len(path))}"]
-        f += {f"in={t}" for t, _ in path} | {f"name={w}" for _, names in path for w in names}
-        if own != "-" and path[-1][1]:
-            f += [f"ownname={w}" for w in path[-1][1]]
-        if len(path) > 1:
-            f.append(f"pair={path[-2][0]}>{own}")
+        f = ["bias", f"own={node.tag}", f"len={min(8, int(math.log2(size + 1)))}", f"words={min(6, int(math.log2(words)))}",
+             f"links={int(4 * links / size)}", f"at={4 * i // n}", f"depth={min(6, node.depth)}", node]
+        if node.depth > 1:
+            f.append(f"pair={node.parent.tag}>{node.tag}")
         if text[-1] in ".!?…\"”":
             f.append("sentence")
         if "©" in text:
@@ -169,9 +215,48 @@ class Field:
         self.weights: dict[str, float] = {}  # for label 1 against label 0
         self.moves = [[0.0, 0.0], [0.0, 0.0]]
 
-    def unary(self, page: list[list[str]]) -> list[float]:
-        get = self.weights.get
-        return [sum(get(f, 0.0) for f in fs) for fs in page]
+    def unary(self, page: list[list[str | Node]]) -> list[float]:
+        """Score of label 1 per block; each node's part is worked out once."""
+        get, chain, whole = self.weights.get, {}, {}
+
+        def part(node: Node) -> float:
+            if node not in whole:
+                open_, up = [], node
+                while up is not None and up not in chain:
+                    open_.append(up)
+                    up = up.parent
+                total = chain[up] if up is not None else 0.0
+                for x in reversed(open_):
+                    total = chain[x] = total + sum(get(f, 0.0) for f in x.fresh)
+                whole[node] = total + sum(get(f, 0.0) for f in node.own)
+            return whole[node]
+
+        return [sum(part(f) if isinstance(f, Node) else get(f, 0.0) for f in fs) for fs in page]
+
+    @staticmethod
+    def summed(page: list[list[str | Node]], at: list[float]) -> dict[str, float]:
+        """Per feature the sum of the blocks' values, those of nodes passed up their chains."""
+        total: dict[str, float] = {}
+        nodes: dict[Node, float] = {}
+        for fs, g in zip(page, at):
+            for f in fs:
+                where = nodes if isinstance(f, Node) else total
+                where[f] = where.get(f, 0.0) + g
+        for node, g in nodes.items():
+            for f in node.own:
+                total[f] = total.get(f, 0.0) + g
+        for node in list(nodes):
+            up = node.parent
+            while up is not None and up not in nodes:
+                nodes[up] = 0.0
+                up = up.parent
+        for node in sorted(nodes, key=lambda x: -x.number):  # an element is numbered after its parent
+            g = nodes[node]
+            for f in node.fresh:
+                total[f] = total.get(f, 0.0) + g
+            if node.parent is not None:
+                nodes[node.parent] += g
+        return total
 
     def decode(self, page: list[list[str]]) -> list[int]:
         """Most probable labels (Viterbi)."""
@@ -180,7 +265,7 @@ class Field:
             return []
         best, back, t = [0.0, u[0]], [], self.moves
         for s in u[1:]:
-            step = [max((0, 1), key=lambda a, b=b: best[a] + t[a][b]) for b in (0, 1)]
+            step = [int(best[1] + t[1][b] > best[0] + t[0][b]) for b in (0, 1)]
             back.append(step)
             best = [best[step[0]] + t[step[0]][0], best[step[1]] + t[step[1]][1] + s]
         label = [0 if best[0] > best[1] else 1]
@@ -223,11 +308,7 @@ class Field:
             rng.shuffle(pages)
             for page, labels in pages:
                 at, moves = self.gradient(page, labels)
-                total: dict[str, float] = {}
-                for fs, g in zip(page, at):
-                    for f in fs:
-                        total[f] = total.get(f, 0.0) + g
-                for f, g in total.items():
+                for f, g in self.summed(page, at).items():
                     g -= decay * self.weights.get(f, 0.0)
                     seen[f] = seen.get(f, 1e-8) + g * g
                     self.weights[f] = self.weights.get(f, 0.0) + rate * g / math.sqrt(seen[f])
@@ -241,15 +322,9 @@ class Field:
 
 def own_labels(page: list[Block]) -> list[int] | None:
     """Labels from a page's own ``article`` or ``main``; None without one."""
-    out, found = [], False
-    for _, path, _ in page:
-        tags = [t for t, _ in path]
-        k = max((i for i, t in enumerate(tags) if t in ("article", "main")), default=-1)
-        found |= k >= 0
-        inner = path[k + 1 :]
-        outside = any(t in OUTSIDE or OUTSIDE_WORDS & set(w) for t, w in inner) or any(t in OUTSIDE or OUTSIDE_WORDS & set(w) for t, w in path[:k] if k >= 0)
-        out.append(int(k >= 0 and not outside))
-    return out if found else None
+    if not any(node.inside for _, node, _ in page):
+        return None
+    return [int(node.inside and not node.cut) for _, node, _ in page]
 
 
 #: Containers of main text, and containers and texts around it, in common page templates.
@@ -315,7 +390,7 @@ def fitted(pages: list[str], seed: int = 5) -> Field:
         if labels is None:
             continue
         labelled.append((features(parts), labels))
-        texts = [b[0] for b, y in zip(parts, labels) if y][:40]
+        texts = [b[0] for b, y in zip(parts, labels) if y]
         made, y = made_page(texts, rng)
         labelled.append((features(made), y))
     if not labelled:  # no labelled page at all: made-up texts alone
@@ -330,12 +405,19 @@ def main_text(page: str, field: Field) -> str:
     return "\n".join(b[0] for b, y in zip(parts, field.decode(features(parts))) if y)
 
 
+def sampled(rows: DataFrame, sample: int) -> list[str]:
+    """The ``sample`` different pages with the least hashed ids. Keys are picked first, so only those pages reach the driver."""
+    keyed = rows.where("html <> ''").select(F.xxhash64("page_id").alias("k"), F.xxhash64("html").alias("h"), "html")
+    keys = keyed.select("k", "h").distinct().orderBy("k", "h").limit(sample)
+    picked = keyed.join(F.broadcast(keys), ["k", "h"]).groupBy("k", "h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in sorted(picked.collect(), key=lambda r: (r["k"], r["h"]))]
+
+
 def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     ship(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    picked = rows.where("html <> ''").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample).select("html").collect()
-    field = fitted([r[0] for r in picked])
+    field = fitted(sampled(rows, sample))
 
     def run(batches):
         for b in batches:

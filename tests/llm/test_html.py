@@ -61,6 +61,52 @@ def test_blocks(page, want):
     assert [b[0] for b in H.blocks(page)] == want
 
 
+@pytest.mark.parametrize("page", [
+    "<div>x" * 100_000, "<i>x</b>" * 100_000, "<a" * 500_000, "<!a" * 500_000, "<" + "a" * 1_000_000, "".join(f'<p class="c{chr(97 + i % 26)}q{chr(97 + i // 26 % 26)}z{i}">x' for i in range(50_000)),
+    '<div class="' + "".join(f"{a}{b}{c} " for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh") + '">' + "a<p>b</p>" * 20_000, "<a title='\"" * 100_000 + ">",
+])
+def test_long_misnested_pages(page, field):
+    """Half a megabyte in seconds; time four times as long per doubling would take minutes."""
+    import time
+
+    start = time.monotonic()
+    H.main_text(page, field)
+    assert time.monotonic() - start < 20
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be", ["Let x be"]), ("<p>a</p><!-- <p>b</p>", ["a"]), ("<p>a<!-->b", ["ab"]), ("<p>a</p>x<!--", ["a", "x"]),
+    ("<p>&#" + "9" * 6000 + ";", ["\ufffd"]), ("<p>&#00000000065;", ["A"]),
+])
+def test_rare_markup(page, want):
+    assert [b[0] for b in H.blocks(page)] == want
+
+
+def test_shared_ancestors_give_the_features_of_the_path(pages):
+    """Scores, labels and sums by nodes against features listed for each block."""
+    f = H.Field()
+    for _, h in pages[:10]:
+        parts = H.blocks(h)
+        listed = []
+        for fs in H.features(parts):
+            node = next(x for x in fs if isinstance(x, H.Node))
+            path, up = [], node
+            while up.parent is not None:
+                path.append(up)
+                up = up.parent
+            listed.append([x for x in fs if x is not node] + node.own + sorted({f"in={x.tag}" for x in path} | {f"name={w}" for x in path for w in x.words}))
+        rng = random.Random(4)
+        f.weights = {x: rng.uniform(-1, 1) for fs in listed for x in fs}
+        assert f.unary(H.features(parts)) == pytest.approx(f.unary(listed))
+        at = [rng.uniform(-1, 1) for _ in listed]
+        assert f.summed(H.features(parts), at) == pytest.approx(f.summed(listed, at), abs=1e-9)
+
+
+def test_sample_holds_different_pages(spark):
+    rows = spark.createDataFrame([(1, "<p>a")] * 50 + [(2, "<p>b"), (2, "<p>c"), (None, "<p>d"), (3, ""), (4, None)], "page_id long, html string")
+    assert sorted(H.sampled(rows, 10)) == ["<p>a", "<p>b", "<p>c", "<p>d"] and len(H.sampled(rows, 2)) == 2
+
+
 def test_gradient_is_the_slope():
     """Forward-backward against a sum over all label sequences."""
     import itertools
