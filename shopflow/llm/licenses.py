@@ -12,7 +12,8 @@ by exact shingle containment, over the window and one more stride on both sides.
 Words lose comment marks at their ends, and words of marks only are left out, so
 notices in source comments match; positions count all white-space separated words.
 Ids of ``SPDX-License-Identifier`` lines are matches too. The GNU licenses' family and version and the BSD
-licenses' clauses are read from the matched words (``BSD``: the common sentence alone).
+licenses' clauses are read from the matched words; clauses of any length, up to the disclaimer, the next BSD sentence or the
+text's end (``BSD``: no disclaimer and no clause that tells).
 
 Defined results: null texts and texts under five words match nothing. Repeated rows are
 scanned each. Other columns are ignored. An empty table gives no rows.
@@ -96,8 +97,8 @@ GNU_TERMS = re.compile(rb"terms of the gnu (?:(lesser|library|affero) )?general
 GNU_VERSION = re.compile(rb"(?:version|v) ?([123](?:\.\d)?)\b")
 SPDX = re.compile(rb"spdx-license-identifier:?[ \t]*([^\r\n]*)", re.I)
 SPDX_ID = re.compile(rb"[A-Za-z0-9][A-Za-z0-9.+-]*")
-#: Words after the BSD licenses' common sentence in which their clauses stand.
-BSD_WORDS = 200
+#: The words that begin the BSD licenses' disclaimer, where their clauses end.
+DISCLAIMER = [b"this", b"software", b"is", b"provided"]
 U64 = np.uint64
 SCHEMA = "doc_id bigint, n_matches bigint, licenses string, matches string, containment double"
 
@@ -233,18 +234,26 @@ def merged(matches) -> list[tuple[str, int, int, float]]:
     return sorted(joined, key=lambda m: (m[1], m[0]))
 
 
-def exact_name(name: str, words: list[bytes], a: int, b: int) -> str:
+def clauses(words: list[bytes], starts: list[int]) -> dict[int, tuple[bytes, bool]]:
+    """Per BSD sentence, by its first word: the text up to the disclaimer, the next BSD sentence or the end, and whether a disclaimer ends it."""
+    out = {}
+    for a, end in zip(starts, [*starts[1:], len(words)]):
+        own = [w for w in (x.strip(EDGE).lower() for x in words[a:end]) if w]
+        at = next((i for i in range(len(own) - 3) if own[i] == DISCLAIMER[0] and own[i : i + 4] == DISCLAIMER), -1)
+        out[a] = b" ".join(own[:at] if at >= 0 else own), at >= 0
+    return out
+
+
+def exact_name(name: str, words: list[bytes], a: int, b: int, bsd: dict[int, tuple[bytes, bool]]) -> str:
     """The license that the matched words name: GNU family and version, BSD clauses."""
     plain = lambda i, j: b" ".join(w for w in (x.strip(EDGE) for x in words[max(0, i) : j]) if w).lower()
     if name == "BSD":
-        rest = plain(a, b + BSD_WORDS)
-        end = rest.find(b"this software is provided")
-        clauses = rest[:end] if end >= 0 else rest
-        if b"advertising materials mentioning" in clauses:
+        text, ended = bsd[a]
+        if b"advertising materials mentioning" in text:
             return "BSD-4-Clause"
-        if b"endorse or promote" in clauses:
+        if b"endorse or promote" in text:
             return "BSD-3-Clause"
-        return "BSD-2-Clause" if end >= 0 else "BSD"
+        return "BSD-2-Clause" if ended else "BSD"
     if "GPL" in name:
         own = plain(a - 4, b + 20)
         family, version = GNU_TERMS.search(own) or GNU.search(own), GNU_VERSION.search(own)
@@ -271,7 +280,8 @@ def named(matches: list[tuple[str, int, int, float]], text: str) -> list[tuple[s
     out = []
     if matches:
         words = text.encode().split()
-        out = [(exact_name(n, words, a, b), a, b, s) for n, a, b, s in matches]
+        bsd = clauses(words, sorted({a for n, a, _, _ in matches if n == "BSD"}))
+        out = [(exact_name(n, words, a, b, bsd), a, b, s) for n, a, b, s in matches]
     if "spdx-license-identifier" in text.lower():
         out += identifiers(text)
     return merged(out)

@@ -99,4 +99,8 @@ def test_families_are_told_apart():
     assert names(common + "THIS SOFTWARE IS PROVIDED BY") == "BSD-2-Clause"
     assert names(common + third + "THIS SOFTWARE IS PROVIDED BY") == "BSD-3-Clause"
     assert names(common) == "BSD"
+    long = "2. " + "clause words without end " * 400
+    assert names(common + long + third + "THIS SOFTWARE IS PROVIDED BY") == "BSD-3-Clause"
+    assert names(common + long + "THIS SOFTWARE IS PROVIDED BY x. " + third) == "BSD-2-Clause"
+    assert names(common + long + "THIS SOFTWARE IS PROVIDED BY x. " + common + third + "THIS SOFTWARE IS PROVIDED BY") == "BSD-2-Clause,BSD-3-Clause"
     assert names("// SPDX-License-Identifier: (MIT OR GPL-2.0-only) */\nint x;") == "GPL-2.0-only,MIT"
