@@ -75,3 +75,53 @@ def test_lexer_reads_source_syntax():
         text = f'db_pwd = "{v}"\nother = "blue"'
         assert [text[a:b] for a, b, _ in secrets.literal_spans(text)] == [v]
     assert secrets.literal_spans('if db_pwd == "Zx81kQ9!vT22": pass\ndb_pwd:\n  "name": "blue"') == []
+
+
+def found(text):
+    return [text[a:b] for a, b, _ in secrets.literal_spans(text)]
+
+
+def test_lexer_reads_values_wherever_they_stand():
+    v = "Zx81kQ9!vT22"
+    for form in (
+        'DB_PWD = os.getenv("X", "{}")', "DB_PWD = get('AWS_S3_KEY', 3, '{}')", 'x = "{}"\ndb_pwd = x', 'db_pwd = late\nlate = "{}"', 'db_pwd = a1\na1 = b1\nb1 = "{}"',
+        '{"db_pwd": {"value": "{}"}}', '{"db_pwd": {"type": "text", "value": "{}"}}', '<add key="db_pwd" value="{}"/>', '{"name": "db_pwd", "value": "{}"}',
+        "- name: DB_PWD\n  value: {}\n", "db_pwd:\n  value: {}\n", "a['" + "x" * 300 + "']['db_pwd'] = '{}'", "db_pwd: " + "Map[str, " * 40 + "int = '{}'", "c" + "['a']" * 12 + "['db_pwd'] = '{}'",
+        "db_pwd =" + " " * 100 + "(\n" * 50 + "'{}'",
+    ):
+        text = form.replace("{}", v)
+        assert found(text) == [v], form
+    assert found('db_pwd = "$2b$12$KIXQ4S8Vw3kF9aZ"') == ["$2b$12$KIXQ4S8Vw3kF9aZ"]
+    assert found('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    for text in ("db_pwd = 'Zx81kQ9' + 'vT22!mm'", 'db_pwd = ("Zx81kQ9"\n  "vT22!mm")', "db_pwd = 'Zx81kQ9' \\\n 'vT22!mm'", 'db_pwd = "Zx81kQ9"\n  . "vT22!mm";'):
+        assert "Zx81" not in secrets.masked(text) and "vT22" not in secrets.masked(text), text
+
+
+def test_no_literals():
+    for text in ("db_pwd = os.getenv('DB_PASSWORD_1')", 'db_pwd = input("Enter your Password: ")', "db_pwd = $DB_PWD", 'db_pwd = "{{ vault.pwd }}"', "db_pwd = <your-pwd-1A>", "db_pwd = a1\na1 = b1\nb1 = a1",
+                 '{"name": "db_pwd"}\n{"value": "Zx81kQ9!vT22"}', '<a key="db_pwd"/> <b value="Zx81kQ9!vT22"/>', 'db_pwd = "open\nplain prose "quoted" goes on', "db_pwd:\n  name: blue"):
+        assert found(text) == [], text
+
+
+def test_long_literals_are_found_whole():
+    import random
+    import string
+
+    rng = random.Random(5)
+    line = lambda: "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(64))
+    key = [line() for _ in range(1600)]
+    for text in ("private_key_secret: |\n  " + "\n  ".join(key[:800]) + "\n\n  " + "\n  ".join(key[800:]) + "\nnext: 1\n", 'client_secret = """' + "\n".join(key) + '"""\nx = 1',
+                 'db_pwd = "' + "\n".join(key) + '";\nx = 1', "db_pwd = (" + "\n".join(f"'{k}'" for k in key) + ")\nx = 1", "db_pwd = `" + "\n".join(key) + "`\n"):
+        left = secrets.masked(text)
+        assert not any(k in left for k in key), text[:40]
+    assert "next: 1" in secrets.masked("private_key_secret: |\n  " + "\n  ".join(key) + "\nnext: 1\n")
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    for text in ("a = " * 100_000, "a:" * 100_000, "x=" * 100_000, "name:" * 100_000, 'x="' * 100_000 + "y", "db_pwd=`\n" * 50_000, 'db_pwd="""\n' * 50_000, "db_pwd=f(" * 50_000, "a[" * 50_000, "a: b " * 100_000,
+                 "x" + "['a']" * 100_000, "db_pwd: |\n  db_pwd: |\n" * 20_000, "a =" + "\n" * 50_000 + "b" + " " * 50_000 + "=", 'password = "abcd1234X" ' * 20_000, "a1=a2\n" + "".join(f"a{i}=a{i + 1}\n" for i in range(2, 10_000))):
+        start = time.monotonic()
+        secrets.find(text)
+        assert time.monotonic() - start < 15, text[:20]
