@@ -631,3 +631,36 @@ SELECT e.event_id, e.cliente_id, e.event_timestamp,
 FROM sev e WHERE NOT e.damaged""")
 
 SQL["stream_csv_customers"] = w("SELECT event_id, cliente_id, cliente_nombre, nivel_membresia, distrito, batch_id FROM senr")
+
+# Deliveries of the sales: 1999 and before or no date, 2000 on, moved sales, nothing new but one customer's membership.
+DELIVERED = f"""
+SELECT *, CASE WHEN COALESCE(try_strptime(fecha, '%Y-%m-%d') < DATE '2000-01-01', TRUE) THEN 0 ELSE 1 END AS entrega FROM ({CTES["raw_sales"]})
+UNION ALL
+SELECT * REPLACE (strftime(try_strptime(fecha, '%Y-%m-%d') + INTERVAL 40 DAY, '%Y-%m-%d') AS fecha), 2 AS entrega
+FROM ({CTES["raw_sales"]}) WHERE regexp_matches(fecha, '^2000-0[123]-') AND venta_id LIKE '%-3'"""
+
+SQL["incremental_wide"] = with_ctes(f"SELECT {text_columns(WIDE_COLS)} FROM wide", {"raw_sales": f"SELECT * EXCLUDE (entrega) FROM ({DELIVERED})"})
+
+
+def sales_after(k: int) -> str:
+    """The clean sales after delivery ``k``, from all that arrived until then."""
+    names = ("sales_n", "sales_c", "sales_d", "sales")
+    parts = [f"raw_sales AS (SELECT * EXCLUDE (entrega) FROM delivered WHERE entrega <= {k})", *[f"{n} AS ({CTES[n]})" for n in names]]
+    return f"(WITH {', '.join(parts)} SELECT * FROM sales)"
+
+
+def months_of(k: int) -> str:
+    """Months of sales that delivery ``k`` added, or whose row it replaced."""
+    if k == 0:
+        return f"SELECT DISTINCT 0 AS entrega, COALESCE(anio * 100 + mes, 0) AS mes FROM {sales_after(0)}"
+    return f"""
+SELECT DISTINCT {k} AS entrega, unnest(CASE WHEN o.venta_id IS NULL THEN [COALESCE(n.anio * 100 + n.mes, 0)]
+       ELSE [COALESCE(n.anio * 100 + n.mes, 0), COALESCE(o.anio * 100 + o.mes, 0)] END) AS mes
+FROM {sales_after(k)} n LEFT JOIN {sales_after(k - 1)} o ON o.venta_id = n.venta_id
+WHERE o.venta_id IS NULL OR {" OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for c in RAW_SALES_COLS)}"""
+
+
+SQL["incremental_months"] = f"""WITH delivered AS ({DELIVERED}),
+m AS ({" UNION ".join(f"SELECT * FROM ({months_of(k)})" for k in range(3))}
+  UNION SELECT DISTINCT 3, COALESCE(anio * 100 + mes, 0) FROM {sales_after(2)} WHERE cliente_id = 'C7')
+SELECT CAST(entrega AS BIGINT) AS entrega, CAST(mes AS INTEGER) AS mes FROM m"""

@@ -331,3 +331,23 @@ def write_damaged_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     item = F.struct(F.lit("PS5").alias("_nombre"), stock.alias("stock"), F.lit(9.5).alias("precio"), F.lit(5).alias("umbral_reposicion"))
     part.select(F.concat(F.lit("P"), k.cast("string")).alias("_id"), F.lit("T").alias("titulo"), F.struct(F.array(item).alias("plataforma")).alias("plataformas")).write.format(
         "xml").option("rowTag", "juego").option("rootTag", "inventario").save(f"{root}/inventario.xml")
+
+
+#: Deliveries of ``sale_deliveries``; the last one repeats the one before it.
+SALE_DELIVERIES = 4
+
+
+def sale_deliveries(sales: DataFrame) -> list[DataFrame]:
+    """Raw sales as they would arrive: up to 1999 (and bad dates), from 2000 on,
+    corrections that move some sales of early 2000 by 40 days, the corrections again."""
+    early = F.coalesce(F.try_to_date("fecha", "yyyy-MM-dd") < F.lit("2000-01-01").cast("date"), F.lit(True))
+    moved = sales.filter((F.substring("fecha", 1, 6) == "2000-0") & F.substring("fecha", 7, 1).isin("1", "2", "3") & F.col("venta_id").endswith("-3"))
+    moved = moved.withColumn("fecha", F.date_format(F.date_add(F.to_date("fecha", "yyyy-MM-dd"), 40), "yyyy-MM-dd"))
+    return [sales.filter(early), sales.filter(~early), moved, moved]
+
+
+def customers_at(customers: DataFrame, delivery: int) -> DataFrame:
+    """The customers as of a sale delivery: one is a newcomer until the last."""
+    if delivery == SALE_DELIVERIES - 1:
+        return customers
+    return customers.withColumn("nivel_membresia", F.when(F.col("cliente_id") == "C7", F.lit("Nuevo")).otherwise(F.col("nivel_membresia")))
