@@ -664,3 +664,36 @@ SQL["incremental_months"] = f"""WITH delivered AS ({DELIVERED}),
 m AS ({" UNION ".join(f"SELECT * FROM ({months_of(k)})" for k in range(3))}
   UNION SELECT DISTINCT 3, COALESCE(anio * 100 + mes, 0) FROM {sales_after(2)} WHERE cliente_id = 'C7')
 SELECT CAST(entrega AS BIGINT) AS entrega, CAST(mes AS INTEGER) AS mes FROM m"""
+
+# Periods of a sale: the whole time, its year, its month.
+PERIODS = """
+sp AS (SELECT *, unnest(CASE WHEN anio IS NULL THEN ['todo'] ELSE ['todo', CAST(anio AS VARCHAR), printf('%d-%02d', anio, mes)] END) AS periodo FROM sales)"""
+
+SQL["distinct_by_period"] = more(PERIODS + """
+SELECT periodo, COUNT(DISTINCT cliente_id) AS clientes, COUNT(DISTINCT juego_id) AS juegos, TRUE AS clientes_en_cota, TRUE AS juegos_en_cota
+FROM sp GROUP BY ALL""")
+
+SQL["quantiles_by_period"] = more(PERIODS + """
+SELECT periodo, 'precio' AS columna, CAST(p AS DOUBLE) AS rango, COUNT(precio) AS filas, TRUE AS en_cota
+FROM sp, (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(p) GROUP BY ALL HAVING COUNT(precio) > 0
+UNION ALL
+SELECT periodo, 'cantidad', CAST(p AS DOUBLE), COUNT(cantidad), TRUE
+FROM sp, (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(p) GROUP BY ALL HAVING COUNT(cantidad) > 0""")
+
+SQL["sales_drift"] = more("""
+va AS (
+  SELECT 'antes' AS e, precio, cantidad FROM sales WHERE anio < 2000
+  UNION ALL SELECT 'desde_2000', precio, cantidad FROM sales WHERE anio >= 2000
+  UNION ALL SELECT 'encarecido', precio * 1.5, cantidad FROM sales WHERE anio >= 2000),
+vl AS (SELECT e, 'precio' AS columna, precio AS v FROM va UNION ALL SELECT e, 'cantidad', cantidad FROM va),
+cdf AS (SELECT e, columna, v, CUME_DIST() OVER (PARTITION BY e, columna ORDER BY v) AS f FROM vl WHERE v IS NOT NULL),
+pts AS (SELECT DISTINCT o.e, o.columna, x.v FROM (SELECT DISTINCT e, columna FROM cdf WHERE e <> 'antes') o JOIN cdf x ON x.columna = o.columna AND x.e IN ('antes', o.e)),
+one AS (SELECT DISTINCT e, columna, v, f FROM cdf),
+fa AS (SELECT p.e, p.columna, p.v, COALESCE(a.f, 0) AS fa FROM pts p ASOF LEFT JOIN (SELECT * FROM one WHERE e = 'antes') a ON a.columna = p.columna AND a.v <= p.v),
+fb AS (SELECT p.*, COALESCE(b.f, 0) AS fb FROM fa p ASOF LEFT JOIN one b ON b.columna = p.columna AND b.e = p.e AND b.v <= p.v)
+SELECT e AS entrega, columna, MAX(ABS(fa - fb)) > 0.1 AS deriva FROM fb GROUP BY ALL""")
+
+SQL["top_games_by_period"] = more(PERIODS + """,
+gs AS (SELECT periodo, juego_id, CAST(SUM(cantidad) AS BIGINT) AS unidades FROM sp WHERE length(periodo) = 4 GROUP BY ALL HAVING SUM(cantidad) > 0)
+SELECT periodo, ROW_NUMBER() OVER (PARTITION BY periodo ORDER BY unidades DESC, juego_id) AS puesto, juego_id, unidades
+FROM gs QUALIFY puesto <= 10""")

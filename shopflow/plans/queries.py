@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import RISK_THRESHOLD, canonical_platform
 from shopflow.operators import cleanse, documents, kpis, logs, quality, windows
-from shopflow.plans import jobs, incremental, live
+from shopflow.plans import incremental, jobs, live, stored
 from shopflow.plans.context import RawFiles, Retail, WrittenSales
 from shopflow.plans.tables import COLLECTIONS, KPIS, charts
 from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE
@@ -466,6 +466,6 @@ def stream_rejects(r: Retail) -> DataFrame:
     return _stream_result(r, "rejects").select("message_key", "message_value", "batch_id")
 
 
-# --- the live jobs: windows, stock, life cycle, customers as of event time; deliveries of the batch side ---
-for _name, _fn in {**live.QUERIES, **incremental.QUERIES}.items():
+# --- the live jobs: windows, stock, life cycle, customers as of event time; deliveries and stored summaries of the batch side ---
+for _name, _fn in {**live.QUERIES, **incremental.QUERIES, **stored.QUERIES}.items():
     query(_name)(_fn)
