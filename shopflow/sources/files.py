@@ -67,23 +67,22 @@ def read_xml_nested(spark: SparkSession, path, row_tag: str, schema: T.StructTyp
     of the row element.  The file is split and parsed on the executors.
     Records that do not fit the schema are in ``rejected_xml``.
     """
-    raw = _xml(spark, path, row_tag, schema).filter(F.col(CORRUPT).isNull())
+    raw = _xml(spark, path, row_tag, schema, "DROPMALFORMED")
     explode = F.explode_outer if outer else F.explode
     rows = raw.select("*", explode(F.col(array_path)).alias("item"))
     return rows.select(*[F.col(p).alias(n) for n, p in columns.items()])
 
 
-def _xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).schema(with_corrupt(schema)).load(path))
+def _xml(spark: SparkSession, path, row_tag: str, schema: T.StructType, mode: str) -> DataFrame:
+    """XML records without the text of broken ones: for each of those the reader would read its file again up to there."""
+    return spark.read.format("xml").option("rowTag", row_tag).option("mode", mode).schema(schema).load(path)
 
 
 def rejected_xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
-    """The XML records that do not fit the schema, as far as they parsed (the
-    reader's own text of a broken record may be the whole file)."""
-    whole = F.to_json(F.struct(*schema.fieldNames()))  # every field is parsed, so every field is checked
-    return (_xml(spark, path, row_tag, schema).filter(F.col(CORRUPT).isNotNull() & whole.isNotNull())
-            .drop(CORRUPT))
+    """The XML records that do not fit the schema, as far as they parsed: all records, broken ones as far as
+    they parsed, less those that fit."""
+    # every field is compared, so every field is parsed and checked
+    return _xml(spark, path, row_tag, schema, "PERMISSIVE").exceptAll(_xml(spark, path, row_tag, schema, "DROPMALFORMED"))
 
 
 def read_parquet(spark: SparkSession, path, columns: Sequence[str] | None = None) -> DataFrame:

@@ -126,3 +126,17 @@ def test_plain_numbers_in_csv(spark, tmp):
     sinks.write_csv(df, out, single=True, plain=True)
     text = open(os.path.join(out, [f for f in os.listdir(out) if f.startswith("part-")][0])).read()
     assert "18667993.8,0.5,12,,x" in text and "E7" not in text
+
+
+def test_broken_xml_records_are_found_without_reading_their_text(spark, tmp):
+    p = os.path.join(tmp, "inventario.xml")
+    one = '<juego id="%s"><titulo>T</titulo><plataformas><plataforma nombre="PS5"><stock>%s</stock></plataforma></plataformas></juego>'
+    rows = [one % ("J1", 3), one % ("J2", "tres"), one % ("J2", "tres"), one % ("J3", 4), one % ("J3", 4)]
+    with open(p, "w") as f:
+        f.write("<inventario>\n" + "\n".join(rows) + "\n</inventario>\n")
+    broken = sources.rejected_xml(spark, p, "juego", INVENTORY_XML)
+    assert [(r._id, r.titulo) for r in broken.collect()] == [("J2", "T"), ("J2", "T")]
+    good = sources.read_xml_nested(spark, p, "juego", INVENTORY_XML, "plataformas.plataforma", {"juego_id": "_id", "stock": "item.stock"})
+    assert sorted(map(tuple, good.collect())) == [("J1", 3), ("J3", 4), ("J3", 4)]
+    for df in (broken, good):  # the reader finds a broken record's text by reading the file again up to it
+        assert "_corrupt_record" not in df._jdf.queryExecution().executedPlan().toString()
