@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import EVENT_TYPES, PAYMENT_METHODS, event_code
-from shopflow.sinks.files import encode_messages
+from shopflow.sinks.files import encode_messages, write_xml
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -329,8 +329,8 @@ def write_damaged_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     events.select(review.alias("value")).write.text(f"{root}/resenas.json")
     stock = F.when(k % 45 == 0, F.lit("tres")).otherwise(F.lit("3"))
     item = F.struct(F.lit("PS5").alias("_nombre"), stock.alias("stock"), F.lit(9.5).alias("precio"), F.lit(5).alias("umbral_reposicion"))
-    part.select(F.concat(F.lit("P"), k.cast("string")).alias("_id"), F.lit("T").alias("titulo"), F.struct(F.array(item).alias("plataforma")).alias("plataformas")).write.format(
-        "xml").option("rowTag", "juego").option("rootTag", "inventario").save(f"{root}/inventario.xml")
+    games = part.select(F.concat(F.lit("P"), k.cast("string")).alias("_id"), F.lit("T").alias("titulo"), F.struct(F.array(item).alias("plataforma")).alias("plataformas"))
+    write_xml(games, f"{root}/inventario.xml", "juego", "inventario")
 
 
 #: Deliveries of ``sale_deliveries``; the last one repeats the one before it.

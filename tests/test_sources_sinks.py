@@ -140,3 +140,10 @@ def test_broken_xml_records_are_found_without_reading_their_text(spark, tmp):
     assert sorted(map(tuple, good.collect())) == [("J1", 3), ("J3", 4), ("J3", 4)]
     for df in (broken, good):  # the reader finds a broken record's text by reading the file again up to it
         assert "_corrupt_record" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_task_writes_xml_in_files_of_bounded_size(spark, tmp, monkeypatch):
+    monkeypatch.setattr(sinks, "XML_RECORDS", 10)
+    sinks.write_xml(spark.range(35).coalesce(1), tmp + "/x", "r", "rs")
+    assert len([f for f in os.listdir(tmp + "/x") if f.startswith("part-")]) == 4
+    assert spark.read.format("xml").option("rowTag", "r").schema("id long").load(tmp + "/x").distinct().count() == 35
