@@ -12,8 +12,11 @@ sale-event messages micro-batch by micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import documents
 from shopflow.plans.context import Retail, WrittenSales
@@ -114,17 +117,36 @@ def run_batch(spark: SparkSession, source: "str | Retail", out_root: str | None
     return out
 
 
-def stage_topic(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None, slices: int = 1) -> int:
-    """Write the sale messages as a Parquet "topic" with one file per topic
-    partition (default: one per core), the shape a partitioned broker topic
-    gives the stream source.  ``slices`` deliveries, dealt by the number of the
-    event, follow each other.  Returns the files of a delivery."""
-    n = partitions or spark.sparkContext.defaultParallelism
-    messages = tables.sale_messages(spark, sf_dir)
-    for i in range(slices):
-        part = messages.filter(F.substring("key", 2, 20).cast("long") % slices == i)
-        part.repartition(n).write.mode("append" if i else "overwrite").parquet(path)
-    return n
+#: Messages of one file of a staged topic: a task reads whole files, few at a time.
+FILE_MESSAGES = 25_000
+#: More files than a delivery has, so that each is one micro-batch.
+WHOLE_DELIVERY = 1_000_000_000
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def write_topic(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """Messages as files of a topic, written where they are: no shuffle, and the number of files grows with them."""
+    messages.select("key", "value", "timestamp").write.mode(mode).option("maxRecordsPerFile", FILE_MESSAGES).parquet(path)
+
+
+def run_deliveries(spark: SparkSession, messages: DataFrame, delivery: Column, n: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Write ``messages`` as deliveries 0..n-1 of a topic and run the job that ``start`` begins on a stream after
+    each of them: a delivery is one micro-batch, whatever its files. Restarted from its checkpoint the job goes on as
+    one that never stopped: the batch without data that moves the watermark on comes after the last delivery only."""
+    topic, setting = work_path(spark, "topic"), spark.conf.get(NO_DATA_BATCHES, "true")
+    try:
+        for i in range(n):
+            write_topic(messages.where(delivery == i), topic)
+            spark.conf.set(NO_DATA_BATCHES, setting if i == n - 1 else "false")  # a query keeps the settings of its start
+            streaming.run_for(start(sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE, per_trigger=WHOLE_DELIVERY)), None)
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, setting)
+
+
+def stage_topic(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the sale messages as a Parquet "topic", the shape a partitioned
+    broker topic gives the stream source."""
+    write_topic(tables.sale_messages(spark, sf_dir), path, "overwrite")
 
 
 def run_stream(spark: SparkSession, sf_dir: str, out_root: str, checkpoint: str,

@@ -8,21 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.operators import asof
+from shopflow.plans import jobs
 from shopflow.plans.context import RawFiles, Retail
-from shopflow.schemas import MESSAGE
 from shopflow.session import work_path
 from shopflow.sinks import files as sinks
-from shopflow.sources import files as sources
 from shopflow.sources import tables
 from shopflow.streaming import events as streaming
 from shopflow.streaming import lifecycle, stock, windows
 
-#: Files of one delivery of a staged topic.
-FILES = 2
 _RUNS: dict[tuple, str] = {}
 
 
@@ -34,14 +31,6 @@ def once(r: Retail, name: str, run: Callable[[], str]) -> str:
     return _RUNS[key]
 
 
-def staged(spark: SparkSession, messages: DataFrame, delivery: Column, n: int) -> DataFrame:
-    """A stream over ``messages`` (key, value, timestamp), written as deliveries 0..n-1 that follow each other."""
-    topic = work_path(spark, "topic")
-    for i in range(n):
-        messages.where(delivery == i).select("key", "value", "timestamp").repartition(FILES).write.mode("append").parquet(topic)
-    return sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE, per_trigger=FILES)
-
-
 def event_number() -> Column:
     return F.substring("key", 2, 20).cast("long")
 
@@ -55,9 +44,9 @@ def by_decade() -> Column:
 
 def windows_run(r: Retail, name: str, length: str, slide: str | None) -> str:
     def run() -> str:
-        stream = staged(r.spark, tables.sale_messages(r.spark, r.sf_dir), by_decade(), 3)
-        out = work_path(r.spark, name)
-        streaming.run_for(windows.start_windows(stream, out, work_path(r.spark, "ckpt"), "r0", length=length, slide=slide), None)
+        out, ckpt = work_path(r.spark, name), work_path(r.spark, "ckpt")
+        jobs.run_deliveries(r.spark, tables.sale_messages(r.spark, r.sf_dir), by_decade(), 3,
+                            lambda stream: windows.start_windows(stream, out, ckpt, "r0", length=length, slide=slide))
         return out
 
     return once(r, name, run)
@@ -90,9 +79,10 @@ def live_stock_alerts(r: Retail) -> DataFrame:
     def run() -> str:
         held = work_path(r.spark, "inventory")
         r.inventory.write.parquet(held)
-        stream = staged(r.spark, tables.sale_messages(r.spark, r.sf_dir), F.pmod(event_number(), F.lit(3)), 3)
-        out = work_path(r.spark, "stock-alerts")
-        streaming.run_for(stock.start_stock_alerts(stream, r.spark.read.schema(r.inventory.schema).parquet(held), out, work_path(r.spark, "ckpt")), None)
+        out, ckpt = work_path(r.spark, "stock-alerts"), work_path(r.spark, "ckpt")
+        inventory = r.spark.read.schema(r.inventory.schema).parquet(held)
+        jobs.run_deliveries(r.spark, tables.sale_messages(r.spark, r.sf_dir), F.pmod(event_number(), F.lit(3)), 3,
+                            lambda stream: stock.start_stock_alerts(stream, inventory, out, ckpt))
         return out
 
     return r.spark.read.schema(stock.ALERT).parquet(once(r, "stock", run)).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
@@ -101,9 +91,9 @@ def live_stock_alerts(r: Retail) -> DataFrame:
 def order_net_revenue(r: Retail) -> DataFrame:
     """A13 with the life cycle: created, paid and cancelled sales, and the revenue that stays."""
     def run() -> str:
-        stream = staged(r.spark, tables.order_messages(r.spark, r.sf_dir), F.col("delivery"), 4)
-        out = work_path(r.spark, "orders")
-        streaming.run_for(lifecycle.start_life_cycle(stream, out, work_path(r.spark, "ckpt")), None)
+        out, ckpt = work_path(r.spark, "orders"), work_path(r.spark, "ckpt")
+        jobs.run_deliveries(r.spark, tables.order_messages(r.spark, r.sf_dir), F.col("delivery"), 4,
+                            lambda stream: lifecycle.start_life_cycle(stream, out, ckpt))
         return out
 
     return lifecycle.net_revenue(r.spark.read.parquet(once(r, "orders", run)))
@@ -121,10 +111,11 @@ def customer_as_of_event(r: Retail) -> DataFrame:
 def stream_csv_customers(r: Retail) -> DataFrame:
     """The stream enriched straight from the customers' CSV file."""
     def run() -> str:
-        raw, out = work_path(r.spark, "raw"), work_path(r.spark, "stream")
+        raw, out, ckpt = work_path(r.spark, "raw"), work_path(r.spark, "stream"), work_path(r.spark, "ckpt")
         sinks.write_csv(r.raw_customers, f"{raw}/clientes.csv")
-        stream = staged(r.spark, tables.sale_messages(r.spark, r.sf_dir), F.pmod(event_number(), F.lit(3)), 3)
-        streaming.run_for(streaming.start_batches(stream, out, work_path(r.spark, "ckpt"), "r0", handlers={"events": lambda b: b}, dim=RawFiles(r.spark, raw).customers), None)
+        customers = RawFiles(r.spark, raw).customers
+        jobs.run_deliveries(r.spark, tables.sale_messages(r.spark, r.sf_dir), F.pmod(event_number(), F.lit(3)), 3,
+                            lambda stream: streaming.start_batches(stream, out, ckpt, "r0", handlers={"events": lambda b: b}, dim=customers))
         return out
 
     rows = r.spark.read.parquet(f"{once(r, 'csv', run)}/events")

@@ -12,7 +12,7 @@ from shopflow.operators import cleanse, documents, kpis, logs, quality, windows
 from shopflow.plans import incremental, jobs, live, stored
 from shopflow.plans.context import RawFiles, Retail, WrittenSales
 from shopflow.plans.tables import COLLECTIONS, KPIS, charts
-from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML, MESSAGE
+from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML
 from shopflow.session import work_path
 from shopflow.sinks import files as sinks
 from shopflow.sources import files as sources
@@ -410,16 +410,15 @@ _STREAM_RUNS: dict[tuple, str] = {}
 
 
 def stream_outputs(r: Retail) -> str:
-    """Stage the messages as a file "topic" in three deliveries, run the
-    micro-batch job over it (availableNow, one delivery a batch), return the
-    output root.  One run per session and content of the folder."""
+    """Run the micro-batch job over the messages in three deliveries (one a
+    batch), return the output root.  One run per session and content of the
+    folder."""
     spark = r.spark
     key = (*session_key(spark), r.sf_dir, *sorted(tables.table(spark, r.sf_dir, "events").inputFiles()))
     if key not in _STREAM_RUNS:
-        topic, out, ckpt = (work_path(spark, x) for x in ("topic", "stream", "stream-ckpt"))
-        files = jobs.stage_topic(spark, r.sf_dir, topic, partitions=2, slices=3)
-        stream = sources.read_stream(spark, "parquet", path=topic, schema=MESSAGE, per_trigger=files)
-        streaming.run_for(streaming.start_batches(stream, out, ckpt, run_id="r0", dim=r.customers), None)
+        out, ckpt = work_path(spark, "stream"), work_path(spark, "stream-ckpt")
+        jobs.run_deliveries(spark, tables.sale_messages(spark, r.sf_dir), live.event_number() % 3, 3,
+                            lambda stream: streaming.start_batches(stream, out, ckpt, run_id="r0", dim=r.customers))
         _STREAM_RUNS[key] = out
     return _STREAM_RUNS[key]
 

@@ -60,9 +60,11 @@ def window_writer(out_root: str, run_id: str, length: str, slide: str | None, de
         before = None
         if batch_id:  # batches are numbered without gaps, so the last one's mark sums up all earlier ones
             before = session.read.schema("max_time timestamp").parquet(batch_path("watermark", batch_id - 1)).first()[0]
-        rows = windowed(batch.where(F.col(CORRUPT).isNull()), length, slide).persist()
+        # one row per event is kept, not one per event and window, and only the columns that the outputs take
+        events = batch.where(F.col(CORRUPT).isNull()).select("event_id", "event_timestamp", "plataforma", "total", "venta_riesgosa").persist()
+        rows = windowed(events, length, slide)
         try:
-            newest = rows.agg(F.max("event_timestamp")).first()[0]
+            newest = events.agg(F.max("event_timestamp")).first()[0]
             latest = max((t for t in (before, newest) if t is not None), default=None)
             old, new = ((F.lit(t).cast("timestamp") - lag) for t in (before, latest))
             open_ = F.lit(True) if before is None else F.col("ventana_fin") > old
@@ -78,7 +80,7 @@ def window_writer(out_root: str, run_id: str, length: str, slide: str | None, de
                 merged(closing).write.mode("overwrite").parquet(batch_path("closed", batch_id))
             session.createDataFrame([(latest,)], "max_time timestamp").coalesce(1).write.mode("overwrite").parquet(batch_path("watermark", batch_id))
         finally:
-            rows.unpersist()
+            events.unpersist()
 
     return write
 

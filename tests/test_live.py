@@ -6,8 +6,10 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopflow.operators import asof
+from shopflow.plans import jobs
 from shopflow.schemas import MESSAGE
 from shopflow.streaming import events as st
 from shopflow.streaming import lifecycle, stock, windows
@@ -130,3 +132,31 @@ def test_versions_open_only_on_change(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("A", "x", 1, at(0), at(2)), ("A", "y", 1, at(2), at(5)), ("A", None, 1, at(5), None), ("B", None, None, at(1), None)], key=str)
     none = spark.createDataFrame([], "n int, k string, t timestamp")
     assert asof.as_of_join(none, got, "k", "t").count() == 0 and asof.as_of_join(none, got, "k", "t").columns == ["n", "k", "t", "a", "b"]
+
+
+def test_a_delivery_is_one_batch_whatever_its_files(spark, tmp, monkeypatch):
+    monkeypatch.setattr(jobs, "FILE_MESSAGES", 10)
+    rows = spark.createDataFrame([(*event(i, i)[:2], None, 0 if i < 35 else 2) for i in range(40)], "key string, value string, timestamp timestamp, d int")
+    read = []
+
+    def start(batches):
+        def note(batch, batch_id):
+            read.append((batch_id, batch.count(), len({r[0] for r in batch.select(F.input_file_name()).distinct().collect()})))
+        return batches.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp}/ckpt").trigger(availableNow=True).start()
+
+    jobs.run_deliveries(spark, rows.coalesce(1), F.col("d"), 3, start)
+    assert read == [(0, 35, 4), (1, 0, 0), (2, 5, 1)]
+
+
+def test_windows_keep_one_narrow_row_per_event(spark, tmp):
+    held = []
+    plan = windows.windowed
+
+    def watch(events, length, slide):
+        held.append((events.columns, events.storageLevel.useMemory))
+        return plan(events, length, slide)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(windows, "windowed", watch)
+        windows.window_writer(tmp, "r", "7 days", "1 day", "1 day")(st.parse_events(spark.createDataFrame([event(1, 0), event(2, 1)], MESSAGE)), 0)
+    assert held == [(["event_id", "event_timestamp", "plataforma", "total", "venta_riesgosa"], True)]
