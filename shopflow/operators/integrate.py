@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import exact_avg, normalize_key
+from shopflow.operators import cleanse
 
 # Fixed output contract: the columns each dimension adds to the wide sales table.
 CUSTOMER_FIELDS = ["nombre", "edad", "genero", "distrito", "nivel_membresia"]
@@ -111,3 +112,13 @@ def enrich_sales(sales: DataFrame, customers: DataFrame | None = None, catalog:
     if activity is not None:
         cols += LOG_FIELDS
     return wide.select(*cols)
+
+
+def wide_sales(sales: DataFrame, customers: DataFrame, catalog: DataFrame, scores: DataFrame, activity: DataFrame,
+               salt: int = 0) -> DataFrame:
+    """The wide sales table. Date parts and total follow from a sale's source
+    columns, so they are derived behind the joins: the shuffles of the sales
+    carry the source columns only."""
+    wide = enrich_sales(sales.select(*cleanse.RAW_SALES_COLUMNS), customers, catalog, scores, activity, salt)
+    added = wide.columns[len(cleanse.RAW_SALES_COLUMNS):]
+    return cleanse.add_total(cleanse.add_date_parts(wide)).select(*cleanse.SALES_COLUMNS, *added)

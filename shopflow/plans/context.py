@@ -84,8 +84,8 @@ class Retail:
 
     @cached_property
     def wide(self) -> DataFrame:
-        return integrate.enrich_sales(self.sales, self.customers, self.catalog,
-                                      self.scores, self.activity, salt=self.salt)
+        return integrate.wide_sales(self.sales, self.customers, self.catalog,
+                                    self.scores, self.activity, salt=self.salt)
 
     def items(self, *keys: str, scores: bool = False) -> DataFrame:
         """Sales summed by ``keys``, game and platform, with the catalogue's
