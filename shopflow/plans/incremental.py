@@ -50,14 +50,14 @@ def _version(df: DataFrame) -> Column:
 
 
 def changed_sales(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Sales of ``new`` that are not in ``old`` or beat its row: venta_id and the dates before (NULL if added) and after.
+    """Sales of ``new`` that are not in ``old`` or beat its row: their source columns, whether they are added, and the date before (NULL if added).
 
-    ``old`` is read once; where the delivery is under the broadcast bound its rows are not shuffled."""
-    left = new.select("venta_id", _version(new).alias("n"))
-    right = old.select("venta_id", _version(old).alias("o"))
+    ``old`` is first cut to the sales of ``new``: where the delivery is under the broadcast bound, its rows are not shuffled."""
+    left = new.withColumn("n", _version(new))
+    right = old.select("venta_id", _version(old).alias("o")).join(new.select("venta_id"), "venta_id", "left_semi")
     met = left.join(right, "venta_id", "left")
     return met.filter(F.col("o").isNull() | (F.col("n") > F.col("o"))).select(
-        "venta_id", F.col("o").isNull().alias("added"), F.col("o.fecha").alias("before"), F.col("n.fecha").alias("after"))
+        *cleanse.RAW_SALES_COLUMNS, F.col("o").isNull().alias("added"), F.col("o.fecha").alias("before"))
 
 
 def _month_number(year: Column, month: Column) -> Column:
@@ -69,6 +69,13 @@ def _in_months(months: list[int]) -> Column:
     return _month_number(F.col("anio"), F.col("mes")).isin(months)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back, for the steps that read it again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class WideTable:
     """The wide sales table under ``root`` and the dimensions it was last joined with."""
 
@@ -96,7 +103,7 @@ class WideTable:
     def touched_months(self, changed: DataFrame, now: Mapping[str, DataFrame], table: DataFrame) -> list[int]:
         """Months (yyyymm, 0: no date) whose rows change, by the changed sales and by changed
         dimension rows of any sale. The list is bounded by the calendar, not by the data."""
-        both = changed.select(F.explode(F.array(F.struct(F.col("after").alias("d"), F.lit(True).alias("is")),
+        both = changed.select(F.explode(F.array(F.struct(F.col("fecha").alias("d"), F.lit(True).alias("is")),
                                               F.struct(F.col("before").alias("d"), (~F.col("added")).alias("is")))).alias("m"))
         months = both.filter("m.is").select(_month_number(F.year("m.d"), F.month("m.d")).alias("m"))
         for key in ("cliente_id", "juego_id"):
@@ -118,38 +125,38 @@ class WideTable:
         delivery changes nothing, and repeating one that stopped half-way completes it: every
         month's rows follow from the table and the delivery alone. A job that dies while
         Spark swaps a month's folder can lose that folder; ``rebuild`` is for that."""
-        new = cleanse.clean_sales(raw_sales).select(*cleanse.RAW_SALES_COLUMNS)
-        held = work_path(self.spark, "delivery")
-        new.write.parquet(held)  # read again for every step
-        new = self.spark.read.schema(new.schema).parquet(held)
+        now = {name: kept(df, "dimension") for name, df in now.items()}
+        new = kept(cleanse.clean_sales(raw_sales).select(*cleanse.RAW_SALES_COLUMNS), "delivery")
         schema = self._wide(new, now).schema
-        table = self.read(schema) if self._exists(self.path) else self.spark.createDataFrame([], schema)
-        changed = changed_sales(table, new)
-        ids = work_path(self.spark, "changed")
-        changed.write.parquet(ids)
-        changed = self.spark.read.schema(changed.schema).parquet(ids)
-        months = self.touched_months(changed, now, table)
+        if self._exists(self.path):
+            table = self.read(schema)
+            changed = kept(changed_sales(table, new), "changed")
+        else:  # every sale of the delivery is new, and each has one row
+            table = None
+            changed = new.withColumns({"added": F.lit(True), "before": F.lit(None).cast("date")})
+        months = self.touched_months(changed, now, self.spark.createDataFrame([], schema) if table is None else table)
         if months:
             # only sales that beat the table's row: a loser's better row may lie in a month that is not read
-            won = new.join(changed, "venta_id", "left_semi")
-            self._rewrite(table.filter(_in_months(months)), won, now, months)
+            won = changed.select(*cleanse.RAW_SALES_COLUMNS)
+            self._rewrite(None if table is None else table.filter(_in_months(months)), won, now, months)
         for name, df in now.items():
             df.write.mode("overwrite").parquet(f"{self.root}/dimensiones/{name}")
         return months
 
     def _wide(self, sales: DataFrame, now: Mapping[str, DataFrame]) -> DataFrame:
-        sales = cleanse.add_total(cleanse.add_date_parts(sales, "fecha")).select(*cleanse.SALES_COLUMNS)
-        return integrate.enrich_sales(sales, now["customers"], now["catalog"], now["scores"], now["activity"])
+        return integrate.wide_sales(sales, now["customers"], now["catalog"], now["scores"], now["activity"])
 
-    def _rewrite(self, old: DataFrame, new: DataFrame, now: Mapping[str, DataFrame], months: list[int]) -> None:
-        sales = old.select(*cleanse.RAW_SALES_COLUMNS).unionByName(new)
-        sales = cleanse.dedupe(sales, ["venta_id"], ["fecha"], latest=True)
+    def _rewrite(self, old: DataFrame | None, new: DataFrame, now: Mapping[str, DataFrame], months: list[int]) -> None:
+        """The months anew from the table's rows in them (none: no table yet) and the sales that ``new`` brings, one row each."""
+        sales = new
+        if old is not None:
+            sales = cleanse.dedupe(old.select(*cleanse.RAW_SALES_COLUMNS).unionByName(new), ["venta_id"], ["fecha"], latest=True)
         wide = self._wide(sales, now).filter(_in_months(months))
         staged = work_path(self.spark, "months")
         wide.hint("rebalance", *MONTH).write.partitionBy(*MONTH).parquet(staged)
-        kept = self.spark.read.schema(wide.schema).parquet(staged)
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH).parquet(self.path)
-        filled = {r.m for r in kept.select(_month_number(F.col("anio"), F.col("mes")).alias("m")).distinct().collect()}
+        put = self.spark.read.schema(wide.schema).parquet(staged)
+        put.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH).parquet(self.path)
+        filled = {r.m for r in put.select(_month_number(F.col("anio"), F.col("mes")).alias("m")).distinct().collect()}
         for m in set(months) - filled:
             self._drop(f"{self.path}/{_folder(m)}")
 
@@ -172,7 +179,7 @@ def run_deliveries(r: Retail) -> str:
     if key not in _RUNS:
         root = work_path(r.spark, "incremental")
         wide = WideTable(r.spark, root)
-        now = dimensions(r)
+        now = {name: kept(df, "dimension") for name, df in dimensions(r).items()}
         for i, delivery in enumerate(tables.sale_deliveries(r.raw_sales)):
             at = {**now, "customers": tables.customers_at(now["customers"], i)}
             months = wide.apply(delivery, at)
