@@ -6,8 +6,9 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from shopflow.operators import cleanse
+from shopflow.operators import cleanse, integrate
 from shopflow.plans import incremental as inc
 from shopflow.schemas import SALES
 
@@ -113,3 +114,33 @@ def test_sales_without_any_date(spark, tmp, table):
     assert table.apply(spark.createDataFrame(first, SALES), dims(spark)) == [0]
     assert table.apply(spark.createDataFrame([sale(2, "2024-01-01")], SALES), dims(spark)) == [0, 202401]
     assert rows(table) == rebuilt(spark, tmp, [first, [sale(2, "2024-01-01")]], dims(spark))
+
+
+def test_the_first_delivery_is_not_compared_and_dimensions_are_worked_out_once(spark, table, monkeypatch):
+    compare = inc.changed_sales
+    monkeypatch.setattr(inc, "changed_sales", lambda old, new: pytest.fail("there is no table to compare with"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(key):
+        seen.add(1)
+        return key
+
+    now = dims(spark)
+    now["customers"] = now["customers"].withColumn("cliente_id", F.udf(once)("cliente_id"))
+    assert table.apply(spark.createDataFrame([sale(1, "2024-01-05"), sale(2, "2024-02-05")], SALES), now) == [202401, 202402]
+    assert seen.value == 2  # one call for each of the two customers
+    monkeypatch.setattr(inc, "changed_sales", compare)
+    changed = compare(table.read(), cleanse.clean_sales(spark.createDataFrame([sale(2, "2024-03-01"), sale(9, "2024-01-01")], SALES)).select(*cleanse.RAW_SALES_COLUMNS))
+    assert sorted((r.venta_id, r.added, str(r.fecha), str(r.before)) for r in changed.collect()) == [
+        ("V2", False, "2024-03-01", "2024-02-05"), ("V9", True, "2024-01-01", "None")]
+
+
+def test_shuffles_of_the_wide_table_carry_no_derived_columns(spark):
+    now = dims(spark)
+    sales = cleanse.clean_sales(spark.createDataFrame([sale(1, "2024-05-05", price=2.5, units=3)], SALES))
+    wide = integrate.wide_sales(sales, now["customers"], now["catalog"], now["scores"], now["activity"])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "quarter(" in plan and plan.rindex("quarter(") < plan.index("Join")
+    r = wide.first()
+    assert (r.mes, r.anio, r.trimestre, r.total, r.nombre, r.titulo) == (5, 2024, 2, 7.5, "Ana", "Uno")
+    assert wide.columns[:13] == cleanse.SALES_COLUMNS

@@ -147,3 +147,11 @@ def test_a_task_writes_xml_in_files_of_bounded_size(spark, tmp, monkeypatch):
     sinks.write_xml(spark.range(35).coalesce(1), tmp + "/x", "r", "rs")
     assert len([f for f in os.listdir(tmp + "/x") if f.startswith("part-")]) == 4
     assert spark.read.format("xml").option("rowTag", "r").schema("id long").load(tmp + "/x").distinct().count() == 35
+
+
+def test_documents_are_compressed_files_of_bounded_size(spark, tmp, monkeypatch):
+    monkeypatch.setattr(sinks, "DOCUMENTS", 10)
+    sinks.write_documents(spark.range(35).coalesce(1), tmp, "c")
+    parts = [f for f in os.listdir(tmp + "/c") if f.startswith("part-")]
+    assert len(parts) == 4 and all(f.endswith(".json.gz") for f in parts)
+    assert sinks.output_inventory(spark, tmp, ["c"]).first().documentos == 35
