@@ -88,8 +88,17 @@ def clean_sales(raw: DataFrame, rules=PLATFORM_RULES) -> DataFrame:
     venta_id; date parts and totals are derived from the rows that are left,
     so the dedupe shuffles the nine source columns only.  Sales with a
     ``sale_problem`` go to ``rejected_sales``."""
-    df = _normalized_sales(raw, rules).filter(sale_problem().isNull() & positive_price("precio"))
-    df = dedupe(df, ["venta_id"], ["fecha"], latest=True)
+    return latest_sales(countable_sales(raw, rules))
+
+
+def countable_sales(raw: DataFrame, rules=PLATFORM_RULES) -> DataFrame:
+    """The first half of ``clean_sales``: every row that counts, a sale's repeated ones too."""
+    return _normalized_sales(raw, rules).filter(sale_problem().isNull() & positive_price("precio"))
+
+
+def latest_sales(rows: DataFrame) -> DataFrame:
+    """The second half: one row per venta_id, with date parts and total."""
+    df = dedupe(rows, ["venta_id"], ["fecha"], latest=True)
     return add_total(add_date_parts(df, "fecha")).select(*SALES_COLUMNS)
 
 

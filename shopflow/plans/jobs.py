@@ -54,8 +54,11 @@ def kpi_tables(spark: SparkSession, wide_path: str, inventory: DataFrame) -> dic
 
 
 def write_kpi_documents(facts, root: str, extra: dict[str, DataFrame] | None = None) -> dict[str, int]:
-    """The document step: the seven collections (and ``extra`` ones), counted while written."""
-    return sinks.write_collections({**{n: c(facts) for n, c in COLLECTIONS.items()}, **(extra or {})}, root)
+    """The document step: the seven collections (and ``extra`` ones), counted while written; the one that holds every
+    sale comes last, when the others' shuffles are gone."""
+    collections = {**{n: c(facts) for n, c in COLLECTIONS.items()}, **(extra or {})}
+    counts = sinks.write_collections({n: collections[n] for n in sorted(collections, key=lambda n: n == "ventas_procesadas")}, root)
+    return {n: counts[n] for n in collections}
 
 
 def register_views(spark: SparkSession, wide_path: str, inventory_path: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import RISK_THRESHOLD, canonical_platform
 from shopflow.operators import cleanse, documents, kpis, logs, quality, windows
-from shopflow.plans import incremental, jobs, live, stored
+from shopflow.plans import incremental, jobs, live, staged, stored
 from shopflow.plans.context import RawFiles, Retail, WrittenSales
 from shopflow.plans.tables import COLLECTIONS, KPIS, charts
 from shopflow.schemas import CATALOG, CORRUPT, CUSTOMERS, EVENT, INVENTORY_XML
@@ -123,7 +123,7 @@ _kpi("kpi_summary", "resumen_ejecutivo", "KPI8 (A11): the one-row executive summ
 def _written(r: Retail) -> WrittenSales:
     """The wide table and inventory, written once and read back."""
     root = work_path(r.spark, "wide")
-    sinks.write_parquet(r.wide, f"{root}/wide")
+    staged.write_wide(r, f"{root}/wide")
     sinks.write_parquet(r.inventory, f"{root}/inventory")
     return WrittenSales(r.spark.read.parquet(f"{root}/wide"), r.spark.read.parquet(f"{root}/inventory"))
 

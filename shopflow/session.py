@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +75,23 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "shopflow", *parts, uuid.uuid4().hex])
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a write go when the write ends, not when the driver's memory next fills up."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table below the shared checkpoint folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
