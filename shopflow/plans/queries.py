@@ -392,7 +392,7 @@ def parquet_roundtrip(r: Retail) -> DataFrame:
     """Wide sales written as Parquet partitioned by (anio, mes), read
     back."""
     path = work_path(r.spark, "parquet")
-    sinks.write_parquet(_as_text(r.wide), path, ["anio", "mes"])
+    staged.write_wide(r, path, _as_text, ["anio", "mes"])
     return sources.read_parquet(r.spark, path)
 
 

@@ -100,7 +100,7 @@ def test_a_write_removes_its_shuffle_files(spark, tmp):
     assert spark.conf.get(SHUFFLE_CLEANUP) == setting
 
 
-@pytest.mark.parametrize("name", ["output_inventory", "kpi_order", "charts_from_csv"])
+@pytest.mark.parametrize("name", ["output_inventory", "kpi_order", "charts_from_csv", "parquet_roundtrip"])
 def test_steps_of_a_query_leave_no_shuffle_files(spark, monkeypatch, name):
     monkeypatch.setattr(staged, "CHUNK", 3000)
     assert not left_by(spark, lambda: REGISTRY[name](spark, SF001))
