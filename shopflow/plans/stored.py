@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.operators import summaries as sm
+from shopflow.plans import staged
 from shopflow.plans.context import Retail
 from shopflow.session import work_path
 
@@ -14,9 +15,7 @@ RANKS = [0.05, 0.25, 0.5, 0.75, 0.95]
 
 def stored(r: Retail, df: DataFrame) -> DataFrame:
     """``df`` written as Parquet and read again, as the summaries lie beside the KPIs."""
-    path = work_path(r.spark, "summaries")
-    df.write.parquet(path)
-    return r.spark.read.schema(df.schema).parquet(path)
+    return staged.kept(df, "summaries")[0]
 
 
 def periods(df: DataFrame) -> DataFrame:
@@ -25,16 +24,36 @@ def periods(df: DataFrame) -> DataFrame:
     return sm.with_period(df).unionByName(month)
 
 
+def months_of(df: DataFrame, **keys: str) -> DataFrame:
+    """One row per key and year, with its months as bits: (columna, clave, anio, meses). ``keys``: column -> columna."""
+    one = df.select("anio", "mes", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("columna"), F.col(c).alias("clave")) for c, name in keys.items()])).alias("x")).select("anio", "mes", "x.*")
+    return one.groupBy("columna", "clave", "anio").agg(F.bit_or(F.expr("shiftleft(1, coalesce(mes, 0))")).alias("meses"))
+
+
+def distinct_keys(months: DataFrame, *names: str) -> DataFrame:
+    """Distinct keys of every period of ``months_of`` rows, NULL left out, a column per name."""
+    dated = months.filter(F.col("anio").isNotNull())
+    bits = dated.withColumn("mes", F.explode(F.filter(F.sequence(F.lit(1), F.lit(12)), lambda m: F.getbit("meses", m) == 1)))
+    spans = (months.select("columna", "clave").distinct().withColumn("periodo", F.lit("todo"))
+             .unionByName(dated.select("columna", "clave", F.col("anio").cast("string").alias("periodo")))
+             .unionByName(bits.select("columna", "clave", F.format_string("%d-%02d", "anio", "mes").alias("periodo"))))
+    return spans.groupBy("periodo").agg(*[F.count(F.when(F.col("columna") == n, F.col("clave"))).alias(n) for n in names])
+
+
 def near(found: Column, exact: Column) -> Column:
     return F.abs(found - exact) <= F.ceil(exact * sm.DISTINCT_ERROR)
 
 
 def distinct_by_period(r: Retail) -> DataFrame:
     """Distinct customers and games of every month, year and the whole time: merged sketches within their bound of the exact counts."""
-    found = sm.merged(periods(stored(r, sm.month_summaries(r.sales))), "periodo").select(
+    path = work_path(r.spark, "sales")
+    staged.write_sales(r, path, "anio", "mes", "cliente_id", "juego_id", "precio", "cantidad")
+    sales = r.spark.read.parquet(path)
+    found = sm.merged(periods(stored(r, sm.month_summaries(sales))), "periodo").select(
         "periodo", sm.distinct("clientes").alias("c"), sm.distinct("juegos").alias("j"))
-    exact = periods(r.sales.select("anio", "mes", "cliente_id", "juego_id")).groupBy("periodo").agg(
-        F.count_distinct("cliente_id").alias("clientes"), F.count_distinct("juego_id").alias("juegos"))
+    keys = stored(r, months_of(sales, cliente_id="clientes", juego_id="juegos"))
+    exact = distinct_keys(keys, "clientes", "juegos")
     return exact.join(found, "periodo", "left").select(
         "periodo", "clientes", "juegos", near(F.col("c"), F.col("clientes")).alias("clientes_en_cota"), near(F.col("j"), F.col("juegos")).alias("juegos_en_cota"))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopflow.operators import cleanse
-from shopflow.plans import jobs, staged
+from shopflow.plans import jobs, staged, stored
 from shopflow.plans.context import Retail
 from shopflow.plans.queries import REGISTRY
 from shopflow.plans.tables import COLLECTIONS
@@ -100,7 +100,7 @@ def test_a_write_removes_its_shuffle_files(spark, tmp):
     assert spark.conf.get(SHUFFLE_CLEANUP) == setting
 
 
-@pytest.mark.parametrize("name", ["output_inventory", "kpi_order", "charts_from_csv", "parquet_roundtrip"])
+@pytest.mark.parametrize("name", ["output_inventory", "kpi_order", "charts_from_csv", "parquet_roundtrip", "distinct_by_period"])
 def test_steps_of_a_query_leave_no_shuffle_files(spark, monkeypatch, name):
     monkeypatch.setattr(staged, "CHUNK", 3000)
     assert not left_by(spark, lambda: REGISTRY[name](spark, SF001))
@@ -114,6 +114,16 @@ def test_the_document_of_every_sale_is_written_last(monkeypatch):
     assert order[-1] == "ventas_procesadas" and sorted(order) == sorted([*COLLECTIONS, "otra"])
 
 
+def test_distinct_keys_of_periods_match_a_count_of_every_sale(spark):
+    r = retail(spark, [*sales(), ("W1", "1990-12-31", None, None, "PS5", 5.0, 1, "Yape", "S1")])
+    clean = r.sales.select("anio", "mes", "cliente_id", "juego_id")
+    want = stored.periods(clean).groupBy("periodo").agg(F.count_distinct("cliente_id").alias("clientes"), F.count_distinct("juego_id").alias("juegos"))
+    got = stored.distinct_keys(stored.months_of(clean, cliente_id="clientes", juego_id="juegos"), "clientes", "juegos")
+    assert as_rows(got) == as_rows(want) and ("1990-12", 0, 0) in [tuple(x) for x in got.collect()]
+    nothing = clean.filter("false")
+    assert not stored.distinct_keys(stored.months_of(nothing, cliente_id="clientes"), "clientes").collect()
+
+
 def test_rows_that_count_are_deduped_as_clean_sales_does(spark):
     raw = retail(spark, sales()).raw_sales
     assert as_rows(cleanse.latest_sales(cleanse.countable_sales(raw))) == as_rows(cleanse.clean_sales(raw))
